@@ -91,26 +91,40 @@ def accuracy(df: DataFrame, prediction: str = "prediction", label: str = "label"
 # --- class-wise precision ---------------------------------------------------
 
 def class_stats(df: DataFrame, classes: Sequence[float], prediction: str = "prediction",
-                label: str = "label") -> DataFrame:
-    """``(label, n_label, n_predicted, tp, precision)`` per class of
-    ``classes`` from one aggregate; precision is 0.0 for a class never
-    predicted."""
+                label: str = "label", by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, label, n_label, n_predicted, tp, precision, rows, hits)`` per
+    class of ``classes`` (and group of ``by``) from one aggregate; precision
+    is 0.0 for a class never predicted; ``hits`` counts prediction == label
+    over all rows of the group."""
     p, y = _q(prediction), _q(label)
-    aggs = [F.count(F.lit(1)).alias("rows")]
+    aggs = [F.count(F.lit(1)).alias("rows"), F.count_if(p == y).alias("hits")]
     for i, k in enumerate(classes):
         k = F.lit(float(k))
         aggs += [F.count_if(y == k).alias(f"l{i}"), F.count_if(p == k).alias(f"p{i}"),
                  F.count_if((p == k) & (y == k)).alias(f"t{i}")]
-    wide = df.agg(*aggs)
-    rows = wide.select("rows", F.inline(F.array(*[
+    keys = [_q(c) for c in by]
+    wide = (df.groupBy(*keys) if keys else df.groupBy()).agg(*aggs)
+    rows = wide.select(*keys, "rows", "hits", F.inline(F.array(*[
         F.struct(F.lit(float(k)).alias("label"), F.col(f"l{i}").alias("n_label"),
                  F.col(f"p{i}").alias("n_predicted"), F.col(f"t{i}").alias("tp"))
         for i, k in enumerate(classes)])))
     return rows.select(
-        "label", "n_label", "n_predicted", "tp",
+        *keys, "label", "n_label", "n_predicted", "tp",
         F.when(F.col("n_predicted") > 0, F.col("tp") / F.col("n_predicted"))
         .otherwise(F.lit(0.0)).alias("precision"),
-        "rows")
+        "rows", "hits")
+
+
+def multiclass_summary(df: DataFrame, classes: Sequence[float], prediction: str = "prediction",
+                       label: str = "label", by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, rows, accuracy, weighted_precision)``: one aggregate over the
+    data, then a second over ``len(classes)`` rows per group."""
+    s = class_stats(df, classes, prediction, label, by)
+    keys = [_q(c) for c in by]
+    return (s.groupBy(*keys) if keys else s.groupBy()).agg(
+        F.first("rows").alias("rows"),
+        (F.first("hits") / F.first("rows")).alias("accuracy"),
+        F.sum(F.col("n_label") / F.col("rows") * F.col("precision")).alias("weighted_precision"))
 
 
 def precision_by_class(df: DataFrame, classes: Sequence[float], prediction: str = "prediction",
