@@ -161,42 +161,53 @@ def weighted_precision_manual(df: DataFrame, classes: Sequence[float],
 # --- area under ROC from scores ---------------------------------------------
 
 def auc_roc(df: DataFrame, score: str = "score", label: str = "label",
-            buckets: int = 64) -> DataFrame:
+            buckets: int | None = None, scores_per_bucket: int = 1_000_000,
+            max_buckets: int = 1024) -> DataFrame:
     """Exact area under the ROC curve of raw scores (no binning).
 
-    AUC = sum over distinct scores s of pos(s) * (neg_below(s) + neg(s)/2)
-    / (P * N).  ``neg_below`` is a prefix sum over scores; instead of one
-    global window (a single task) the distinct scores are cut into
-    ``buckets`` ranges by approximate quantiles, each range gets its offset
-    from a ``buckets``-row prefix sum, and the running sum inside a range is
-    a window partitioned by range.  Sums are kept in integers (decimal) so
-    the result does not depend on summation order.  Null when either class
-    is absent.
+    AUC = sum over distinct scores s of pos(s) * (2 * neg_below(s) + neg(s))
+    / (2 * P * N).  ``neg_below`` is a prefix sum over scores.  Instead of a
+    global window (one task), distinct scores are cut into ranges at
+    approximate quantiles of the raw scores (shuffle-free sketch passes: a
+    distinct-count estimate sizes the ranges to about ``scores_per_bucket``
+    distinct scores each; quantiles are only computed when there is more
+    than one range).  Inside a range the prefix sum is
+    a window partitioned by range; across ranges it is a prefix over one row
+    per range.  No join, and the per-score aggregate is computed once in the
+    returned plan.  Sums stay integral (decimal), so the result does not
+    depend on summation order.  Null when either class is absent.
     """
     pts = df.select(_q(score).cast("double").alias("s"), _q(label).cast("double").alias("y")) \
         .filter(F.col("s").isNotNull() & F.col("y").isNotNull())
-    per = pts.groupBy("s").agg(F.count_if(F.col("y") == 1.0).alias("p"),
-                               F.count_if(F.col("y") != 1.0).alias("n"))
-    qs = [i / buckets for i in range(1, buckets)]
-    bounds_row = per.agg(F.percentile_approx("s", qs, 10000).alias("b")).first()
-    bounds = sorted(set(bounds_row["b"] or []))
+    if buckets is None:
+        nd = pts.agg(F.approx_count_distinct("s").alias("nd")).first()["nd"] or 0
+        buckets = -(-int(nd) // scores_per_bucket)
+    buckets = max(1, min(int(buckets), max_buckets))
+    bounds: list[float] = []
+    if buckets > 1:
+        qs = [i / buckets for i in range(1, buckets)]
+        got = pts.agg(F.percentile_approx("s", qs, max(10000, 10 * buckets)).alias("b")).first()
+        bounds = sorted(set(got["b"] or []))
     if bounds:
-        barr = F.array(*[F.lit(float(b)) for b in bounds])
-        bucket = F.size(F.filter(barr, lambda b: b < F.col("s")))
+        barr = F.array(*[F.lit(float(x)) for x in bounds])
+        bucket = F.size(F.filter(barr, lambda x: x < F.col("s")))
     else:
         bucket = F.lit(0)
-    per = per.withColumn("bk", bucket)
-    offsets = per.groupBy("bk").agg(F.sum("n").alias("bn")).withColumn(
-        "off", F.coalesce(F.sum("bn").over(Window.orderBy("bk").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0))).select("bk", "off")
-    w = Window.partitionBy("bk").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = per.join(F.broadcast(offsets), "bk").withColumn(
-        "below", F.col("off") + F.coalesce(F.sum("n").over(w), F.lit(0)))
+    per = pts.groupBy("s").agg(F.count_if(F.col("y") == 1.0).alias("p"),
+                               F.count_if(F.col("y") != 1.0).alias("n")).withColumn("bk", bucket)
     dec = "decimal(38,0)"
-    num = (F.col("p").cast(dec) * (F.lit(2).cast(dec) * F.col("below").cast(dec)
-                                   + F.col("n").cast(dec)))
-    agg = ranked.agg(F.sum(num).alias("num"), F.sum("p").alias("P"), F.sum("n").alias("N"))
-    return agg.select(
+    inside = Window.partitionBy("bk").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = per.withColumn("below", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    term = F.col("p").cast(dec) * (F.lit(2).cast(dec) * F.col("below").cast(dec)
+                                   + F.col("n").cast(dec))
+    by_bucket = ranked.groupBy("bk").agg(F.sum(term).alias("num"), F.sum("p").alias("bp"),
+                                         F.sum("n").alias("bn"))
+    before = Window.orderBy("bk").rowsBetween(Window.unboundedPreceding, -1)
+    cross = by_bucket.withColumn("off", F.coalesce(F.sum("bn").over(before), F.lit(0)))
+    total = cross.agg(
+        (F.sum("num") + F.lit(2).cast(dec) * F.sum(F.col("bp").cast(dec) * F.col("off").cast(dec)))
+        .alias("num"), F.sum("bp").alias("P"), F.sum("bn").alias("N"))
+    return total.select(
         F.when((F.col("P") > 0) & (F.col("N") > 0),
                F.col("num").cast("double") / (F.lit(2.0) * F.col("P").cast("double")
                                               * F.col("N").cast("double")))
