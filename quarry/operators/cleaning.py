@@ -291,7 +291,8 @@ def fit_fill_values(df: DataFrame, mean_cols: Sequence[str], mode_cols: Sequence
 def prepare_table(df: DataFrame, id_col: str, label_col: str,
                   drop_before_encoding: Iterable[str] = (),
                   drop_after: Iterable[str] = (),
-                  min_share: float = SPARSE_COLUMN_SHARE) -> DataFrame:
+                  min_share: float = SPARSE_COLUMN_SHARE,
+                  checkpoint: bool = False) -> DataFrame:
     """Sparse table -> trainable table, in the reference's order:
 
     1. label text -> 1.0 / 0.0;
@@ -304,12 +305,19 @@ def prepare_table(df: DataFrame, id_col: str, label_col: str,
     5. drop ``drop_before_encoding``; encode the remaining text columns;
     6. drop the id and ``drop_after``.
 
-    Three small aggregates reach the driver (fill counts, fill values, no
-    data); everything else is one lazy plan.
+    Two small aggregates reach the driver (fill counts, fill values, no
+    data); everything else is one lazy plan.  With ``checkpoint`` the rows
+    of step 3 are written once to the shared checkpoint folder, so the fill
+    aggregate and the final plan read them instead of each re-running the
+    self semi join (and lineage stops there).
     """
     df = encode_binary_label(df, label_col)
     df = drop_sparse_columns(df, min_share)
     df = semi_join_healthy_ids(df, id_col)
+    if checkpoint:
+        from quarry.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     skip = {id_col, label_col}
     dbl = [c for c in df.columns if c not in skip
            and isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))]

@@ -23,6 +23,7 @@ from quarry.operators import models as ML
 from quarry.operators.cleaning import _q
 from quarry.operators.features import (assemble, class_pair_subset, kernel_expand,
                                        min_max_expr, relabel_pair)
+from quarry.session import ensure_checkpoint_dir
 
 # The trial line-up (test names as the reference prints them)
 # and its split.
@@ -127,6 +128,7 @@ def repeated_holdout(spark: SparkSession, frame: DataFrame, iterations: int = TR
     feats = [c for c in frame.columns if c != "label"]
     hashed = with_row_hash(frame)
     if checkpoint:
+        ensure_checkpoint_dir(spark)
         hashed = hashed.checkpoint(eager=True)
     rows: list[tuple] = []
     for it in range(1, iterations + 1):

@@ -188,7 +188,10 @@ CLEAN_SQL = W + ", enc AS (SELECT " + _sel(_cols(
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.prepare_table(clinical(spark, sf_dir), "patient_id", "exam_result")
+    """The cleaned table; the healthy rows are checkpointed to the shared
+    folder so the fill aggregate and the result read them once."""
+    return C.prepare_table(clinical(spark, sf_dir), "patient_id", "exam_result",
+                           checkpoint=True)
 
 
 @query("clean_table", CLEAN_SQL)

@@ -128,7 +128,9 @@ def q_pairwise_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("trial_results")
 def q_trial_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated 60/40 holdouts of the five raw and three normalised models."""
-    return TR.repeated_holdout(spark, trial_frame(spark, sf_dir), iterations=TRIALS_IN_QUERY)
+    # the cleaned input is already checkpointed by ``prepared``
+    return TR.repeated_holdout(spark, trial_frame(spark, sf_dir), iterations=TRIALS_IN_QUERY,
+                               checkpoint=False)
 
 
 @query("trial_averages")
