@@ -1,0 +1,18 @@
+"""Partition-count guard for CPU-heavy per-row work."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Round-robin ``df`` over ``factor x defaultParallelism`` partitions
+    when it has fewer than ``defaultParallelism`` (e.g. a small file that
+    reads as a handful of row groups) and the per-row work is heavy, such as
+    splitting long texts.  A large input already has at least that many
+    partitions and is returned untouched, so no shuffle is added at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target * factor)
