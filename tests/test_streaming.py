@@ -1,0 +1,26 @@
+"""Streaming word counts equal the batch counts over the same files."""
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from quarry.operators import text as T
+from quarry.session import shared_dir
+from quarry.streaming import words as W
+from tests.conftest import SF001
+
+
+def test_stream_counts_equal_batch_counts(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    folder = shared_dir(spark, "stream-input", uuid.uuid4().hex)
+    # the documents written as text files: one file per partition
+    docs.select(F.col("text").alias("value")).repartition(3).write.text(folder)
+    name = "wc_" + uuid.uuid4().hex[:8]
+    q = W.start_word_counts(spark, folder, name=name)
+    q.awaitTermination(120)
+    got = {r["word"]: r["cnt"] for r in spark.table(name).collect()}
+    lines = spark.read.text(folder).withColumnRenamed("value", "line")
+    want = {r["word"]: r["cnt"] for r in T.word_count(T.tokenize(lines)).collect()}
+    assert got == want
+    top = [tuple(r) for r in W.top_words_from(spark, name, 20).collect()]
+    assert top == [tuple(r) for r in T.top_words(T.word_count(T.tokenize(lines)), 20).collect()]
