@@ -81,3 +81,70 @@ def test_entry_contract(spark):
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
     assert len(qs) >= 60
+
+
+@pytest.fixture(scope="module")
+def binary_sets(spark):
+    """Cleaned clinical table (sf0.001), one 60/40 split, as DataFrames with
+    vectors and as mllib LabeledPoint RDDs (tests only)."""
+    from pyspark.mllib.linalg import Vectors as OldVectors
+    from pyspark.mllib.regression import LabeledPoint
+
+    from quarry.plans.models import trial_frame
+    frame = trial_frame(spark, SF001)
+    feats = [c for c in frame.columns if c != "label"]
+    hashed = TR.with_row_hash(frame)
+    side = TR.salted_bucket("__h", 1) < 60
+    train = FE.assemble(hashed.filter(side), feats).coalesce(1).persist()
+    test = FE.assemble(hashed.filter(~side), feats).coalesce(1).persist()
+
+    def to_rdd(df):
+        return df.rdd.map(lambda r: LabeledPoint(r["label"], OldVectors.dense(r["features"].toArray())))
+
+    yield train, test, to_rdd(train).cache(), to_rdd(test)
+    train.unpersist()
+    test.unpersist()
+
+
+def _ml_preds(model, test):
+    return [r["prediction"] for r in ML.score(model, test).select("prediction").collect()]
+
+
+def test_tree_matches_mllib(spark, binary_sets):
+    from pyspark.mllib.tree import DecisionTree
+    train, test, train_rdd, test_rdd = binary_sets
+    old = DecisionTree.trainClassifier(train_rdd, 2, {}, impurity="gini", maxDepth=4, maxBins=100)
+    want = old.predict(test_rdd.map(lambda p: p.features)).collect()
+    got = _ml_preds(ML.decision_tree().fit(train), test)
+    assert got == want
+
+
+def test_forest_vote_matches_mllib(spark, binary_sets):
+    from pyspark.mllib.tree import RandomForest
+    train, test, train_rdd, test_rdd = binary_sets
+    old = RandomForest.trainClassifier(train_rdd, 2, {}, 2, featureSubsetStrategy="auto",
+                                       impurity="gini", maxDepth=5, maxBins=32, seed=11)
+    want = old.predict(test_rdd.map(lambda p: p.features)).collect()
+    got = _ml_preds(ML.random_forest().fit(train), test)
+    assert got == want
+
+
+def test_logistic_regression_matches_mllib(spark, binary_sets):
+    from pyspark.mllib.classification import LogisticRegressionWithLBFGS
+    train, test, train_rdd, test_rdd = binary_sets
+    old = LogisticRegressionWithLBFGS.train(train_rdd)
+    new = ML.logistic_regression().fit(train)
+    assert list(new.coefficients) == pytest.approx(list(old.weights), rel=1e-4, abs=1e-6)
+    want = old.predict(test_rdd.map(lambda p: p.features)).collect()
+    got = _ml_preds(new, test)
+    assert sum(a != b for a, b in zip(got, want)) <= len(want) // 200
+
+
+def test_boosting_matches_mllib(spark, binary_sets):
+    from pyspark.mllib.tree import GradientBoostedTrees
+    train, test, train_rdd, test_rdd = binary_sets
+    old = GradientBoostedTrees.trainClassifier(train_rdd, {}, loss="logLoss", numIterations=10,
+                                               learningRate=0.1, maxDepth=5, maxBins=32)
+    want = old.predict(test_rdd.map(lambda p: p.features)).collect()
+    got = _ml_preds(ML.gradient_boosted_trees().fit(train), test)
+    assert sum(a != b for a, b in zip(got, want)) <= len(want) // 200
