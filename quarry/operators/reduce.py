@@ -26,7 +26,8 @@ def _fix_sign(v: list[float]) -> list[float]:
 
 
 def top_component_2d_frame(df: DataFrame, x: str, y: str) -> DataFrame:
-    """One row ``(x_loading, y_loading, eigenvalue, explained_ratio)``.
+    """One row ``(x_loading, y_loading, eigenvalue, explained_ratio, x_mean,
+    y_mean)``.
 
     a, b, d = var(x), cov(x, y), var(y) (sample); the top eigenvalue is
     ((a + d) + sqrt((a - d)^2 + 4 b^2)) / 2.  The eigenvector is taken as
@@ -36,7 +37,9 @@ def top_component_2d_frame(df: DataFrame, x: str, y: str) -> DataFrame:
     """
     m = df.agg(F.var_samp(_q(x).cast("double")).alias("a"),
                F.covar_samp(_q(x).cast("double"), _q(y).cast("double")).alias("b"),
-               F.var_samp(_q(y).cast("double")).alias("d"))
+               F.var_samp(_q(y).cast("double")).alias("d"),
+               F.avg(_q(x).cast("double")).alias("x_mean"),
+               F.avg(_q(y).cast("double")).alias("y_mean"))
     a, b, d = F.col("a"), F.col("b"), F.col("d")
     lam = ((a + d) + F.sqrt((a - d) * (a - d) + F.lit(4.0) * b * b)) / F.lit(2.0)
     m = m.withColumn("lam", lam)
@@ -53,7 +56,8 @@ def top_component_2d_frame(df: DataFrame, x: str, y: str) -> DataFrame:
         (sign * F.col("vx") / norm).alias("x_loading"),
         (sign * F.col("vy") / norm).alias("y_loading"),
         F.col("lam").alias("eigenvalue"),
-        (F.col("lam") / (a + d)).alias("explained_ratio"))
+        (F.col("lam") / (a + d)).alias("explained_ratio"),
+        "x_mean", "y_mean")
 
 
 def principal_components(df: DataFrame, cols: Sequence[str], k: int = 1
@@ -99,9 +103,15 @@ def project(df: DataFrame, cols: Sequence[str], components: Sequence[Sequence[fl
 
 def pca_project(df: DataFrame, cols: Sequence[str], k: int = 1,
                 keep: Sequence[str] = ()) -> DataFrame:
-    """Centre, find the top ``k`` components, project.  Two driver round
-    trips of bounded size (p means, k x p loadings)."""
+    """Centre, find the top ``k`` components, project.  Bounded driver
+    round trips: one aggregate row for two columns; p means and k x p
+    loadings otherwise."""
     cols = list(cols)
+    if len(cols) == 2 and k == 1:
+        # means, moments and the component from one aggregate
+        r = top_component_2d_frame(df, cols[0], cols[1]).first()
+        return project(df, cols, [[r["x_loading"], r["y_loading"]]],
+                       [r["x_mean"], r["y_mean"]], keep)
     row = df.agg(*[F.avg(_q(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
     means = [row[f"m{i}"] for i in range(len(cols))]
     comps, _ = principal_components(df, cols, k)

@@ -9,6 +9,7 @@ checkpoint folder, never to a machine-local path.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -131,8 +132,10 @@ def flags(spark: SparkSession, sf_dir: str, keys: bool = True) -> DataFrame:
 
 
 def _path(spark: SparkSession, name: str, sf_dir: str) -> str:
+    """A fresh folder per call: a DataFrame returned earlier keeps reading
+    its own files even when the same query runs again."""
     tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:10]
-    return shared_dir(spark, "fixtures", f"{name}-{FORMAT_VERSION}-{tag}")
+    return shared_dir(spark, "fixtures", f"{name}-{FORMAT_VERSION}-{tag}-{uuid.uuid4().hex[:12]}")
 
 
 def clinical_csv(spark: SparkSession, sf_dir: str) -> str:
