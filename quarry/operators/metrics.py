@@ -132,10 +132,18 @@ def precision_by_class(df: DataFrame, classes: Sequence[float], prediction: str
     return class_stats(df, classes, prediction, label).select("label", "precision")
 
 
-def present_classes(df: DataFrame, label: str = "label") -> list[float]:
-    """Distinct labels (the class domain of the metrics), a bounded list."""
-    return sorted(float(r[0]) for r in df.select(_q(label)).distinct().collect()
-                  if r[0] is not None)
+MAX_CLASSES = 10_000
+
+
+def present_classes(df: DataFrame, label: str = "label",
+                    max_classes: int = MAX_CLASSES) -> list[float]:
+    """Distinct labels (the class domain of the metrics).  At most
+    ``max_classes`` rows are fetched; more means the column is not a class
+    label, and the call fails instead of pulling an unbounded set."""
+    rows = df.select(_q(label)).distinct().limit(max_classes + 1).collect()
+    if len(rows) > max_classes:
+        raise ValueError(f"{label!r} has more than {max_classes} distinct values")
+    return sorted(float(r[0]) for r in rows if r[0] is not None)
 
 
 def weighted_precision(df: DataFrame, classes: Sequence[float] | None = None,

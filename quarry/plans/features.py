@@ -314,6 +314,18 @@ def q_lambda_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
                     *[F.round(c, 8).alias(c) for c in ("coefficient", "intercept", "r2")])
 
 
+@query("lambda_sweep_libsvm", SWEEP_SQL + f"""
+SELECT elastic_net, CAST(step AS INTEGER) AS step, reg_param, round({R2_SQL}, 8) + 0.0 AS r2
+FROM fit""")
+def q_lambda_sweep_libsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sweep end to end from a libsvm file (label, one feature): read,
+    one moment pass, 303 cells."""
+    pts = FS.read_libsvm(spark, regression_libsvm(spark, sf_dir), num_features=1)
+    data = FS.vector_columns(pts, "features", 1, prefix="x", keep=("label",))
+    s = RG.lambda_sweep_1d(data, "x0", "label")
+    return s.select("elastic_net", "step", "reg_param", F.round("r2", 8).alias("r2"))
+
+
 @query("lambda_sweep_report", SWEEP_SQL + f"""
 SELECT elastic_net, CAST(step AS INTEGER) AS step, printf('%.1f', reg_param) AS lambda_text,
        round({R2_SQL}, 8) + 0.0 AS r2 FROM fit""")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.session import shared_dir
+from quarry.sources import delimited as DL
 from quarry.sources import files as FS
 from quarry.sources.tables import table
 
@@ -155,8 +156,7 @@ def regression_libsvm(spark: SparkSession, sf_dir: str) -> str:
 def numeric_class_lines(spark: SparkSession, sf_dir: str) -> str:
     """Comma-separated numeric lines, the class (l_linenumber, 1..7) last."""
     li = table(spark, sf_dir, "lineitem")
-    line = F.concat_ws(",", *[F.col(c).cast("string") for c in FLAG_FEATURES],
-                       F.col("l_linenumber").cast("string"))
+    line = DL.to_delimited_line([*FLAG_FEATURES, "l_linenumber"])
     return FS.write_lines(li, line, _path(spark, "numeric-class-lines", sf_dir))
 
 
@@ -167,6 +167,5 @@ def named_class_lines(spark: SparkSession, sf_dir: str) -> str:
     for k, v in FLAG_NAME.items():
         c = F.col("l_returnflag") == k
         name = F.when(c, F.lit(v)) if name is None else name.when(c, F.lit(v))
-    line = F.concat_ws(",", *[F.col(c).cast("string") for c in FLAG_FEATURES],
-                       name.otherwise(F.lit("")))
+    line = DL.to_delimited_line([*FLAG_FEATURES, name.otherwise(F.lit(""))])
     return FS.write_lines(li, line, _path(spark, "named-class-lines", sf_dir))

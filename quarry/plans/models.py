@@ -16,8 +16,10 @@ from quarry.operators import features as FE
 from quarry.operators import metrics as M
 from quarry.operators import models as ML
 from quarry.operators import trials as TR
+from quarry.operators.cleaning import drop_unlabeled
 from quarry.plans.cleaning import prepared
-from quarry.plans.fixtures import CLASSES_7, FLAG_FEATURES, flags, numeric_class_lines
+from quarry.plans.fixtures import (CLASSES_7, FLAG_FEATURES, flags, named_class_lines,
+                                   numeric_class_lines)
 from quarry.plans.registry import query
 from quarry.sources import delimited as DL
 from quarry.sources.text import read_text_lines
@@ -121,8 +123,13 @@ def q_linear_svm_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("pairwise_svm")
 def q_pairwise_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Class pairs 0/1, 0/2, 1/2 and kernel-expanded 1/2: hits and AUC."""
-    return TR.pairwise_svm(spark, flags(spark, sf_dir, keys=False), FLAG_FEATURES)
+    """The three-class flow from its text file: parse four numbers and a
+    class name, drop unknown classes, then class pairs 0/1, 0/2, 1/2 and the
+    kernel-expanded pair 1/2: hits and AUC."""
+    lines = read_text_lines(spark, named_class_lines(spark, sf_dir))
+    points = drop_unlabeled(DL.parse_text_label(lines, n_features=4))
+    feats = [c for c in points.columns if c != "label"]
+    return TR.pairwise_svm(spark, points, feats)
 
 
 @query("trial_results")

@@ -64,6 +64,6 @@ def fields_vector(lines: DataFrame, line_col: str = "line", sep: str = ",") -> D
 
 
 def to_delimited_line(cols: Sequence, sep: str = ",") -> F.Column:
-    """Render columns as one delimited text line."""
-    return F.concat_ws(sep, *[c.cast("string") if not isinstance(c, str) else F.col(c).cast(
-        "string") for c in cols])
+    """Render columns (names or expressions) as one delimited text line."""
+    return F.concat_ws(sep, *[(F.col(c) if isinstance(c, str) else c).cast("string")
+                              for c in cols])
