@@ -210,3 +210,13 @@ def q_assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = C.encode_binary_label(clinical(spark, sf_dir), "exam_result")
     vec = FE.assemble_features(df, "exam_result")
     return FE.unpack_vector(vec, "features", len(_FEATS), keep=("label",))
+
+
+@query("prepared_label_distribution", "WITH prepared AS (" + CLEAN_SQL + ")\n"
+       + "\nUNION ALL\n".join(
+           f"SELECT {k}::DOUBLE AS label, CAST(count_if(exam_result = {k}) AS BIGINT) AS n "
+           "FROM prepared" for k in (0.0, 1.0)))
+def q_prepared_label_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label ratios of the cleaned table (both classes, 0 when absent)."""
+    from quarry.operators.metrics import label_distribution
+    return label_distribution(prepared(spark, sf_dir), "exam_result", (0.0, 1.0))
