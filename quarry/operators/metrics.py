@@ -83,6 +83,32 @@ def confusion_counts(df: DataFrame, prediction: str = "prediction",
         hard_auc_expr().alias("auc"))
 
 
+def confusion_by_model(df: DataFrame, predictions: Sequence[tuple[str, str]],
+                       label: str = "label", name_col: str = "test") -> DataFrame:
+    """Confusion cells, accuracy and hard-prediction AUC for several
+    prediction columns of the same rows, in ONE aggregate: ``predictions``
+    is ``[(model name, prediction column), ...]``; one output row per model."""
+    y = _q(label)
+    aggs = []
+    for i, (_, col) in enumerate(predictions):
+        p = _q(col)
+        aggs += [F.count_if((p == 1.0) & (y == 0.0)).alias(f"fp{i}"),
+                 F.count_if((p == 0.0) & (y == 0.0)).alias(f"tn{i}"),
+                 F.count_if((p == 1.0) & (y == 1.0)).alias(f"tp{i}"),
+                 F.count_if((p == 0.0) & (y == 1.0)).alias(f"fn{i}")]
+    wide = df.agg(*aggs)
+    cells = wide.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias(name_col), F.col(f"fp{i}").alias("fp"),
+                 F.col(f"tn{i}").alias("tn"), F.col(f"tp{i}").alias("tp"),
+                 F.col(f"fn{i}").alias("fn"))
+        for i, (name, _) in enumerate(predictions)])))
+    total = F.col("fp") + F.col("tn") + F.col("tp") + F.col("fn")
+    return cells.select(
+        name_col, "fp", "tn", "tp", "fn",
+        F.when(total > 0, (F.col("tp") + F.col("tn")) / total).alias("accuracy"),
+        hard_auc_expr().alias("auc"))
+
+
 def accuracy(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
     """Share of rows with prediction == label."""
     return df.agg(F.avg((_q(prediction) == _q(label)).cast("double")).alias("accuracy"))

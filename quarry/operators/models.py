@@ -47,14 +47,17 @@ def linear_svm() -> LinearSVC:
                      standardization=False)
 
 
-def predict(model, df: DataFrame, out: str = "prediction") -> DataFrame:
-    """``df`` plus the model's hard prediction (only that column is added)."""
-    m = model.copy()
+def predict(model, df: DataFrame, out: str = "prediction",
+            features_col: str | None = None) -> DataFrame:
+    """``df`` plus the model's hard prediction (only that column is added);
+    ``features_col`` reads the features from another vector column."""
     params = {"predictionCol": out}
+    if features_col is not None:
+        params["featuresCol"] = features_col
     for p in ("rawPredictionCol", "probabilityCol"):
-        if m.hasParam(p):
+        if model.hasParam(p):
             params[p] = ""
-    m = m.copy({m.getParam(k): v for k, v in params.items()})
+    m = model.copy({model.getParam(k): v for k, v in params.items()})
     return m.transform(df)
 
 
@@ -65,7 +68,8 @@ def svm_margin(model, df: DataFrame, out: str = "score") -> DataFrame:
     return m.transform(df).withColumn(out, vector_to_array(F.col("__raw"))[1]).drop("__raw")
 
 
-def forest_vote(model, df: DataFrame, out: str = "prediction") -> DataFrame:
+def forest_vote(model, df: DataFrame, out: str = "prediction",
+                features_col: str | None = None) -> DataFrame:
     """Majority vote of the forest's trees, ties to class 0 (the averaged
     probability of ``RandomForestClassificationModel`` can break a two-tree
     tie the other way)."""
@@ -73,15 +77,16 @@ def forest_vote(model, df: DataFrame, out: str = "prediction") -> DataFrame:
     names = []
     for i, tree in enumerate(model.trees):
         name = f"__tree{i}"
-        cur = predict(tree, cur, name)
+        cur = predict(tree, cur, name, features_col or model.getFeaturesCol())
         names.append(name)
     ones = sum((F.col(n) == 1.0).cast("int") for n in names)
     return cur.withColumn(out, F.when(ones * 2 > len(names), F.lit(1.0)).otherwise(F.lit(0.0))) \
         .drop(*names)
 
 
-def score(model, df: DataFrame, out: str = "prediction") -> DataFrame:
+def score(model, df: DataFrame, out: str = "prediction",
+          features_col: str | None = None) -> DataFrame:
     """Hard predictions, with the forest vote for random forests."""
     if hasattr(model, "trees") and model.__class__.__name__.startswith("RandomForest"):
-        return forest_vote(model, df, out)
-    return predict(model, df, out)
+        return forest_vote(model, df, out, features_col)
+    return predict(model, df, out, features_col)

@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,50 +71,62 @@ def _minmax_by_side(df: DataFrame, feats: Sequence[str]) -> dict[str, dict]:
     return out
 
 
-def _normalized(df: DataFrame, feats: Sequence[str], stats: dict) -> DataFrame:
-    return df.select("label", *[min_max_expr(_q(c), *stats[c]).alias(c) for c in feats])
+def _with_feature_vectors(df: DataFrame, feats: Sequence[str], stats: dict | None) -> DataFrame:
+    """``(label, features, norm_features)``: the raw feature vector and, when
+    ``stats`` is given, the min-max scaled one, side by side on each row."""
+    cols = [F.col("label"), *[_q(c) for c in feats]]
+    if stats is not None:
+        cols += [min_max_expr(_q(c), *stats[c]).alias(f"__n_{c}") for c in feats]
+    wide = df.select(*cols)
+    vec = VectorAssembler(inputCols=list(feats), outputCol="features", handleInvalid="error")
+    out = vec.transform(wide)
+    keep = ["label", "features"]
+    if stats is not None:
+        nvec = VectorAssembler(inputCols=[f"__n_{c}" for c in feats], outputCol="norm_features",
+                               handleInvalid="error")
+        out = nvec.transform(out)
+        keep.append("norm_features")
+    return out.select(*keep)
 
 
 def run_trial(spark: SparkSession, hashed: DataFrame, feats: Sequence[str], iteration: int,
               train_share: float = TRIAL_TRAIN_SHARE, normalize_mode: str = "per_set",
               parallelism: int = 4) -> list[tuple]:
-    """One 60/40 holdout: fit every model, score all in one aggregate."""
+    """One 60/40 holdout: fit every model, score all in one pass.
+
+    The training side is persisted ONCE with both feature vectors (raw and
+    min-max scaled); the test side is not cached: every model's prediction
+    is added to the same rows and one aggregate counts all confusion cells.
+    """
     cut = int(round(train_share * 100))
     sided = hashed.withColumn("__side", F.when(salted_bucket("__h", iteration) < cut,
                                                F.lit("train")).otherwise(F.lit("test")))
-    train = sided.filter(F.col("__side") == "train")
-    test = sided.filter(F.col("__side") == "test")
     stats = _minmax_by_side(sided, feats)
     if normalize_mode == "train":
         stats["test"] = stats.get("train")
-    frames = {
-        "raw_train": assemble(train.select("label", *feats), feats),
-        "raw_test": assemble(test.select("label", *feats), feats),
-    }
-    if stats.get("train") and stats.get("test"):
-        frames["norm_train"] = assemble(_normalized(train, feats, stats["train"]), feats)
-        frames["norm_test"] = assemble(_normalized(test, feats, stats["test"]), feats)
-    cached = {k: v.persist() for k, v in frames.items()}
+    normalized = bool(stats.get("train") and stats.get("test"))
+    train = _with_feature_vectors(sided.filter(F.col("__side") == "train"), feats,
+                                  stats.get("train") if normalized else None).persist()
     try:
-        jobs = [(name, make, "raw") for name, make in RAW_MODELS]
-        if "norm_train" in cached:
-            jobs += [(name, make, "norm") for name, make in NORMALIZED_MODELS]
+        jobs = [(name, make, "features") for name, make in RAW_MODELS]
+        if normalized:
+            jobs += [(name, make, "norm_features") for name, make in NORMALIZED_MODELS]
 
         def fit(job):
-            name, make, kind = job
-            return name, kind, make().fit(cached[f"{kind}_train"])
+            name, make, col = job
+            return name, col, make().setFeaturesCol(col).fit(train)
 
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             fitted = list(pool.map(fit, jobs))
-        preds = None
-        for name, kind, model in fitted:
-            p = ML.score(model, cached[f"{kind}_test"]).select(
-                F.lit(name).alias("test"), "prediction", "label")
-            preds = p if preds is None else preds.unionByName(p)
-        rows = M.confusion_counts(preds, by=["test"]).collect()
     finally:
-        for v in cached.values():
-            v.unpersist()
+        train.unpersist()
+    test = _with_feature_vectors(sided.filter(F.col("__side") == "test"), feats,
+                                 stats.get("test") if normalized else None)
+    preds = []
+    for i, (name, col, model) in enumerate(fitted):
+        test = ML.score(model, test, f"__p{i}", col)
+        preds.append((name, f"__p{i}"))
+    rows = M.confusion_by_model(test, preds).collect()
     order = {name: i for i, (name, _, _) in enumerate(jobs)}
     rows = sorted(rows, key=lambda r: order[r["test"]])
     return [(int(iteration), r["test"], int(r["fp"]), int(r["tn"]), int(r["tp"]), int(r["fn"]),
