@@ -142,11 +142,21 @@ def numeric_quartiles(df: DataFrame, cols: Sequence[str] | None = None,
 
 # --- sparse rows ------------------------------------------------------------
 
+def balanced_sum(terms: Sequence[Column]) -> Column:
+    """``t0 + t1 + ...`` as a balanced tree (depth log n), so a table with
+    thousands of columns does not build an expression thousands deep."""
+    terms = list(terms)
+    if not terms:
+        return F.lit(0)
+    while len(terms) > 1:
+        terms = [terms[i] + terms[i + 1] if i + 1 < len(terms) else terms[i]
+                 for i in range(0, len(terms), 2)]
+    return terms[0]
+
+
 def null_count_expr(cols: Sequence[str]) -> Column:
     """Number of null cells among ``cols`` in a row (JVM-side sum)."""
-    if not cols:
-        return F.lit(0)
-    return sum((_q(c).isNull().cast("int") for c in cols), F.lit(0))
+    return balanced_sum([_q(c).isNull().cast("int") for c in cols])
 
 
 def row_null_count(df: DataFrame, out_col: str = "null_count") -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.ml.feature import PCA
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.cleaning import _q
+from quarry.operators.cleaning import _q, balanced_sum
 from quarry.operators.features import assemble
 
 
@@ -85,10 +85,7 @@ def projection_expr(cols: Sequence[str], loadings: Sequence[float],
         if means is not None:
             x = x - F.lit(float(means[i]))
         terms.append(x * F.lit(float(loadings[i])))
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out
+    return balanced_sum(terms)
 
 
 def project(df: DataFrame, cols: Sequence[str], components: Sequence[Sequence[float]],

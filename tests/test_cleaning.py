@@ -107,3 +107,16 @@ def test_fill_values_come_from_one_job(spark):
     df = spark.createDataFrame([(1, 1.0, None, "detected"), (2, None, 4.0, None)], SCHEMA)
     means, modes = C.fit_fill_values(df, ["a", "b"], ["s"])
     assert means == {"a": 1.0, "b": 4.0} and modes == {"s": "detected"}
+
+
+def test_wide_table_one_select(spark):
+    n = 600
+    cols = [f"c{i}" for i in range(n)]
+    row_a = tuple(None if i % 2 else 1.0 for i in range(n))      # half null: dropped
+    row_b = tuple(None if i % 10 == 0 else 2.0 for i in range(n))  # 10 % null: kept
+    df = spark.createDataFrame([row_a, row_b], ", ".join(f"{c} double" for c in cols))
+    assert C.row_null_count(df).select("null_count").collect()[0][0] == n // 2
+    assert C.drop_sparse_rows(df).count() == 1
+    assert len(C.drop_sparse_columns(df).columns) == n
+    out = C.impute_mean(df, cols).first()
+    assert out["c1"] == 2.0 and out["c0"] == 1.0
