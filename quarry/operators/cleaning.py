@@ -127,6 +127,20 @@ def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
         for i, c in enumerate(cols)])))
 
 
+def text_summary(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """``(column_name, n_filled, min, max)`` for text columns (the text part
+    of ``summary``), from one aggregate."""
+    cols = list(cols) if cols is not None else columns_by_type(df, "string")
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [F.count(_q(c)).alias(f"n{i}"), F.min(_q(c)).alias(f"lo{i}"),
+                 F.max(_q(c)).alias(f"hi{i}")]
+    return df.agg(*aggs).select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n_filled"),
+                 F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
+        for i, c in enumerate(cols)])))
+
+
 def numeric_quartiles(df: DataFrame, cols: Sequence[str] | None = None,
                       accuracy: int = 10000) -> DataFrame:
     """Approximate 25/50/75 % points per numeric column (the same sketch

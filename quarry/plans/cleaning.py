@@ -88,6 +88,13 @@ def q_column_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.round("stddev", 6).alias("stddev"), "min", "max")
 
 
+@query("column_summary_text", W + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS n_filled, min({c}) AS min, max({c}) AS max "
+    "FROM clinical" for c in TEXT_COLS))
+def q_column_summary_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.text_summary(clinical(spark, sf_dir))
+
+
 @query("column_quartiles")
 def q_column_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Approximate quartiles (the sketch ``summary`` uses): rows-only."""
