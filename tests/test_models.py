@@ -148,3 +148,31 @@ def test_boosting_matches_mllib(spark, binary_sets):
     want = old.predict(test_rdd.map(lambda p: p.features)).collect()
     got = _ml_preds(ML.gradient_boosted_trees().fit(train), test)
     assert sum(a != b for a, b in zip(got, want)) <= len(want) // 200
+
+
+def test_sgd_svm_matches_mllib(spark, binary_sets):
+    from pyspark.mllib.classification import SVMWithSGD
+    train, test, train_rdd, test_rdd = binary_sets
+    old = SVMWithSGD.train(train_rdd, 100)
+    new = ML.linear_svm().fit(train)
+    assert new.weights == pytest.approx(list(old.weights), rel=1e-7, abs=1e-9)
+    want = old.predict(test_rdd.map(lambda p: p.features)).collect()
+    got = _ml_preds(new, test)
+    assert got == want
+
+
+def test_sgd_svm_stops_on_tolerance(spark, binary_sets):
+    from pyspark.mllib.classification import SVMWithSGD
+    train, test, train_rdd, test_rdd = binary_sets
+    from quarry.operators.svm_sgd import SgdSvm
+    scaled = FE.min_max_normalize(
+        FE.unpack_vector(train, "features", len(train.first()["features"]), keep=("label",)),
+        [f"f{i}" for i in range(len(train.first()["features"]))])
+    feats = [c for c in scaled.columns if c != "label"]
+    vec = FE.assemble(scaled, feats)
+    model = SgdSvm(iterations=300, step=1.0, reg=0.01).fit(vec)
+    from pyspark.mllib.linalg import Vectors as OldVectors
+    from pyspark.mllib.regression import LabeledPoint
+    rdd = vec.rdd.map(lambda r: LabeledPoint(r["label"], OldVectors.dense(r["features"].toArray())))
+    old = SVMWithSGD.train(rdd, 300)
+    assert model.weights == pytest.approx(list(old.weights), rel=1e-6, abs=1e-9)
