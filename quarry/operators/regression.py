@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from quarry.operators.cleaning import _q
 from quarry.operators.features import assemble
+from quarry.sources.results import result_rows
 
 # The sweep the reference runs.  Elastic-net mixes, then
 # lambda from 0.0 by repeated addition of 0.1 while not above 10.05.
@@ -128,7 +129,7 @@ def lambda_sweep_ml(spark: SparkSession, df: DataFrame, features: Sequence[str],
             rows[idx] = (a, step, float(lambdas[step]), float(model.summary.r2))
     finally:
         data.unpersist()
-    return spark.createDataFrame(rows, SWEEP_SCHEMA)
+    return result_rows(spark, rows, SWEEP_SCHEMA)
 
 
 def sweep_report(sweep: DataFrame, r2_places: int = 8) -> DataFrame:

@@ -25,6 +25,7 @@ from quarry.operators.cleaning import _q
 from quarry.operators.features import (assemble, class_pair_subset, kernel_expand,
                                        min_max_expr, relabel_pair)
 from quarry.session import ensure_checkpoint_dir
+from quarry.sources.results import result_rows
 
 # The trial line-up (test names as the reference prints them)
 # and its split.
@@ -146,7 +147,7 @@ def repeated_holdout(spark: SparkSession, frame: DataFrame, iterations: int = TR
     rows: list[tuple] = []
     for it in range(1, iterations + 1):
         rows += run_trial(spark, hashed, feats, it, train_share, normalize_mode, parallelism)
-    return spark.createDataFrame(rows, TRIAL_SCHEMA)
+    return result_rows(spark, rows, TRIAL_SCHEMA)
 
 
 def trial_averages(trials: DataFrame) -> DataFrame:
@@ -209,7 +210,7 @@ def pairwise_svm(spark: SparkSession, data: DataFrame, feats: Sequence[str],
                      [c for c in exp.columns if c != "label"]))
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         rows = list(pool.map(lambda j: svm_holdout(*j), jobs))
-    return spark.createDataFrame(rows, PAIR_SCHEMA)
+    return result_rows(spark, rows, PAIR_SCHEMA)
 
 
 # --- single holdout of a multiclass tree -----------------------------------

@@ -17,6 +17,7 @@ from quarry.plans.fixtures import (FLAG_FEATURES, FLAG_LABEL_SQL, LINE_KEYS, fla
 from quarry.plans.registry import query
 from quarry.sources import delimited as DL
 from quarry.sources import files as FS
+from quarry.sources.results import result_rows
 from quarry.sources.tables import table
 from quarry.sources.text import read_text_lines
 
@@ -345,7 +346,7 @@ def _ml_fit_frame(spark: SparkSession, sf_dir: str, alpha: float, lam: float) ->
     model = RG.fit_linear(regression_frame(spark, sf_dir), [REG_X], REG_Y, lam, alpha)
     row = (alpha, lam, round(float(model.coefficients[0]), 6), round(float(model.intercept), 6),
            round(float(model.summary.r2), 8))
-    return spark.createDataFrame([row], FIT_SCHEMA)
+    return result_rows(spark, [row], FIT_SCHEMA)
 
 
 @query("linear_regression", "WITH " + MOMENTS_SQL + f""",
