@@ -136,18 +136,32 @@ def run_trial(spark: SparkSession, hashed: DataFrame, feats: Sequence[str], iter
 
 def repeated_holdout(spark: SparkSession, frame: DataFrame, iterations: int = TRIAL_ITERATIONS,
                      train_share: float = TRIAL_TRAIN_SHARE, normalize_mode: str = "per_set",
-                     parallelism: int = 4, checkpoint: bool = True) -> DataFrame:
+                     parallelism: int = 4, checkpoint: bool = True,
+                     concurrent_trials: int = 1) -> DataFrame:
     """``(iteration, test, fp, tn, tp, fn, accuracy, auc)`` for every trial
-    and model.  ``frame`` is ``(label, *double features)``."""
+    and model.  ``frame`` is ``(label, *double features)``.
+
+    ``concurrent_trials`` trials run at once (each caches its own training
+    side while it runs): on small data the step-by-step SVM is bound by job
+    latency, and overlapping trials keeps the cores busy; on large data keep
+    1 so that one training side is cached at a time.
+    """
     feats = [c for c in frame.columns if c != "label"]
     hashed = with_row_hash(frame)
     if checkpoint:
         ensure_checkpoint_dir(spark)
         hashed = hashed.checkpoint(eager=True)
-    rows: list[tuple] = []
-    for it in range(1, iterations + 1):
-        rows += run_trial(spark, hashed, feats, it, train_share, normalize_mode, parallelism)
-    return result_rows(spark, rows, TRIAL_SCHEMA)
+
+    def one(it: int) -> list[tuple]:
+        return run_trial(spark, hashed, feats, it, train_share, normalize_mode, parallelism)
+
+    its = range(1, iterations + 1)
+    if concurrent_trials > 1:
+        with ThreadPoolExecutor(max_workers=concurrent_trials) as pool:
+            parts = list(pool.map(one, its))
+    else:
+        parts = [one(it) for it in its]
+    return result_rows(spark, [r for part in parts for r in part], TRIAL_SCHEMA)
 
 
 def trial_averages(trials: DataFrame) -> DataFrame:

@@ -137,7 +137,7 @@ def q_trial_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated 60/40 holdouts of the five raw and three normalised models."""
     # the cleaned input is already checkpointed by ``prepared``
     return TR.repeated_holdout(spark, trial_frame(spark, sf_dir), iterations=TRIALS_IN_QUERY,
-                               checkpoint=False)
+                               checkpoint=False, concurrent_trials=TRIALS_IN_QUERY)
 
 
 @query("trial_averages")
