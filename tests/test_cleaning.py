@@ -120,3 +120,16 @@ def test_wide_table_one_select(spark):
     assert len(C.drop_sparse_columns(df).columns) == n
     out = C.impute_mean(df, cols).first()
     assert out["c1"] == 2.0 and out["c0"] == 1.0
+
+
+def test_quartiles_against_sorted_values(spark):
+    import math
+    import random
+    rnd = random.Random(4)
+    vals = [rnd.uniform(0, 100) for _ in range(3001)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double").repartition(4)
+    r = C.numeric_quartiles(df, ["v"]).first()
+    s = sorted(vals)
+    # the sketch returns the value of rank ceil(q * n) (exact for n below its accuracy)
+    for q, got in ((0.25, r["p25"]), (0.5, r["p50"]), (0.75, r["p75"])):
+        assert got == s[math.ceil(q * len(s)) - 1]
