@@ -35,13 +35,14 @@ def _num(v: float) -> str:
 
 
 def _margin_sql(w: Sequence[float], lo: int = 0, hi: int | None = None) -> str:
-    """``x[0] * w0 + x[1] * w1 + ...`` as SQL text, grouped as a balanced
-    tree; doubles are written in their exact shortest form."""
+    """``x0 * w0 + x1 * w1 + ...`` as SQL text over the feature columns
+    ``x0 ..``, grouped as a balanced tree; doubles are written in their
+    exact shortest form."""
     hi = len(w) if hi is None else hi
     if hi - lo == 0:
         return "0.0D"
     if hi - lo == 1:
-        return f"(x[{lo}] * {_num(w[lo])})"
+        return f"(x{lo} * {_num(w[lo])})"
     mid = (lo + hi) // 2
     return f"({_margin_sql(w, lo, mid)} + {_margin_sql(w, mid, hi)})"
 
@@ -82,8 +83,9 @@ def _as_array(df: DataFrame, col: str) -> Column:
 class SgdSvm:
     """Estimator: ``SgdSvm().setFeaturesCol(c).fit(df)`` -> :class:`SgdSvmModel`.
 
-    Labels must be 0/1.  The features are turned into an ``array<double>``
-    once and cached for the iterations (released after the fit).
+    Labels must be 0/1.  The features are unpacked once into one double
+    column each (a primitive columnar cache) and cached for the iterations,
+    released after the fit.
     """
 
     def __init__(self, iterations: int = SGD_ITERATIONS, step: float = SGD_STEP,
@@ -97,20 +99,22 @@ class SgdSvm:
         return self
 
     def fit(self, df: DataFrame) -> SgdSvmModel:
+        arr = _as_array(df, self.features_col)
+        first = df.select(F.size(arr).alias("p")).limit(1).collect()
+        p = int(first[0]["p"]) if first else 0
+        xs = [f"x{j}" for j in range(p)]
         data = df.select(_q(self.label_col).cast("double").alias("y"),
-                         _as_array(df, self.features_col).alias("x")).persist()
+                         *[arr[j].alias(x) for j, x in enumerate(xs)]).persist()
         try:
-            first = data.select(F.size("x").alias("p")).first()
-            p = int(first["p"]) if first is not None else 0
             w = [0.0] * p
             done = 0
-            grads = [F.expr(f"sum(CASE WHEN 1.0D > ys * m THEN -ys * x[{j}] ELSE 0.0D END)")
+            grads = [F.expr(f"sum(CASE WHEN 1.0D > ys * m THEN -ys * x{j} ELSE 0.0D END)")
                      .alias(f"g{j}") for j in range(p)]
             for i in range(1, self.iterations + 1):
                 # the weights enter as SQL text: one call per iteration builds
                 # the projection (building column objects costs more than the
                 # job on small partitions)
-                row = data.selectExpr("x", "2.0D * y - 1.0D AS ys", f"{_margin_sql(w)} AS m") \
+                row = data.selectExpr(*xs, "2.0D * y - 1.0D AS ys", f"{_margin_sql(w)} AS m") \
                     .agg(F.count(F.lit(1)).alias("n"), *grads).collect()[0]
                 done = i
                 n = int(row["n"])
