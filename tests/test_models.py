@@ -176,3 +176,19 @@ def test_sgd_svm_stops_on_tolerance(spark, binary_sets):
     rdd = vec.rdd.map(lambda r: LabeledPoint(r["label"], OldVectors.dense(r["features"].toArray())))
     old = SVMWithSGD.train(rdd, 300)
     assert model.weights == pytest.approx(list(old.weights), rel=1e-6, abs=1e-9)
+
+
+def test_models_beat_majority_on_separable_target(spark):
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    data = li.select((F.col("l_quantity") > 25).cast("double").alias("label"),
+                     "l_quantity", "l_discount", "l_tax")
+    feats = ["l_quantity", "l_discount", "l_tax"]
+    scaled = FE.assemble(FE.min_max_normalize(data, feats), feats).persist()
+    majority = max(scaled.agg(F.avg("label")).first()[0],
+                   1 - scaled.agg(F.avg("label")).first()[0])
+    for make in (ML.decision_tree, ML.logistic_regression, ML.random_forest,
+                 ML.gradient_boosted_trees, ML.linear_svm):
+        model = make().fit(scaled)
+        acc = M.accuracy(ML.score(model, scaled)).first()["accuracy"]
+        assert acc > majority + 0.1, (make.__name__, acc, majority)
+    scaled.unpersist()
