@@ -53,7 +53,7 @@ PRIOR_FLAT, PRIOR_SHARE = 0.5, 50.0
 Z = 2.58
 DRIFT = 0.25
 #: Largest p-value of a significant segment.
-ALPHA = 0.05
+ALPHA = 0.01
 #: Word bytes: digits, letters (lower-cased) and everything beyond ASCII.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or 48 <= c <= 57 or c > 127 else 32
                    for c in range(256))
