@@ -28,7 +28,7 @@ def java_split_spaces(line: str | Column) -> Column:
     dropped, an empty line gives ``[""]`` and an all-space line gives ``[]``.
     """
     line = _col(line)
-    trimmed = F.regexp_replace(line, " +$", "")
+    trimmed = F.rtrim(line)  # spaces only
     return (
         F.when(line == "", F.array(F.lit("")))
         .when(trimmed == "", F.array().cast("array<string>"))
@@ -37,7 +37,11 @@ def java_split_spaces(line: str | Column) -> Column:
 
 
 def parse_double(c: str | Column, strict: bool = True) -> Column:
-    """Text to double.  ``strict`` fails on bad text (ANSI cast); otherwise
-    bad text becomes null."""
+    """Text to double.  ``strict`` fails on bad text, whatever the session's
+    ANSI setting; otherwise bad text becomes null."""
     c = _col(c)
-    return c.cast("double") if strict else c.try_cast("double")
+    value = c.try_cast("double")
+    if not strict:
+        return value
+    bad = F.raise_error(F.concat(F.lit("not a number: "), c.cast("string"))).cast("double")
+    return F.when(c.isNotNull(), F.coalesce(value, bad))

@@ -295,6 +295,9 @@ def drop_unlabeled(df: DataFrame, label_col: str = "label") -> DataFrame:
 
 # --- the whole cleaning chain -----------------------------------------------
 
+#: Column of the stable row id that splits use.
+ROW = "__row"
+
 def fit_fill_values(df: DataFrame, mean_cols: Sequence[str], mode_cols: Sequence[str],
                     first: str = DETECTED, second: str = NOT_DETECTED
                     ) -> tuple[dict[str, float | None], dict[str, str]]:
@@ -316,7 +319,7 @@ def prepare_table(df: DataFrame, id_col: str, label_col: str,
                   drop_before_encoding: Iterable[str] = (),
                   drop_after: Iterable[str] = (),
                   min_share: float = SPARSE_COLUMN_SHARE,
-                  checkpoint: bool = False) -> DataFrame:
+                  checkpoint: bool = False, row_key: Column | None = None) -> DataFrame:
     """Sparse table -> trainable table, in the reference's order:
 
     1. label text -> 1.0 / 0.0;
@@ -333,16 +336,20 @@ def prepare_table(df: DataFrame, id_col: str, label_col: str,
     data); everything else is one lazy plan.  With ``checkpoint`` the rows
     of step 3 are written once to the shared checkpoint folder, so the fill
     aggregate and the final plan read them instead of each re-running the
-    self semi join (and lineage stops there).
+    self semi join (and lineage stops there).  ``row_key``, an expression over
+    the columns of step 3, is kept as text column ``__row``: the stable row id
+    that splits use once the id column is gone.
     """
     df = encode_binary_label(df, label_col)
     df = drop_sparse_columns(df, min_share)
     df = semi_join_healthy_ids(df, id_col)
+    if row_key is not None:
+        df = df.withColumn(ROW, row_key.cast("string"))
     if checkpoint:
         from quarry.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
-    skip = {id_col, label_col}
+    skip = {id_col, label_col, ROW}
     dbl = [c for c in df.columns if c not in skip
            and isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))]
     txt = [c for c in columns_by_type(df, "string") if c not in skip]
@@ -350,5 +357,5 @@ def prepare_table(df: DataFrame, id_col: str, label_col: str,
     df = impute_mean(df, dbl, means)
     df = impute_two_value_mode(df, txt, modes=modes)
     df = drop_columns(df, drop_before_encoding)
-    df = encode_string_columns(df, exclude=[id_col])
+    df = encode_string_columns(df, exclude=[id_col, ROW])
     return drop_columns(df, [id_col, *drop_after])

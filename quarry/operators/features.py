@@ -37,6 +37,15 @@ def class_pair_subset(df: DataFrame, keep: tuple[float, float],
     return df.filter(_q(label_col).isin(float(keep[0]), float(keep[1])))
 
 
+def explode_pairs(df: DataFrame, pairs: Sequence[tuple[str, tuple[float, float]]],
+                  label_col: str = "label") -> DataFrame:
+    """Every row once per named class pair it belongs to (column ``pair``):
+    all subsets of :func:`class_pair_subset` from one scan."""
+    names = F.array_compact(F.array(*[
+        F.when(_q(label_col).isin(float(a), float(b)), F.lit(name)) for name, (a, b) in pairs]))
+    return df.withColumn("pair", F.explode(names))
+
+
 def relabel_pair(df: DataFrame, positive: float, label_col: str = "label") -> DataFrame:
     """Two-class subset -> {0, 1}: ``positive`` becomes 1.0, the other 0.0."""
     return df.withColumn(label_col, F.when(_q(label_col) == F.lit(float(positive)), F.lit(1.0))
@@ -45,15 +54,27 @@ def relabel_pair(df: DataFrame, positive: float, label_col: str = "label") -> Da
 
 # --- deterministic splits ---------------------------------------------------
 
-def hash_bucket(key: Column, buckets: int = 100) -> Column:
-    """Bucket in ``[0, buckets)`` from the first 32 bits of ``md5(key)``.
+#: Hash values of a split: the first 32 bits of an md5.
+SPLIT_RANGE = 1 << 32
+
 
-    Unlike ``randomSplit`` the result depends only on the row's key, not on
+def hash32(key: Column) -> Column:
+    """First 32 bits of ``md5(key)`` as a long.
+
+    Unlike ``randomSplit`` a split by it depends only on the row's key, not on
     partitioning or ordering, so a lost partition recomputes to the same
     rows and an independent engine can reproduce the split.
     """
-    h = F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint")
-    return h % F.lit(buckets)
+    return F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint")
+
+
+def split_bounds(weights: Sequence[float]) -> list[int]:
+    """Upper hash bounds of all parts but the last."""
+    total, upper, out = float(sum(weights)), 0.0, []
+    for w in weights[:-1]:
+        upper += w
+        out.append(round(upper / total * SPLIT_RANGE))
+    return out
 
 
 def row_key(cols: Sequence[str], salt: int | str | None = None) -> Column:
@@ -64,33 +85,29 @@ def row_key(cols: Sequence[str], salt: int | str | None = None) -> Column:
     return F.concat_ws("|", *parts)
 
 
-def split_column(key: Column, weights: Sequence[float], names: Sequence[str],
-                 buckets: int = 100) -> Column:
-    """Name of the split each row falls in, by cumulative bucket ranges."""
-    total = float(sum(weights))
-    b = hash_bucket(key, buckets)
+def split_column(key: Column, weights: Sequence[float], names: Sequence[str]) -> Column:
+    """Name of the split each row falls in: its 32-bit hash against the
+    cumulative weights, so a share of any size gets its rows."""
+    h = hash32(key)
     expr = None
-    upper = 0.0
-    for w, name in zip(weights[:-1], names[:-1]):
-        upper += w / total * buckets
-        cond = b < F.lit(int(round(upper)))
+    for bound, name in zip(split_bounds(weights), names[:-1], strict=True):
+        cond = h < F.lit(bound)
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
     last = F.lit(names[-1])
     return last if expr is None else expr.otherwise(last)
 
 
-def hash_split(df: DataFrame, weights: Sequence[float], key: Column,
-               buckets: int = 100) -> list[DataFrame]:
+def hash_split(df: DataFrame, weights: Sequence[float], key: Column) -> list[DataFrame]:
     """``randomSplit`` replacement: one filtered DataFrame per weight."""
     names = [str(i) for i in range(len(weights))]
-    tagged = df.withColumn("__split__", split_column(key, weights, names, buckets))
+    tagged = df.withColumn("__split__", split_column(key, weights, names))
     return [tagged.filter(F.col("__split__") == n).drop("__split__") for n in names]
 
 
 # --- kernel expansion -------------------------------------------------------
 
 def kernel_terms(x: Column) -> list[Column]:
-    return [x * F.lit(KERNEL_SCALE), F.pow(x, F.lit(2.0)), F.pow(x, F.lit(3.0))]
+    return [x * F.lit(KERNEL_SCALE), x * x, x * x * x]
 
 
 def kernel_expand(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (),

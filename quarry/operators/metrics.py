@@ -158,27 +158,28 @@ def precision_by_class(df: DataFrame, classes: Sequence[float], prediction: str
     return class_stats(df, classes, prediction, label).select("label", "precision")
 
 
-MAX_CLASSES = 10_000
-
-
-def present_classes(df: DataFrame, label: str = "label",
-                    max_classes: int = MAX_CLASSES) -> list[float]:
-    """Distinct labels (the class domain of the metrics).  At most
-    ``max_classes`` rows are fetched; more means the column is not a class
-    label, and the call fails instead of pulling an unbounded set."""
-    rows = df.select(_q(label)).distinct().limit(max_classes + 1).collect()
-    if len(rows) > max_classes:
-        raise ValueError(f"{label!r} has more than {max_classes} distinct values")
-    return sorted(float(r[0]) for r in rows if r[0] is not None)
-
-
 def weighted_precision(df: DataFrame, classes: Sequence[float] | None = None,
                        prediction: str = "prediction", label: str = "label") -> DataFrame:
-    """Sum over label classes of (class share of rows) x precision(class)."""
-    classes = list(classes) if classes is not None else present_classes(df, label)
-    s = class_stats(df, classes, prediction, label)
-    return s.agg(F.sum(F.col("n_label") / F.col("rows") * F.col("precision"))
-                  .alias("weighted_precision"))
+    """Sum over label classes of (class share of rows) x precision(class).
+
+    Without ``classes`` the classes are the labels present, however many:
+    counts by (label, prediction) cell, then by label and by prediction."""
+    if classes is not None:
+        s = class_stats(df, list(classes), prediction, label)
+        return s.agg(F.sum(F.col("n_label") / F.col("rows") * F.col("precision"))
+                      .alias("weighted_precision"))
+    # Each cell counts for its label and for its predicted class.
+    cells = df.groupBy(_q(label).cast("double").alias("y"), _q(prediction).cast("double").alias("p")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    sides = cells.select(F.inline(F.array(
+        F.struct(F.col("y").alias("k"), F.col("n").alias("n_label"), F.lit(0).cast("long").alias("n_pred"),
+                 F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(F.lit(0)).alias("tp")),
+        F.struct(F.col("p").alias("k"), F.lit(0).cast("long").alias("n_label"), F.col("n").alias("n_pred"),
+                 F.lit(0).cast("long").alias("tp")))))
+    by_class = sides.groupBy("k").agg(*[F.sum(c).alias(c) for c in ("n_label", "n_pred", "tp")])
+    share = F.when(F.col("k").isNotNull() & (F.col("n_pred") > 0),
+                   F.col("n_label") * F.col("tp") / F.col("n_pred")).otherwise(F.lit(0.0))
+    return by_class.agg((F.sum(share) / F.sum("n_label")).alias("weighted_precision"))
 
 
 def weighted_precision_manual(df: DataFrame, classes: Sequence[float],
@@ -195,49 +196,31 @@ def weighted_precision_manual(df: DataFrame, classes: Sequence[float],
 # --- area under ROC from scores ---------------------------------------------
 
 def auc_roc(df: DataFrame, score: str = "score", label: str = "label",
-            buckets: int | None = None, scores_per_bucket: int = 1_000_000,
-            max_buckets: int = 1024) -> DataFrame:
+            ranges: int | None = None) -> DataFrame:
     """Exact area under the ROC curve of raw scores (no binning).
 
     AUC = sum over distinct scores s of pos(s) * (2 * neg_below(s) + neg(s))
-    / (2 * P * N).  ``neg_below`` is a prefix sum over scores.  Instead of a
-    global window (one task), distinct scores are cut into ranges at
-    approximate quantiles of the raw scores (shuffle-free sketch passes: a
-    distinct-count estimate sizes the ranges to about ``scores_per_bucket``
-    distinct scores each; quantiles are only computed when there is more
-    than one range).  Inside a range the prefix sum is
-    a window partitioned by range; across ranges it is a prefix over one row
-    per range.  No join, and the per-score aggregate is computed once in the
-    returned plan.  Sums stay integral (decimal), so the result does not
-    depend on summation order.  Null when either class is absent.
+    / (2 * P * N).  Rows are first counted per distinct score (a hot score is
+    one row from then on), the per-score table is range-partitioned into
+    ``ranges`` (default: the session's shuffle partitions), ``neg_below`` is a
+    running sum inside a range plus the sum of the ranges before it (one row
+    per range).  Sums stay integral (decimal), so the result does not depend
+    on partitioning.  Null when either class is absent.
     """
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pts = df.select(_q(score).cast("double").alias("s"), _q(label).cast("double").alias("y")) \
         .filter(F.col("s").isNotNull() & F.col("y").isNotNull())
-    if buckets is None:
-        nd = pts.agg(F.approx_count_distinct("s").alias("nd")).first()["nd"] or 0
-        buckets = -(-int(nd) // scores_per_bucket)
-    buckets = max(1, min(int(buckets), max_buckets))
-    bounds: list[float] = []
-    if buckets > 1:
-        qs = [i / buckets for i in range(1, buckets)]
-        got = pts.agg(F.percentile_approx("s", qs, max(10000, 10 * buckets)).alias("b")).first()
-        bounds = sorted(set(got["b"] or []))
-    if bounds:
-        barr = F.array(*[F.lit(float(x)) for x in bounds])
-        bucket = F.size(F.filter(barr, lambda x: x < F.col("s")))
-    else:
-        bucket = F.lit(0)
-    per = pts.groupBy("s").agg(F.count_if(F.col("y") == 1.0).alias("p"),
-                               F.count_if(F.col("y") != 1.0).alias("n")).withColumn("bk", bucket)
+    per = score_ranges(pts.groupBy("s").agg(F.count_if(F.col("y") == 1.0).alias("p"),
+                                            F.count_if(F.col("y") != 1.0).alias("n")), ranges)
     dec = "decimal(38,0)"
     inside = Window.partitionBy("bk").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     ranked = per.withColumn("below", F.coalesce(F.sum("n").over(inside), F.lit(0)))
     term = F.col("p").cast(dec) * (F.lit(2).cast(dec) * F.col("below").cast(dec)
                                    + F.col("n").cast(dec))
-    by_bucket = ranked.groupBy("bk").agg(F.sum(term).alias("num"), F.sum("p").alias("bp"),
-                                         F.sum("n").alias("bn"))
+    by_range = ranked.groupBy("bk").agg(F.sum(term).alias("num"), F.sum("p").alias("bp"),
+                                        F.sum("n").alias("bn"))
     before = Window.orderBy("bk").rowsBetween(Window.unboundedPreceding, -1)
-    cross = by_bucket.withColumn("off", F.coalesce(F.sum("bn").over(before), F.lit(0)))
+    cross = by_range.withColumn("off", F.coalesce(F.sum("bn").over(before), F.lit(0)))
     total = cross.agg(
         (F.sum("num") + F.lit(2).cast(dec) * F.sum(F.col("bp").cast(dec) * F.col("off").cast(dec)))
         .alias("num"), F.sum("bp").alias("P"), F.sum("bn").alias("N"))
@@ -248,6 +231,12 @@ def auc_roc(df: DataFrame, score: str = "score", label: str = "label",
         .alias("auc"))
 
 
+def score_ranges(per_score: DataFrame, ranges: int) -> DataFrame:
+    """``per_score`` (one row per score ``s``) with the number ``bk`` of its
+    range; ranges follow the order of the scores."""
+    return per_score.repartitionByRange(ranges, "s").withColumn("bk", F.spark_partition_id())
+
+
 def auc_hard(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
     """Area under ROC when the score is a 0/1 prediction: (TPR + TNR) / 2."""
     return df.agg(*confusion_exprs(prediction, label)).select(hard_auc_expr().alias("auc"))

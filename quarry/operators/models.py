@@ -11,7 +11,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.svm_sgd import SgdSvm, SgdSvmModel
 
 # Model settings of the reference.
 TREE_IMPURITY, TREE_DEPTH, TREE_BINS = "gini", 4, 100
@@ -42,16 +41,9 @@ def gradient_boosted_trees() -> GBTClassifier:
     return GBTClassifier(maxIter=GBT_ITERATIONS, maxDepth=GBT_DEPTH)
 
 
-def linear_svm() -> SgdSvm:
-    """The reference's SVM: hinge loss, L2 0.01, no intercept, raw features,
-    100 full-batch sub-gradient steps (one aggregate job each); predicts 1
-    when the margin is above 0."""
-    return SgdSvm(iterations=SVM_ITERATIONS, reg=SVM_REG)
-
-
-def linear_svc() -> LinearSVC:
-    """Spark ML's ``LinearSVC`` on the same objective (hinge + L2 0.01, no
-    intercept, raw features) with a quasi-Newton solver, 100 iterations."""
+def linear_svm() -> LinearSVC:
+    """Hinge loss, L2 0.01, no intercept, 100 iterations; meant for min-max
+    scaled features (on raw ones the largest feature decides alone)."""
     return LinearSVC(maxIter=SVM_ITERATIONS, regParam=SVM_REG, fitIntercept=False,
                      standardization=False)
 
@@ -60,8 +52,6 @@ def predict(model, df: DataFrame, out: str = "prediction",
             features_col: str | None = None) -> DataFrame:
     """``df`` plus the model's hard prediction (only that column is added);
     ``features_col`` reads the features from another vector column."""
-    if isinstance(model, SgdSvmModel):
-        return model.predict(df, out, features_col)
     params = {"predictionCol": out}
     if features_col is not None:
         params["featuresCol"] = features_col
@@ -74,8 +64,6 @@ def predict(model, df: DataFrame, out: str = "prediction",
 
 def svm_margin(model, df: DataFrame, out: str = "score") -> DataFrame:
     """``df`` plus the raw margin w.x (threshold cleared)."""
-    if isinstance(model, SgdSvmModel):
-        return model.margin(df, out)
     m = model.copy({model.getParam("rawPredictionCol"): "__raw",
                     model.getParam("predictionCol"): ""})
     return m.transform(df).withColumn(out, vector_to_array(F.col("__raw"))[1]).drop("__raw")

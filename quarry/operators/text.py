@@ -12,19 +12,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.strings import java_split_spaces, split_lines
-from quarry.operators.partitioning import ensure_parallelism
 
 
 def text_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-               line_col: str = "line") -> DataFrame:
+               line_col: str = "line", spread: int | None = None) -> DataFrame:
     """One row per line of a text column: ``(id, line_no, line)``.
 
     ``line_no`` is zero-based.  Whole texts are split; nothing is truncated.
-    Splitting is CPU-bound, so an input read as fewer partitions than there
-    are cores is first spread round-robin (never at scale, see
-    :func:`ensure_parallelism`).
+    Splitting is CPU-bound: a caller whose input reads as fewer partitions
+    than there are cores can spread it over ``spread`` partitions first.
     """
-    docs = ensure_parallelism(docs.select(id_col, text_col))
+    docs = docs.select(id_col, text_col)
+    if spread:
+        docs = docs.repartition(spread)
     return docs.select(
         F.col(id_col),
         F.posexplode(split_lines(text_col)).alias("line_no", line_col),

@@ -1,7 +1,8 @@
 """Holdout evaluation, pairwise SVM tests and repeated trials.
 
-Splits are hash buckets of a row hash salted with the trial number, so a
-lost partition recomputes to exactly the same rows.  Per trial the two
+Splits compare a hash of the row's id (column ``__row``) and the trial number
+with the shares, so a lost partition recomputes to exactly the same rows and
+equal rows are split like any others.  Per trial the two
 splits are persisted while the models train and released afterwards; the
 prepared input is checkpointed once (reliable checkpoint in the cluster's
 shared checkpoint folder) so that retries do not replay the cleaning plan.
@@ -15,15 +16,16 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.operators import metrics as M
 from quarry.operators import models as ML
-from quarry.operators.cleaning import _q
-from quarry.operators.features import (assemble, class_pair_subset, kernel_expand,
-                                       min_max_expr, relabel_pair)
+from quarry.operators.cleaning import ROW, _q
+from quarry.operators.features import (assemble, class_pair_subset, kernel_expand, min_max_expr,
+                                       min_max_normalize, min_max_stats, relabel_pair,
+                                       split_column)
 from quarry.session import ensure_checkpoint_dir
 from quarry.sources.results import result_rows
 
@@ -34,12 +36,12 @@ RAW_MODELS: tuple[tuple[str, Callable], ...] = (
     ("Logistic Regression", ML.logistic_regression),
     ("Random Forest", ML.random_forest),
     ("Gradient Boosted Tree", ML.gradient_boosted_trees),
-    ("Support Vector Machine", ML.linear_svm),
 )
 NORMALIZED_MODELS: tuple[tuple[str, Callable], ...] = (
     ("Logistic Regression - Norm", ML.logistic_regression),
     ("Random Forest - Norm", ML.random_forest),
     ("Gradient Boosted Tree - Norm", ML.gradient_boosted_trees),
+    ("Support Vector Machine", ML.linear_svm),
 )
 TRIAL_TRAIN_SHARE = 0.6
 TRIAL_ITERATIONS = 30
@@ -51,14 +53,17 @@ TRIAL_SCHEMA = T.StructType([
     T.StructField("accuracy", T.DoubleType()), T.StructField("auc", T.DoubleType())])
 
 
-def salted_bucket(row_hash: str, salt: int, buckets: int = 100):
-    """Bucket of a precomputed row hash for trial ``salt``."""
-    return F.pmod(F.xxhash64(F.col(row_hash), F.lit(int(salt))), F.lit(buckets))
+def trial_side(iteration: int | str, train_share: float = TRIAL_TRAIN_SHARE) -> Column:
+    """``train`` or ``test`` by the row id ``__row`` and the trial number."""
+    return split_column(F.concat_ws("|", F.col(ROW), F.lit(str(iteration))),
+                        (train_share, 1 - train_share), ("train", "test"))
 
 
-def with_row_hash(df: DataFrame, name: str = "__h") -> DataFrame:
-    """Attach a 64-bit hash of the whole row (the split key)."""
-    return df.withColumn(name, F.xxhash64(*[_q(c) for c in df.columns]))
+def with_row_id(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Rows without an id of their own get a number; written with the rows to
+    the shared checkpoint folder, it stays the same for every later read."""
+    ensure_checkpoint_dir(spark)
+    return df.withColumn(ROW, F.monotonically_increasing_id().cast("string")).checkpoint(eager=True)
 
 
 def _minmax_by_side(df: DataFrame, feats: Sequence[str]) -> dict[str, dict]:
@@ -90,7 +95,7 @@ def _with_feature_vectors(df: DataFrame, feats: Sequence[str], stats: dict | Non
     return out.select(*keep)
 
 
-def run_trial(spark: SparkSession, hashed: DataFrame, feats: Sequence[str], iteration: int,
+def run_trial(spark: SparkSession, frame: DataFrame, feats: Sequence[str], iteration: int,
               train_share: float = TRIAL_TRAIN_SHARE, normalize_mode: str = "per_set",
               parallelism: int = 4) -> list[tuple]:
     """One 60/40 holdout: fit every model, score all in one pass.
@@ -98,20 +103,20 @@ def run_trial(spark: SparkSession, hashed: DataFrame, feats: Sequence[str], iter
     The training side is persisted ONCE with both feature vectors (raw and
     min-max scaled); the test side is not cached: every model's prediction
     is added to the same rows and one aggregate counts all confusion cells.
+    A side without rows is an error, never a shorter result.
     """
-    cut = int(round(train_share * 100))
-    sided = hashed.withColumn("__side", F.when(salted_bucket("__h", iteration) < cut,
-                                               F.lit("train")).otherwise(F.lit("test")))
+    sided = frame.withColumn("__side", trial_side(iteration, train_share))
     stats = _minmax_by_side(sided, feats)
     if normalize_mode == "train":
         stats["test"] = stats.get("train")
-    normalized = bool(stats.get("train") and stats.get("test"))
+    missing = [s for s in ("train", "test") if not stats.get(s)]
+    if missing:
+        raise ValueError(f"trial {iteration}: no rows on the {' and '.join(missing)} side")
     train = _with_feature_vectors(sided.filter(F.col("__side") == "train"), feats,
-                                  stats.get("train") if normalized else None).persist()
+                                  stats["train"]).persist()
     try:
         jobs = [(name, make, "features") for name, make in RAW_MODELS]
-        if normalized:
-            jobs += [(name, make, "norm_features") for name, make in NORMALIZED_MODELS]
+        jobs += [(name, make, "norm_features") for name, make in NORMALIZED_MODELS]
 
         def fit(job):
             name, make, col = job
@@ -121,8 +126,7 @@ def run_trial(spark: SparkSession, hashed: DataFrame, feats: Sequence[str], iter
             fitted = list(pool.map(fit, jobs))
     finally:
         train.unpersist()
-    test = _with_feature_vectors(sided.filter(F.col("__side") == "test"), feats,
-                                 stats.get("test") if normalized else None)
+    test = _with_feature_vectors(sided.filter(F.col("__side") == "test"), feats, stats["test"])
     preds = []
     for i, (name, col, model) in enumerate(fitted):
         test = ML.score(model, test, f"__p{i}", col)
@@ -136,31 +140,23 @@ def run_trial(spark: SparkSession, hashed: DataFrame, feats: Sequence[str], iter
 
 def repeated_holdout(spark: SparkSession, frame: DataFrame, iterations: int = TRIAL_ITERATIONS,
                      train_share: float = TRIAL_TRAIN_SHARE, normalize_mode: str = "per_set",
-                     parallelism: int = 4, checkpoint: bool = True,
-                     concurrent_trials: int = 1) -> DataFrame:
+                     parallelism: int = 4, concurrent_trials: int = 1) -> DataFrame:
     """``(iteration, test, fp, tn, tp, fn, accuracy, auc)`` for every trial
-    and model.  ``frame`` is ``(label, *double features)``.
+    and model.  ``frame`` is ``(__row, label, *double features)``, read once
+    per trial: pass checkpointed rows.
 
     ``concurrent_trials`` trials run at once (each caches its own training
-    side while it runs): on small data the step-by-step SVM is bound by job
-    latency, and overlapping trials keeps the cores busy; on large data keep
-    1 so that one training side is cached at a time.
+    side while it runs): small fits are bound by job latency and overlapping
+    keeps the cores busy; on large data keep 1 so that one training side is
+    cached at a time.
     """
-    feats = [c for c in frame.columns if c != "label"]
-    hashed = with_row_hash(frame)
-    if checkpoint:
-        ensure_checkpoint_dir(spark)
-        hashed = hashed.checkpoint(eager=True)
+    feats = [c for c in frame.columns if c not in ("label", ROW)]
 
     def one(it: int) -> list[tuple]:
-        return run_trial(spark, hashed, feats, it, train_share, normalize_mode, parallelism)
-
-    its = range(1, iterations + 1)
-    if concurrent_trials > 1:
-        with ThreadPoolExecutor(max_workers=concurrent_trials) as pool:
-            parts = list(pool.map(one, its))
-    else:
-        parts = [one(it) for it in its]
+        return run_trial(spark, frame, feats, it, train_share, normalize_mode, parallelism)
+
+    with ThreadPoolExecutor(max_workers=max(1, concurrent_trials)) as pool:
+        parts = list(pool.map(one, range(1, iterations + 1)))
     return result_rows(spark, [r for part in parts for r in part], TRIAL_SCHEMA)
 
 
@@ -188,16 +184,25 @@ PAIR_SCHEMA = T.StructType([
     T.StructField("incorrect", T.LongType()), T.StructField("auc", T.DoubleType())])
 
 
+def svm_split(data: DataFrame, feats: Sequence[str], seed: int = PAIR_SPLIT_SEED
+              ) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a 60/40 split by row id, scaled by the training side's
+    min and max."""
+    sided = data.select(ROW, "label", *feats).withColumn("__side", trial_side(seed))
+    train = sided.filter(F.col("__side") == "train")
+    stats = min_max_stats(train, feats)
+    return tuple(assemble(min_max_normalize(side.select("label", *feats), feats, stats), feats)
+                 for side in (train, sided.filter(F.col("__side") == "test")))
+
+
 def svm_holdout(name: str, data: DataFrame, feats: Sequence[str],
                 seed: int = PAIR_SPLIT_SEED) -> tuple:
     """Split 60/40, train the linear SVM, score raw margins on the test
     side: ``(name, train_rows, test_rows, correct, incorrect, auc)``."""
-    hashed = with_row_hash(data.select("label", *feats))
-    side = salted_bucket("__h", seed) < 60
-    train = assemble(hashed.filter(side), feats).persist()
+    train, test = svm_split(data, feats, seed)
+    train = train.persist()
     try:
         model = ML.linear_svm().fit(train)
-        test = assemble(hashed.filter(~side), feats)
         scored = ML.svm_margin(model, test).select("score", "label").persist()
         try:
             ci = M.correct_incorrect(scored, M.margin_correct("score", "label")).first()
@@ -219,9 +224,9 @@ def pairwise_svm(spark: SparkSession, data: DataFrame, feats: Sequence[str],
         jobs.append((name, relabel_pair(class_pair_subset(data, keep), pos), list(feats)))
     if expand:
         pair12 = relabel_pair(class_pair_subset(data, (1.0, 2.0)), 1.0)
-        exp = kernel_expand(pair12, feats, keep=("label",))
+        exp = kernel_expand(pair12, feats, keep=(ROW, "label"))
         jobs.append(("[Kernel Expanded Labels 1 and 2]", exp,
-                     [c for c in exp.columns if c != "label"]))
+                     [c for c in exp.columns if c not in ("label", ROW)]))
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         rows = list(pool.map(lambda j: svm_holdout(*j), jobs))
     return result_rows(spark, rows, PAIR_SCHEMA)
@@ -229,21 +234,13 @@ def pairwise_svm(spark: SparkSession, data: DataFrame, feats: Sequence[str],
 
 # --- single holdout of a multiclass tree -----------------------------------
 
-def holdout_split(df: DataFrame, salt: str = "holdout", weights=(80, 10, 10),
-                  names=("train", "cv", "test")) -> DataFrame:
-    """Tag rows train/cv/test by a salted row hash (80/10/10)."""
-    hashed = with_row_hash(df)
-    b = F.pmod(F.xxhash64(F.col("__h"), F.lit(salt)), F.lit(100))
-    cut1, cut2 = weights[0], weights[0] + weights[1]
-    return hashed.withColumn("split", F.when(b < cut1, F.lit(names[0]))
-                             .when(b < cut2, F.lit(names[1])).otherwise(F.lit(names[2]))) \
-        .drop("__h")
-
-
-def fit_holdout_tree(data: DataFrame, feats: Sequence[str]):
-    """Train the depth-4 gini tree on the train split; returns
-    (model, tagged frame with features)."""
-    tagged = assemble(holdout_split(data.select("label", *feats)), feats, keep=("split",))
+def fit_holdout_tree(data: DataFrame, feats: Sequence[str], salt: str = "holdout"):
+    """Train the depth-4 gini tree on the train part of an 80/10/10 split by
+    row id; returns (model, frame with features and split)."""
+    side = split_column(F.concat_ws("|", F.col(ROW), F.lit(salt)), (80, 10, 10),
+                        ("train", "cv", "test"))
+    tagged = assemble(data.withColumn("split", side).select("split", "label", *feats), feats,
+                      keep=("split",))
     train = tagged.filter(F.col("split") == "train").persist()
     try:
         model = ML.decision_tree().fit(train)

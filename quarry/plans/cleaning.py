@@ -180,25 +180,28 @@ def q_drop_unlabeled(spark: SparkSession, sf_dir: str) -> DataFrame:
 PREPARED_COLS = ("exam_result", "quantity", "price", "discount", "status_test", "flag_test",
                  "linenumber", "tax")
 _ENC_COLS = ("patient_id",) + PREPARED_COLS
-CLEAN_SQL = W + ", enc AS (SELECT " + _sel(_cols(
+HEALTHY_SQL = W + ", enc AS (SELECT " + _sel(_cols(
     {"exam_result": LABEL_SQL.format(c="exam_result")}, _ENC_COLS)) + " FROM clinical)" + \
     f", ids AS (SELECT DISTINCT patient_id FROM enc WHERE {_null_count_sql(_ENC_COLS)} < 4)" + \
     ", healthy AS (SELECT e.* FROM enc e WHERE EXISTS (SELECT 1 FROM ids " \
-    "WHERE ids.patient_id IS NOT DISTINCT FROM e.patient_id))" + \
-    ", st AS (SELECT " + ", ".join(
+    "WHERE ids.patient_id IS NOT DISTINCT FROM e.patient_id))"
+FILL_SQL = HEALTHY_SQL + ", st AS (SELECT " + ", ".join(
         [f"avg({c}) AS m_{c}" for c in ("quantity", "price", "discount", "tax")]
         + [f"{_mode_sql(c)} AS m_{c}" for c in ("status_test", "flag_test")]) + \
-    " FROM healthy)\nSELECT " + _sel(_cols({
+    " FROM healthy)"
+CLEAN_SQL = FILL_SQL + "\nSELECT " + _sel(_cols({
         **{c: f"round(coalesce({c}, m_{c}), 6)" for c in ("quantity", "price", "discount", "tax")},
         **{c: TEXT_SQL.format(c=f"coalesce({c}, m_{c})") for c in ("status_test", "flag_test")},
     }, PREPARED_COLS)) + " FROM healthy, st"
 
 
-def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prepared(spark: SparkSession, sf_dir: str, keep_row: bool = False) -> DataFrame:
     """The cleaned table; the healthy rows are checkpointed to the shared
-    folder so the fill aggregate and the result read them once."""
+    folder so the fill aggregate and the result read them once.  With
+    ``keep_row`` the row id (order and line number) stays as ``__row``."""
+    key = FE.row_key(["patient_id", "linenumber"]) if keep_row else None
     return C.prepare_table(clinical(spark, sf_dir), "patient_id", "exam_result",
-                           checkpoint=True)
+                           checkpoint=True, row_key=key)
 
 
 @query("clean_table", CLEAN_SQL)

@@ -12,7 +12,7 @@ from quarry.functions.strings import parse_double
 from quarry.operators import features as FE
 from quarry.operators import reduce as RD
 from quarry.operators import regression as RG
-from quarry.plans.fixtures import (FLAG_FEATURES, FLAG_LABEL_SQL, LINE_KEYS, flags,
+from quarry.plans.fixtures import (FLAG_FEATURES, FLAG_LABEL_SQL, LINE_KEYS, SEVEN_CLASS_SQL, flags,
                                    named_class_lines, numeric_class_lines, regression_libsvm)
 from quarry.plans.registry import query
 from quarry.sources import delimited as DL
@@ -26,7 +26,7 @@ KEYS_SQL = ", ".join(LINE_KEYS)
 # --- sources ----------------------------------------------------------------
 
 
-@query("delimited_labeled_points", "SELECT CAST(l_linenumber - 1 AS DOUBLE) AS label, "
+@query("delimited_labeled_points", f"SELECT CAST({SEVEN_CLASS_SQL} AS DOUBLE) AS label, "
        + ", ".join(f"{c} AS f{i}" for i, c in enumerate(FLAG_FEATURES)) + " FROM lineitem")
 def q_delimited_labeled_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read_text_lines(spark, numeric_class_lines(spark, sf_dir))
@@ -113,9 +113,7 @@ PAIRS = (("01", (0.0, 1.0)), ("02", (0.0, 2.0)), ("12", (1.0, 2.0)))
     f" FROM lineitem) WHERE label IN ({keep[0]}, {keep[1]})" for name, keep in PAIRS))
 def q_class_pair_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = flags(spark, sf_dir).select(*LINE_KEYS, "label")
-    parts = [FE.class_pair_subset(data, keep).select(F.lit(name).alias("pair"), *LINE_KEYS, "label")
-             for name, keep in PAIRS]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return FE.explode_pairs(data, PAIRS).select("pair", *LINE_KEYS, "label")
 
 
 RELABEL = (("02", (0.0, 2.0), 2.0), ("12", (1.0, 2.0), 1.0))
@@ -127,19 +125,23 @@ RELABEL = (("02", (0.0, 2.0), 2.0), ("12", (1.0, 2.0), 1.0))
     f"FROM lineitem) WHERE label IN ({keep[0]}, {keep[1]})" for name, keep, pos in RELABEL))
 def q_relabel_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = flags(spark, sf_dir).select(*LINE_KEYS, "label")
-    a, b = [FE.relabel_pair(FE.class_pair_subset(data, keep), pos)
-            .select(F.lit(name).alias("pair"), *LINE_KEYS, "label")
-            for name, keep, pos in RELABEL]
-    return a.unionByName(b)
+    pairs = FE.explode_pairs(data, [(name, keep) for name, keep, _ in RELABEL])
+    positive = F.create_map(*[F.lit(x) for name, _, pos in RELABEL for x in (name, pos)])[F.col("pair")]
+    return pairs.select("pair", *LINE_KEYS, F.when(F.col("label") == positive, 1.0).otherwise(0.0)
+                        .alias("label"))
 
 
-def _bucket_sql(key: str) -> str:
-    return f"(('0x' || substr(md5({key}), 1, 8))::BIGINT % 100)"
+def _hash_sql(key: str) -> str:
+    return f"('0x' || substr(md5({key}), 1, 8))::BIGINT"
 
 
-@query("split_80_10_10", "SELECT o_orderkey, CASE WHEN b < 80 THEN 'train' WHEN b < 90 THEN 'cv' "
+B80, B90 = FE.split_bounds((80, 10, 10))
+B60, = FE.split_bounds((60, 40))
+
+
+@query("split_80_10_10", f"SELECT o_orderkey, CASE WHEN b < {B80} THEN 'train' WHEN b < {B90} THEN 'cv' "
        "ELSE 'test' END AS split FROM (SELECT o_orderkey, "
-       f"{_bucket_sql('CAST(o_orderkey AS VARCHAR)')} AS b FROM orders)")
+       f"{_hash_sql('CAST(o_orderkey AS VARCHAR)')} AS b FROM orders)")
 def q_split_80_10_10(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select("o_orderkey", FE.split_column(F.col("o_orderkey").cast("string"),
@@ -151,8 +153,8 @@ _LINE_KEY_SQL = ("concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,
                  "CAST(round(l_extendedprice * 100) AS BIGINT), '14')")
 
 
-@query("split_60_40", f"SELECT {KEYS_SQL}, l_extendedprice, CASE WHEN b < 60 THEN 'train' "
-       f"ELSE 'test' END AS split FROM (SELECT *, {_bucket_sql(_LINE_KEY_SQL)} AS b FROM lineitem)")
+@query("split_60_40", f"SELECT {KEYS_SQL}, l_extendedprice, CASE WHEN b < {B60} THEN 'train' "
+       f"ELSE 'test' END AS split FROM (SELECT *, {_hash_sql(_LINE_KEY_SQL)} AS b FROM lineitem)")
 def q_split_60_40(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")

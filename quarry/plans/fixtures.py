@@ -8,18 +8,17 @@ checkpoint folder, never to a machine-local path.
 
 from __future__ import annotations
 
-import hashlib
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import shared_dir
+from quarry.session import complete, shared_dir, table_version
 from quarry.sources import delimited as DL
 from quarry.sources import files as FS
 from quarry.sources.tables import table
 
-FORMAT_VERSION = "v1"
+FORMAT_VERSION = "v2"
 
 # --- masked lineitem: a sparse "clinical" table -----------------------------
 # Sparse rows: half the lines of every 7th order lose five cells.
@@ -31,13 +30,18 @@ def _sparse_row() -> Column:
     return (F.col("l_orderkey") % 7 == 0) & (F.col("l_linenumber") % 2 == 1)
 
 
+def _positive() -> Column:
+    """The exam depends on two features, with one row in ten turned round."""
+    rule = F.col("l_quantity") + F.lit(100.0) * F.col("l_tax") > F.lit(32.0)
+    return rule != (F.col("l_partkey") % 10 == 0)
+
+
 def clinical(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     sparse = _sparse_row()
     return li.select(
         F.col("l_orderkey").alias("patient_id"),
-        F.when(F.col("l_returnflag") == "R", F.lit("positive")).otherwise(F.lit("negative"))
-        .alias("exam_result"),
+        F.when(_positive(), F.lit("positive")).otherwise(F.lit("negative")).alias("exam_result"),
         F.col("l_quantity").alias("quantity"),
         F.when(~sparse, F.col("l_extendedprice")).alias("price"),
         F.when(~sparse & (F.col("l_partkey") % 3 != 0), F.col("l_discount")).alias("discount"),
@@ -58,7 +62,8 @@ CLINICAL_COLUMNS = ("patient_id", "exam_result", "quantity", "price", "discount"
 
 CLINICAL_SQL = """clinical AS (
   SELECT l_orderkey AS patient_id,
-    CASE WHEN l_returnflag = 'R' THEN 'positive' ELSE 'negative' END AS exam_result,
+    CASE WHEN (l_quantity + 100.0::DOUBLE * l_tax > 32.0::DOUBLE) <> (l_partkey % 10 = 0)
+         THEN 'positive' ELSE 'negative' END AS exam_result,
     l_quantity AS quantity,
     CASE WHEN NOT (l_orderkey % 7 = 0 AND l_linenumber % 2 = 1) THEN l_extendedprice END AS price,
     CASE WHEN NOT (l_orderkey % 7 = 0 AND l_linenumber % 2 = 1) AND l_partkey % 3 <> 0
@@ -102,25 +107,33 @@ POINTS_SQL = """points AS (
 
 CLASSES_7 = tuple(float(i) for i in range(7))
 
-# --- three-class flags ------------------------------------------------------
-# Return flag -> class number and the class names written to
-# the three-class text file.
-FLAG_CLASS = {"A": 0.0, "N": 1.0, "R": 2.0}
-FLAG_NAME = {"A": "Iris-setosa", "N": "Iris-versicolor", "R": "Iris-virginica"}
+# --- three and seven classes by bands of the features -------------------------
+# Names of the three classes as written to the text file.
+FLAG_NAME = ("Iris-setosa", "Iris-versicolor", "Iris-virginica")
 FLAG_FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 LINE_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
 def flag_label() -> Column:
-    expr = None
-    for k, v in FLAG_CLASS.items():
-        c = F.col("l_returnflag") == k
-        expr = F.when(c, F.lit(v)) if expr is None else expr.when(c, F.lit(v))
-    return expr
+    """Class 0, 1 or 2 by thirds of quantity and tax; one row in fifty has
+    none."""
+    level = F.col("l_quantity") + F.lit(100.0) * F.col("l_tax")
+    return F.when(F.col("l_partkey") % 50 == 7, F.lit(None).cast("double")).otherwise(
+        F.when(level < 20.0, F.lit(0.0)).when(level < 38.0, F.lit(1.0)).otherwise(F.lit(2.0)))
+
+
+FLAG_LABEL_SQL = ("CASE WHEN l_partkey % 50 = 7 THEN NULL "
+                  "WHEN l_quantity + 100.0::DOUBLE * l_tax < 20.0 THEN 0.0::DOUBLE "
+                  "WHEN l_quantity + 100.0::DOUBLE * l_tax < 38.0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END")
+
+
+def seven_class() -> Column:
+    """Class 1 to 7 by bands of quantity and discount."""
+    return (F.least(F.floor((F.col("l_quantity") + F.lit(50.0) * F.col("l_discount")) / F.lit(7.5)),
+                    F.lit(6)) + 1).cast("int")
 
 
-FLAG_LABEL_SQL = ("CASE l_returnflag WHEN 'A' THEN 0.0::DOUBLE WHEN 'N' THEN 1.0::DOUBLE "
-                  "WHEN 'R' THEN 2.0::DOUBLE END")
+SEVEN_CLASS_SQL = ("least(floor((l_quantity + 50.0::DOUBLE * l_discount) / 7.5::DOUBLE), 6)")
 
 
 def flags(spark: SparkSession, sf_dir: str, keys: bool = True) -> DataFrame:
@@ -132,16 +145,21 @@ def flags(spark: SparkSession, sf_dir: str, keys: bool = True) -> DataFrame:
 # --- derived files ----------------------------------------------------------
 
 
-def _path(spark: SparkSession, name: str, sf_dir: str) -> str:
-    """A fresh folder per call: a DataFrame returned earlier keeps reading
-    its own files even when the same query runs again."""
-    tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:10]
-    return shared_dir(spark, "fixtures", f"{name}-{FORMAT_VERSION}-{tag}-{uuid.uuid4().hex[:12]}")
+def derived(spark: SparkSession, name: str, sf_dir: str, write: Callable[[str], object],
+            source: str = "lineitem") -> str:
+    """The folder of a file derived from a table: one per version of the
+    table, written once and used again.  ``quarry.session.clear_shared``
+    removes them all."""
+    version = table_version(spark, f"{sf_dir.rstrip('/')}/{source}.parquet")
+    path = shared_dir(spark, "fixtures", f"{name}-{FORMAT_VERSION}-{version}")
+    if not complete(spark, path):
+        write(path)
+    return path
 
 
 def clinical_csv(spark: SparkSession, sf_dir: str) -> str:
     """The clinical table written as CSV with a header."""
-    return FS.write_csv(clinical(spark, sf_dir), _path(spark, "clinical-csv", sf_dir))
+    return derived(spark, "clinical-csv", sf_dir, lambda path: FS.write_csv(clinical(spark, sf_dir), path))
 
 
 def regression_libsvm(spark: SparkSession, sf_dir: str) -> str:
@@ -149,23 +167,21 @@ def regression_libsvm(spark: SparkSession, sf_dir: str) -> str:
     ``l_quantity/10 + l_extendedprice/10000``."""
     li = table(spark, sf_dir, "lineitem")
     label = F.col("l_quantity") / F.lit(10.0) + F.col("l_extendedprice") / F.lit(10000.0)
-    return FS.write_lines(li, FS.libsvm_line(label, [F.col("l_quantity")]),
-                          _path(spark, "regression-libsvm", sf_dir))
+    line = FS.libsvm_line(label, [F.col("l_quantity")])
+    return derived(spark, "regression-libsvm", sf_dir, lambda path: FS.write_lines(li, line, path))
 
 
 def numeric_class_lines(spark: SparkSession, sf_dir: str) -> str:
-    """Comma-separated numeric lines, the class (l_linenumber, 1..7) last."""
+    """Comma-separated numeric lines, the class (1..7) last."""
     li = table(spark, sf_dir, "lineitem")
-    line = DL.to_delimited_line([*FLAG_FEATURES, "l_linenumber"])
-    return FS.write_lines(li, line, _path(spark, "numeric-class-lines", sf_dir))
+    line = DL.to_delimited_line([*FLAG_FEATURES, seven_class()])
+    return derived(spark, "numeric-class-lines", sf_dir, lambda path: FS.write_lines(li, line, path))
 
 
 def named_class_lines(spark: SparkSession, sf_dir: str) -> str:
     """Comma-separated lines: four numbers, then a class name."""
     li = table(spark, sf_dir, "lineitem")
-    name = None
-    for k, v in FLAG_NAME.items():
-        c = F.col("l_returnflag") == k
-        name = F.when(c, F.lit(v)) if name is None else name.when(c, F.lit(v))
-    line = DL.to_delimited_line([*FLAG_FEATURES, name.otherwise(F.lit(""))])
-    return FS.write_lines(li, line, _path(spark, "named-class-lines", sf_dir))
+    label = flag_label()
+    name = F.when(label.isNotNull(), F.element_at(F.array(*map(F.lit, FLAG_NAME)), label.cast("int") + 1))
+    line = DL.to_delimited_line([*FLAG_FEATURES, name.otherwise(F.lit("unknown"))])
+    return derived(spark, "named-class-lines", sf_dir, lambda path: FS.write_lines(li, line, path))

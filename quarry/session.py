@@ -7,6 +7,8 @@ tests and ``bench.py``; on a cluster the caller builds the session.
 
 from __future__ import annotations
 
+import hashlib
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -38,8 +40,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     The folder comes from the session (``spark.checkpoint.dir`` or a
-    directory already set on the context).  Only when neither is set -- a
-    local test run -- is a fresh scratch folder created and registered.
+    directory already set on the context).  A cluster without one is an
+    error: a folder of the driver's machine would not be seen by the
+    executors.  Only a ``local`` master, one machine, gets a scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,6 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               "executors share")
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -57,3 +63,29 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder, for files a query writes."""
     base = ensure_checkpoint_dir(spark)
     return "/".join([base.rstrip("/"), "quarry", *parts])
+
+
+def clear_shared(spark: SparkSession, *parts: str) -> None:
+    """Delete what the library wrote below the shared folder (all of it, or
+    one part such as ``"fixtures"``).  DataFrames that still read those files
+    fail afterwards, so call it when a run's results have been used."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark, *parts))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(path, True)
+
+
+def table_version(spark: SparkSession, path: str) -> str:
+    """A digest of a table's files (names, sizes, times of change): data
+    derived from a table is kept under it and never outlives a change."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = [(f.getPath().toString(), f.getLen(), f.getModificationTime())
+             for f in (fs.globStatus(where) or []) for f in (fs.listStatus(f.getPath())
+                                                             if f.isDirectory() else [f])]
+    return hashlib.sha1(repr(sorted(files)).encode()).hexdigest()[:16]
+
+
+def complete(spark: SparkSession, path: str) -> bool:
+    """Whether a folder was written to the end (Spark's success marker)."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)

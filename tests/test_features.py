@@ -52,6 +52,18 @@ def test_hash_split_deterministic_and_partition_invariant(spark):
     assert sum(p.count() for p in parts) == li.count()
 
 
+def test_small_shares_get_their_rows(spark):
+    a, b = FE.hash_split(spark.range(100_000), (0.997, 0.003), FE.row_key(["id"]))
+    assert a.count() + b.count() == 100_000 and 200 < b.count() < 400
+
+
+def test_exploded_pairs_equal_filtered_pairs(spark):
+    df = spark.createDataFrame([(0.0,), (1.0,), (2.0,), (2.0,), (None,)], "label double")
+    pairs = [("01", (0.0, 1.0)), ("12", (1.0, 2.0))]
+    got = sorted(map(tuple, FE.explode_pairs(df, pairs).select("pair", "label").collect()))
+    assert got == sorted((n, r[0]) for n, k in pairs for r in FE.class_pair_subset(df, k).collect())
+
+
 def test_class_pairs_and_relabel(spark):
     df = spark.createDataFrame([(0.0,), (1.0,), (2.0,), (2.0,)], "label double")
     sub = FE.class_pair_subset(df, (1.0, 2.0))

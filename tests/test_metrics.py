@@ -71,7 +71,7 @@ def test_auc_roc_matches_unbinned_evaluator_with_ties(spark, buckets):
     raw = df.select(array_to_vector(F.array(-F.col("score"), F.col("score"))).alias("raw"),
                     "label")
     lib = BinaryClassificationEvaluator(rawPredictionCol="raw", numBins=0).evaluate(raw)
-    ours = M.auc_roc(df, buckets=buckets).first()["auc"]
+    ours = M.auc_roc(df, ranges=buckets).first()["auc"]
     assert ours == pytest.approx(lib, abs=1e-12)
 
 
@@ -82,3 +82,17 @@ def test_auc_hard_equals_score_auc_of_predictions(spark):
     a = M.auc_hard(df).first()["auc"]
     b = M.auc_roc(df.withColumnRenamed("prediction", "score")).first()["auc"]
     assert a == pytest.approx(b, abs=1e-12)
+
+
+def test_weighted_precision_without_a_class_list_has_no_limit(spark):
+    rnd = random.Random(4)
+    rows = [(float(rnd.randrange(11000)), float(rnd.randrange(11000))) for _ in range(30000)]
+    rows += [(float(k), float(k)) for k in range(11000)]
+    df = spark.createDataFrame(rows, "prediction double, label double")
+    predicted, right, labels = {}, {}, {}
+    for p, y in rows:
+        predicted[p] = predicted.get(p, 0) + 1
+        labels[y] = labels.get(y, 0) + 1
+        right[y] = right.get(y, 0) + (p == y)
+    want = sum(n / len(rows) * right[k] / predicted[k] for k, n in labels.items() if k in predicted)
+    assert M.weighted_precision(df).first()[0] == pytest.approx(want, abs=1e-12)

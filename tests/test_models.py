@@ -47,18 +47,35 @@ def test_svm_margin_and_prediction_agree(spark, flags_frame):
 
 def test_trial_is_deterministic_and_counts_add_up(spark):
     from quarry.plans.models import trial_frame
-    frame = trial_frame(spark, SF001)
-    hashed = TR.with_row_hash(frame).persist()
-    feats = [c for c in frame.columns if c != "label"]
-    a = TR.run_trial(spark, hashed, feats, 1, parallelism=4)
-    b = TR.run_trial(spark, hashed, feats, 1, parallelism=2)
+    frame = trial_frame(spark, SF001).persist()
+    feats = [c for c in frame.columns if c not in ("label", TR.ROW)]
+    a = TR.run_trial(spark, frame, feats, 1, parallelism=4)
+    b = TR.run_trial(spark, frame, feats, 1, parallelism=2)
     assert a == b
     tests = [r[1] for r in a]
     assert tests == [n for n, _ in TR.RAW_MODELS] + [n for n, _ in TR.NORMALIZED_MODELS]
-    n_test = hashed.filter(TR.salted_bucket("__h", 1) >= 60).count()
+    n_test = frame.filter(TR.trial_side(1) == "test").count()
     for r in a:
         assert r[2] + r[3] + r[4] + r[5] == n_test
-    hashed.unpersist()
+    frame.unpersist()
+
+
+def test_repeated_rows_are_split_and_all_models_run(spark):
+    # Two distinct rows, many copies: the row id splits the copies.
+    rows = spark.createDataFrame([(float(i % 2), float(i % 2), 1.0) for i in range(400)],
+                                 "label double, a double, b double")
+    frame = TR.with_row_id(spark, rows)
+    got = TR.repeated_holdout(spark, frame, iterations=2).collect()
+    assert len(got) == 16
+    for it in (1, 2):
+        n = {r.fp + r.tn + r.tp + r.fn for r in got if r.iteration == it}
+        assert len(n) == 1 and 100 < n.pop() < 220
+
+
+def test_an_empty_side_is_an_error(spark):
+    frame = TR.with_row_id(spark, spark.createDataFrame([(1.0, 2.0)], "label double, a double"))
+    with pytest.raises(ValueError, match="no rows"):
+        TR.run_trial(spark, frame, ["a"], 1)
 
 
 def test_holdout_tree_metrics(spark):
@@ -92,11 +109,10 @@ def binary_sets(spark):
 
     from quarry.plans.models import trial_frame
     frame = trial_frame(spark, SF001)
-    feats = [c for c in frame.columns if c != "label"]
-    hashed = TR.with_row_hash(frame)
-    side = TR.salted_bucket("__h", 1) < 60
-    train = FE.assemble(hashed.filter(side), feats).coalesce(1).persist()
-    test = FE.assemble(hashed.filter(~side), feats).coalesce(1).persist()
+    feats = [c for c in frame.columns if c not in ("label", TR.ROW)]
+    side = TR.trial_side(1) == "train"
+    train = FE.assemble(frame.filter(side), feats).coalesce(1).persist()
+    test = FE.assemble(frame.filter(~side), feats).coalesce(1).persist()
 
     def to_rdd(df):
         return df.rdd.map(lambda r: LabeledPoint(r["label"], OldVectors.dense(r["features"].toArray())))
@@ -150,34 +166,6 @@ def test_boosting_matches_mllib(spark, binary_sets):
     assert sum(a != b for a, b in zip(got, want)) <= len(want) // 200
 
 
-def test_sgd_svm_matches_mllib(spark, binary_sets):
-    from pyspark.mllib.classification import SVMWithSGD
-    train, test, train_rdd, test_rdd = binary_sets
-    old = SVMWithSGD.train(train_rdd, 100)
-    new = ML.linear_svm().fit(train)
-    assert new.weights == pytest.approx(list(old.weights), rel=1e-7, abs=1e-9)
-    want = old.predict(test_rdd.map(lambda p: p.features)).collect()
-    got = _ml_preds(new, test)
-    assert got == want
-
-
-def test_sgd_svm_stops_on_tolerance(spark, binary_sets):
-    from pyspark.mllib.classification import SVMWithSGD
-    train, test, train_rdd, test_rdd = binary_sets
-    from quarry.operators.svm_sgd import SgdSvm
-    scaled = FE.min_max_normalize(
-        FE.unpack_vector(train, "features", len(train.first()["features"]), keep=("label",)),
-        [f"f{i}" for i in range(len(train.first()["features"]))])
-    feats = [c for c in scaled.columns if c != "label"]
-    vec = FE.assemble(scaled, feats)
-    model = SgdSvm(iterations=300, step=1.0, reg=0.01).fit(vec)
-    from pyspark.mllib.linalg import Vectors as OldVectors
-    from pyspark.mllib.regression import LabeledPoint
-    rdd = vec.rdd.map(lambda r: LabeledPoint(r["label"], OldVectors.dense(r["features"].toArray())))
-    old = SVMWithSGD.train(rdd, 300)
-    assert model.weights == pytest.approx(list(old.weights), rel=1e-6, abs=1e-9)
-
-
 def test_models_beat_majority_on_separable_target(spark):
     li = spark.read.parquet(f"{SF001}/lineitem.parquet")
     data = li.select((F.col("l_quantity") > 25).cast("double").alias("label"),

@@ -60,7 +60,7 @@ def test_auc_hot_score_multi_bucket(spark):
     rnd = random.Random(2)
     pts = [(0.5 if i % 3 == 0 else rnd.random(), float(rnd.random() < 0.4)) for i in range(9000)]
     df = spark.createDataFrame(pts, "score double, label double").repartition(5)
-    got = M.auc_roc(df, buckets=16).first()["auc"]
+    got = M.auc_roc(df, ranges=16).first()["auc"]
     pos = [s for s, y in pts if y == 1.0]
     neg = sorted(s for s, y in pts if y != 1.0)
     num = sum(bisect.bisect_left(neg, s) + 0.5 * (bisect.bisect_right(neg, s)
@@ -73,3 +73,12 @@ def test_confusion_hot_class(spark):
     df = spark.createDataFrame(rows, "prediction double, label double").repartition(7)
     r = M.confusion_counts(df).first()
     assert (r["tp"], r["fn"], r["fp"], r["tn"]) == (10000, 3000, 3000, 3000)
+
+
+def test_auc_ranges_do_not_collapse_on_a_hot_score(spark):
+    # 99 % of the rows on one score: the other scores still fill several ranges.
+    df = spark.createDataFrame([(0.5 if i % 100 else i / 1e4, 1.0) for i in range(10000)],
+                               "s double, y double")
+    from pyspark.sql import functions as F
+    per = df.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
+    assert M.score_ranges(per, 8).select("bk").distinct().count() >= 6

@@ -1,11 +1,12 @@
-"""Source round trips and the partition guard."""
+"""Source round trips, labelled lines, derived files."""
 
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
-from quarry.operators.partitioning import ensure_parallelism
 from quarry.session import shared_dir
+from quarry.sources import delimited as DL
 from quarry.sources import files as FS
 from quarry.sources.text import read_text_lines
 
@@ -47,9 +48,44 @@ def test_matrix_vectors_and_columns(spark):
     assert [tuple(r) for r in cols] == [(1, 1.0, 2.0), (2, 3.0, 4.0)]
 
 
-def test_ensure_parallelism_only_spreads_small_inputs(spark):
-    target = spark.sparkContext.defaultParallelism
-    small = spark.range(100).coalesce(1)
-    assert ensure_parallelism(small).rdd.getNumPartitions() == 2 * target
-    big = spark.range(100).repartition(target + 3)
-    assert ensure_parallelism(big).rdd.getNumPartitions() == target + 3
+def _lines(spark, *rows):
+    return spark.createDataFrame([(r,) for r in rows], "line string")
+
+
+def test_labelled_lines_separator_and_trailing_fields(spark):
+    df = DL.parse_last_label(_lines(spark, "1|2|3"), 2, sep="|")
+    assert [tuple(r) for r in df.collect()] == [(2.0, 1.0, 2.0)]
+    df = DL.parse_last_label(_lines(spark, "1,2,3,"), 2)
+    assert [tuple(r) for r in df.collect()] == [(2.0, 1.0, 2.0)]
+    df = DL.parse_text_label(_lines(spark, "1,2,3,4,Iris-setosa,", "1,2,3,4,other", "1,2"), 4)
+    assert [tuple(r) for r in df.collect()] == [
+        (0.0, 1.0, 2.0, 3.0, 4.0), (None, 1.0, 2.0, 3.0, 4.0), (None,) * 5]
+
+
+@pytest.mark.parametrize("line", ["1,2,3,4,5", "1,2", "x,2,3", ""])
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_bad_lines_fail_whatever_the_session_says(spark, line, ansi):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="expected 3 fields|not a number"):
+            DL.parse_last_label(_lines(spark, line), 2).collect()
+        lenient = DL.parse_last_label(_lines(spark, line), 2, strict=False).collect()
+        assert lenient[0][1] is None
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_derived_files_are_written_once_per_table_version(spark, tmp_path):
+    from quarry.plans.fixtures import derived
+    spark.range(3).write.parquet(str(tmp_path / "lineitem.parquet"))
+    calls = []
+
+    def write(path):
+        calls.append(path)
+        spark.range(5).write.parquet(path)
+
+    first = derived(spark, "t", str(tmp_path), write)
+    assert derived(spark, "t", str(tmp_path), write) == first and len(calls) == 1
+    spark.range(4).write.mode("append").parquet(str(tmp_path / "lineitem.parquet"))
+    assert derived(spark, "t", str(tmp_path), write) != first and len(calls) == 2

@@ -17,6 +17,9 @@ CASES = [
     ("a\tb", ["a\tb"]),
     ("a b", ["a", "b"]),
     ("  a  ", ["", "", "a"]),
+    ("a \u2028", ["a", "\u2028"]),
+    ("a \u0085", ["a", "\u0085"]),
+    ("a  \u2029 ", ["a", "", "\u2029"]),
 ]
 
 
