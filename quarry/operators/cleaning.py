@@ -33,8 +33,8 @@ def _q(name: str) -> Column:
 
 def drop_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Drop the named columns; names not present are ignored."""
-    present = set(df.columns)
-    return df.drop(*[n for n in names if n in present])
+    drop = set(names)
+    return df.select(*[_q(c) for c in df.columns if c not in drop])
 
 
 def columns_by_type(df: DataFrame, kind: str = "string",
@@ -141,8 +141,12 @@ def text_summary(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
         for i, c in enumerate(cols)])))
 
 
+#: Accuracy of the quartile sketch: a rank is right within rows / accuracy.
+QUARTILE_ACCURACY = 10_000
+
+
 def numeric_quartiles(df: DataFrame, cols: Sequence[str] | None = None,
-                      accuracy: int = 10000) -> DataFrame:
+                      accuracy: int = QUARTILE_ACCURACY) -> DataFrame:
     """Approximate 25/50/75 % points per numeric column (the same sketch
     ``DataFrame.summary`` uses; mergeable, bounded memory per task)."""
     cols = list(cols) if cols is not None else columns_by_type(df, "numeric")

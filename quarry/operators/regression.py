@@ -12,6 +12,7 @@ persisted frame (the data is read once, each fit is distributed).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -109,24 +110,25 @@ SWEEP_SCHEMA = T.StructType([
 def lambda_sweep_ml(spark: SparkSession, df: DataFrame, features: Sequence[str], label: str,
                     alphas: Sequence[float] = SWEEP_ELASTIC_NET,
                     lambdas: Sequence[float] | None = None,
-                    max_iter: int = MAX_ITER) -> DataFrame:
+                    max_iter: int = MAX_ITER, parallelism: int = 8) -> DataFrame:
     """Grid sweep with ``LinearRegression`` per cell (any feature count).
 
-    The assembled frame is persisted once and released at the end; the
-    result holds one small row per cell (R^2 from the training summary).
+    The assembled frame is persisted once and released at the end; cells are
+    fitted from a small thread pool, and the result holds one small row per
+    cell (R^2 from the training summary).
     """
     lambdas = list(lambdas) if lambdas is not None else lambda_grid()
     data = assemble(df.select(*[_q(c).cast("double").alias(c) for c in features],
                               _q(label).cast("double").alias("label")), list(features)).persist()
+
+    def cell(at: tuple[float, int]) -> tuple:
+        alpha, step = at
+        model = linear_regression(lambdas[step], alpha, max_iter).fit(data)
+        return (alpha, step, float(lambdas[step]), float(model.summary.r2))
+
     try:
-        est = linear_regression(max_iter=max_iter)
-        maps = [{est.elasticNetParam: float(a), est.regParam: float(lam)}
-                for a in alphas for lam in lambdas]
-        rows = [None] * len(maps)
-        for idx, model in est.fitMultiple(data, maps):
-            a = float(alphas[idx // len(lambdas)])
-            step = idx % len(lambdas)
-            rows[idx] = (a, step, float(lambdas[step]), float(model.summary.r2))
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            rows = list(pool.map(cell, [(float(a), i) for a in alphas for i in range(len(lambdas))]))
     finally:
         data.unpersist()
     return result_rows(spark, rows, SWEEP_SCHEMA)

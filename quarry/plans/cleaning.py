@@ -46,6 +46,15 @@ def q_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FS.read_csv(spark, clinical_csv(spark, sf_dir), schema=CLINICAL_SCHEMA)
 
 
+@query("csv_scan_inferred", W + "SELECT * FROM clinical")
+def q_csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same file with an inferred schema; inferred whole numbers are
+    widened to the table's types."""
+    inferred = FS.read_csv(spark, clinical_csv(spark, sf_dir), infer=True)
+    types = {f.name: f.dataType for f in T.StructType.fromDDL(CLINICAL_SCHEMA).fields}
+    return inferred.select(*[F.col(c).cast(types[c]).alias(c) for c in inferred.columns])
+
+
 @query("drop_columns", W + "SELECT * EXCLUDE (tax_sparse, linenumber) FROM clinical")
 def q_drop_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.drop_columns(clinical(spark, sf_dir),
@@ -101,6 +110,32 @@ def q_column_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.numeric_quartiles(clinical(spark, sf_dir))
 
 
+QUARTILE_POINTS = ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))
+
+
+@query("column_quartile_ranks", W + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, {q}::DOUBLE AS point, count({c}) AS n_filled, TRUE AS within "
+    "FROM clinical" for c in ("patient_id", "quantity", "price", "discount", "tax_sparse",
+                              "linenumber", "tax") for q, _ in QUARTILE_POINTS))
+def q_column_quartile_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rank check of the quartiles: the rows below and up to each reported
+    value enclose the wanted rank within one part in the sketch's accuracy."""
+    df = clinical(spark, sf_dir)
+    quartiles = C.numeric_quartiles(df).collect()  # one row per numeric column
+    aggs, cells = [], []
+    for i, r in enumerate(quartiles):
+        x = F.col(r["column_name"]).cast("double")
+        aggs.append(F.count(x).alias(f"n{i}"))
+        for q, name in QUARTILE_POINTS:
+            aggs += [F.count_if(x < r[name]).alias(f"lo{i}{name}"), F.count_if(x <= r[name]).alias(f"hi{i}{name}")]
+            n, slack = F.col(f"n{i}"), F.col(f"n{i}") / F.lit(C.QUARTILE_ACCURACY) + 1
+            cells.append(F.struct(
+                F.lit(r["column_name"]).alias("column_name"), F.lit(q).alias("point"), n.alias("n_filled"),
+                ((F.col(f"lo{i}{name}") <= n * q + slack) & (F.col(f"hi{i}{name}") >= n * q - slack))
+                .alias("within")))
+    return df.agg(*aggs).select(F.inline(F.array(*cells)))
+
+
 @query("row_null_count", W + f"SELECT *, {_null_count_sql(CLINICAL_COLUMNS)} AS null_count "
        "FROM clinical")
 def q_row_null_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,6 +244,20 @@ def q_clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(prepared(spark, sf_dir))
 
 
+# Two more filled columns: 11 columns, so a row is healthy with fewer than 5 nulls.
+@query("clean_table_drop_lists", CLEAN_SQL.replace("< 4)", "< 5)"))
+def q_clean_table_drop_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain with both drop stages; the dropped columns' names hold
+    commas, brackets and dots."""
+    df = clinical(spark, sf_dir)
+    text, number = "Influenza A, rapid test [v1.0]", "Mix (A, B)"
+    df = df.withColumn(text, F.when(F.col("quantity") > 25, "detected").otherwise("not_detected")) \
+        .withColumn(number, F.col("quantity") * 2)
+    return round_doubles(C.prepare_table(df, "patient_id", "exam_result",
+                                         drop_before_encoding=[text], drop_after=[number],
+                                         checkpoint=True))
+
+
 _FEATS = [c for c in CLINICAL_COLUMNS if c != "exam_result"]
 _ZERO = {c: "0.0::DOUBLE" for c in ("status_test", "flag_test")}
 

@@ -13,7 +13,8 @@ from quarry.operators import features as FE
 from quarry.operators import reduce as RD
 from quarry.operators import regression as RG
 from quarry.plans.fixtures import (FLAG_FEATURES, FLAG_LABEL_SQL, LINE_KEYS, SEVEN_CLASS_SQL, flags,
-                                   named_class_lines, numeric_class_lines, regression_libsvm)
+                                   VECTOR_LABEL_SQL, named_class_lines, numeric_class_lines,
+                                   regression_libsvm, vector_libsvm)
 from quarry.plans.registry import query
 from quarry.sources import delimited as DL
 from quarry.sources import files as FS
@@ -336,6 +337,48 @@ def q_lambda_sweep_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RG.sweep_report(RG.lambda_sweep_1d(regression_frame(spark, sf_dir), REG_X, REG_Y))
 
 
+# The sweep on a feature vector.  In standardised units a cell minimises
+# b'Cb/2 - r'b + lam/sd(y) * (alpha |b| + (1 - alpha)/2 b'b); the oracle solves it by
+# coordinate descent over the correlations C and r.
+def _vector_sweep_sql(rounds: int = 150) -> str:
+    names = [f"x{i}" for i in range(1, 5)]
+    d = ", ".join(f"{c}::DOUBLE AS x{i}" for i, c in enumerate(FLAG_FEATURES, 1))
+    corr = [f"corr({a}, {b}) AS c{i}{j}" for i, a in enumerate(names, 1)
+            for j, b in enumerate(names, 1) if i < j]
+    corr += [f"corr({a}, y) AS r{i}" for i, a in enumerate(names, 1)]
+    inner = "SELECT * FROM cd, m WHERE it < " + str(rounds)
+    for i in range(1, 5):
+        rest = " - ".join(f"c{min(i, j)}{max(i, j)} * {'n' if j < i else 'b'}{j}"
+                          for j in range(1, 5) if j != i)
+        z = f"(r{i} - {rest})"
+        inner = (f"SELECT *, sign({z}) * greatest(abs({z}) - reg_param * elastic_net / sy, 0.0::DOUBLE) "
+                 f"/ (1.0::DOUBLE + reg_param * (1.0::DOUBLE - elastic_net) / sy) AS n{i} FROM ({inner})")
+    quad = " + ".join(f"b{i} * b{i}" for i in range(1, 5)) + " + 2.0::DOUBLE * (" + " + ".join(
+        f"c{i}{j} * b{i} * b{j}" for i in range(1, 5) for j in range(i + 1, 5)) + ")"
+    lin = " + ".join(f"r{i} * b{i}" for i in range(1, 5))
+    return f"""WITH RECURSIVE d AS (SELECT {d}, {VECTOR_LABEL_SQL} AS y FROM lineitem),
+m AS (SELECT stddev_pop(y) AS sy, {", ".join(corr)} FROM d),
+lam(step, reg_param) AS (SELECT 0, 0.0::DOUBLE UNION ALL
+  SELECT step + 1, reg_param + 0.1::DOUBLE FROM lam WHERE reg_param + 0.1::DOUBLE <= 10.05::DOUBLE),
+al(elastic_net) AS (VALUES (0.0::DOUBLE), (0.13::DOUBLE), (1.0::DOUBLE)),
+cd(it, elastic_net, step, reg_param, b1, b2, b3, b4) AS (
+  SELECT 0, elastic_net, step, reg_param, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM al, lam
+  UNION ALL
+  SELECT it + 1, elastic_net, step, reg_param, n1, n2, n3, n4 FROM ({inner}))
+SELECT elastic_net, CAST(step AS INTEGER) AS step, reg_param,
+  round(2.0::DOUBLE * ({lin}) - ({quad}), 3) + 0.0 AS r2 FROM cd, m WHERE it = {rounds}"""
+
+
+@query("lambda_sweep_vector", _vector_sweep_sql())
+def q_lambda_sweep_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 3 x 101 sweep on four features from a libsvm file: one cached
+    read, one ``LinearRegression`` fit per cell (10 iterations at most)."""
+    pts = FS.read_libsvm(spark, vector_libsvm(spark, sf_dir), num_features=4)
+    data = FS.vector_columns(pts, "features", 4, prefix="x", keep=("label",))
+    s = RG.lambda_sweep_ml(spark, data, [f"x{i}" for i in range(4)], "label")
+    return s.select("elastic_net", "step", "reg_param", F.round("r2", 3).alias("r2"))
+
+
 FIT_SCHEMA = T.StructType([
     T.StructField("elastic_net", T.DoubleType()), T.StructField("reg_param", T.DoubleType()),
     T.StructField("coefficient", T.DoubleType()), T.StructField("intercept", T.DoubleType()),

@@ -171,6 +171,21 @@ def regression_libsvm(spark: SparkSession, sf_dir: str) -> str:
     return derived(spark, "regression-libsvm", sf_dir, lambda path: FS.write_lines(li, line, path))
 
 
+# The label of the sweep on vectors: all four features and a part no feature explains.
+VECTOR_LABEL_SQL = ("l_quantity / 10.0::DOUBLE + l_extendedprice / 10000.0::DOUBLE "
+                    "+ 20.0::DOUBLE * l_discount - 10.0::DOUBLE * l_tax + (l_partkey % 7)::DOUBLE / 7.0::DOUBLE")
+
+
+def vector_libsvm(spark: SparkSession, sf_dir: str) -> str:
+    """libsvm lines of the four line features."""
+    li = table(spark, sf_dir, "lineitem")
+    label = (F.col("l_quantity") / F.lit(10.0) + F.col("l_extendedprice") / F.lit(10000.0)
+             + F.lit(20.0) * F.col("l_discount") - F.lit(10.0) * F.col("l_tax")
+             + (F.col("l_partkey") % 7).cast("double") / F.lit(7.0))
+    line = FS.libsvm_line(label, [F.col(c) for c in FLAG_FEATURES])
+    return derived(spark, "vector-libsvm", sf_dir, lambda path: FS.write_lines(li, line, path))
+
+
 def numeric_class_lines(spark: SparkSession, sf_dir: str) -> str:
     """Comma-separated numeric lines, the class (1..7) last."""
     li = table(spark, sf_dir, "lineitem")
