@@ -78,36 +78,51 @@ def load_encoder(name: str) -> Callable[[list[str]], list[int]]:
 
         byte_level = (tokenizer.normalizer is None and "ByteLevel" in str(tokenizer.pre_tokenizer)
                       and "add_prefix_space=False" in str(tokenizer.pre_tokenizer))
-        return by_chunks(encode, special) if byte_level else encode
+        return ChunkCounts(tokenizer, encode, special).count if byte_level else encode
     import sentencepiece
     pieces = sentencepiece.SentencePieceProcessor(model_file=path)
     return lambda texts: [len(x) for x in pieces.encode(texts, num_threads=1)]
 
 
-def by_chunks(encode: Callable[[list[str]], list[int]], special: list[str]
-              ) -> Callable[[list[str]], list[int]]:
-    """Count by chunks for byte-level tokenizers, which never join a word to
-    a following blank: a text whose blanks are single spaces or line feeds
-    between words is the sum of its chunks (a blank and a word), and a chunk
-    met before need not be encoded again.  Texts with other blanks, or a
+class ChunkCounts(dict):
+    """Token counts of chunks for byte-level tokenizers, which never join a
+    word to a following blank: a text whose blanks are single spaces or line
+    feeds between words is the sum of its chunks (a blank and a word), and a
+    chunk met before need not be tokenized again.  A new chunk goes through the
+    library's splitter and model; one of ASCII letters, then marks, is known to
+    be one word of the model for each (its blank written U+0120, as byte-level
+    vocabularies do) and spares the splitter.  Texts with other blanks, or a
     special string, are encoded whole."""
-    odd = re.compile("|".join([r"[^\S \n]", r"[\x1c-\x1f]", r"[ \n][ \n]", r"\A[ \n]", r"[ \n]\Z",
-                               *map(re.escape, special)]))
+
     chunk = re.compile(r"[ \n]?[^ \n]+")
-    known: dict[str, int] = {}
-
-    def count(texts: list[str]) -> list[int]:
-        whole = [bool(odd.search(t)) for t in texts]
-        parts = [[t] if w else chunk.findall(t) for t, w in zip(texts, whole, strict=True)]
-        if len(known) > CHUNKS:
-            known.clear()
-        new = list({c for p, w in zip(parts, whole, strict=True) if not w for c in p if c not in known})
-        for at in range(0, len(new), 8192):
-            known.update(zip(new[at:at + 8192], encode(new[at:at + 8192]), strict=True))
-        return [encode(p)[0] if w else sum(map(known.__getitem__, p))
-                for p, w in zip(parts, whole, strict=True)]
-
-    return count
+    plain = re.compile(r"( ?)([A-Za-z]+)([!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]*)")
+    blank = re.compile(r"[^\S \n]|[\x1c-\x1f]")
+
+    def __init__(self, tokenizer, encode: Callable[[list[str]], list[int]], special: list[str]):
+        super().__init__()
+        self.split = tokenizer.pre_tokenizer.pre_tokenize_str
+        self.tokenize = tokenizer.model.tokenize
+        self.encode, self.special = encode, special
+
+    def __missing__(self, c: str) -> int:
+        m = self.plain.fullmatch(c)
+        if m is None:
+            words = [w for w, _ in self.split(c)]
+        else:
+            words = [("\u0120" if m[1] else "") + m[2]] + ([m[3]] if m[3] else [])
+        self[c] = n = sum(len(self.tokenize(w)) for w in words)
+        return n
+
+    def regular(self, t: str) -> bool:
+        return not ("  " in t or "\n\n" in t or " \n" in t or "\n " in t or t[:1] in (" ", "\n")
+                    or t[-1:] in (" ", "\n") or any(x in t for x in self.special)
+                    or self.blank.search(t))
+
+    def count(self, texts: list[str]) -> list[int]:
+        if len(self) > CHUNKS:
+            self.clear()
+        return [sum(map(self.__getitem__, self.chunk.findall(t))) if self.regular(t)
+                else self.encode([t])[0] for t in texts]
 
 
 def encode_counts(texts: DataFrame, tokenizer_path: str, version: str) -> DataFrame:
