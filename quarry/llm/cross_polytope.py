@@ -10,14 +10,14 @@ vectors.
 
 Vectors of unequal length are lifted: a candidate gets one more component,
 sqrt(M^2 - |x|^2) with M the largest length, a query gets 0, which makes the
-largest inner product the smallest angle.
+largest inner product the smallest angle.  The lift only steers the hashing; it
+is left out where all lengths agree.
 
 Scale.  Equal vectors are one class, of which the ``k + 1`` smallest ids are
 kept (ties go to smaller ids, so no other can rank): a hot vector is indexed
 and ranked once.  Buckets per table grow with the number of classes (about one
 per ``PER_BUCKET``), the probed share falls as the number grows.  Buckets are
-dealt in groups of about ``GROUP`` vectors, a larger bucket is cut into hash
-blocks, and a query goes once to each group it probes.  The best of each group
+dealt in groups of about ``GROUP`` vectors, a hot one is cut into hash blocks, and a query goes once to each group it probes.  The best of each group
 meet in one ranking per query.  Nothing but the count and M reaches the driver.
 
 Edge cases.  Vectors that are null, zero, or hold null or non-finite
@@ -40,21 +40,25 @@ from pyspark.sql import functions as F
 from quarry.llm.common import rows_in_key_runs, saved
 
 TABLES = 8
-PER_BUCKET = 16
-GROUP = 8192
+PER_BUCKET = 4
+GROUP = 32_768
+#: Vectors hashed at once.
+SLICE = 1024
 #: Up to this many classes every bucket is probed.
 ALL = 256
 #: Share of buckets probed at 500 classes, and how it falls with their number.
-SHARE, FALL = 0.16, 0.3
+SHARE, FALL = 0.16, 0.45
+#: Lengths that differ by less (relatively) need no lifting.
+SAME_LENGTH = 1e-5
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
-    """Fast Walsh-Hadamard transform of the rows (length a power of two)."""
-    n, d = x.shape
+    """Fast Walsh-Hadamard transform of the columns (length a power of two)."""
+    d, n = x.shape
     h = 1
     while h < d:
-        x = x.reshape(n, d // (2 * h), 2, h)
-        x = np.concatenate([x[:, :, :1] + x[:, :, 1:], x[:, :, :1] - x[:, :, 1:]], axis=2).reshape(n, d)
+        x = x.reshape(d // (2 * h), 2, h, n)
+        x = np.concatenate([x[:, :1] + x[:, 1:], x[:, :1] - x[:, 1:]], axis=1).reshape(d, n)
         h *= 2
     return x / np.sqrt(d)
 
@@ -77,12 +81,12 @@ class Hashes:
 
     def axes(self, x: np.ndarray, table: int, level: int) -> np.ndarray:
         """Nearness to every signed axis of one rotation."""
-        y = np.zeros((len(x), self.size))
-        y[:, :x.shape[1]] = x
+        y = np.zeros((self.size, len(x)))
+        y[:x.shape[1]] = x.T
         for s in self.signs[table, level]:
-            y = hadamard(y * s)
-        half = self.radix[level] // 2
-        return np.concatenate([y[:, :half], -y[:, :half]], axis=1)
+            y = hadamard(y * s[:, None])
+        y = y[:self.radix[level] // 2].T
+        return np.concatenate([y, -y], axis=1)
 
     def bucket(self, x: np.ndarray, table: int) -> np.ndarray:
         code = np.zeros(len(x), dtype=np.int64)
@@ -115,11 +119,11 @@ def plan(n: int, dim: int) -> tuple[Hashes, int, int]:
 
 
 def _unit(x: np.ndarray, top: float | None) -> np.ndarray:
-    """Rows lifted to length ``top`` (None: one zero component) and scaled."""
+    """Rows scaled to length 1, after lifting them to ``top`` if given."""
     length = np.sqrt((x * x).sum(axis=1))
-    more = np.zeros(len(x)) if top is None else np.sqrt(np.maximum(top * top - length ** 2, 0.0))
-    scale = length if top is None else np.full(len(x), top)
-    return np.column_stack([x, more]) / scale[:, None]
+    if top is None:
+        return x / length[:, None]
+    return np.column_stack([x, np.sqrt(np.maximum(top * top - length ** 2, 0.0))]) / top
 
 
 def _matrix(column, dim: int) -> np.ndarray:
@@ -148,13 +152,15 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
     """(query_id, rank, vec_id, score) for the rows where ``is_query`` (a
     function of the id column) holds, against all other rows."""
     every = saved(classes(vectors, id_col, vector_col, k))
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     dims = every.groupBy(F.size("v").alias("d")).agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("m"))
+        F.count(F.lit(1)).alias("n"), F.max(square).alias("m"), F.min(square).alias("s"))
     common = dims.orderBy(F.desc("n"), "d").first()
     spark = vectors.sparkSession
     if common is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dim, n, top = common["d"], common["n"], float(common["m"]) ** 0.5
+    lift = None if float(common["s"]) ** 0.5 >= top * (1 - SAME_LENGTH) else top
     every = every.where(F.size("v") == dim)
     v = F.col(vector_col).cast("array<double>")
     # Which class each query row belongs to (by its vector).
@@ -163,26 +169,27 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
              .withColumn("_v", F.transform("_v", lambda x: x + F.lit(0.0))))
     queries = saved(asked.join(every, F.col("_v") == F.col("v")).select("query_id", "cid"))
     wanted = queries.select(F.col("cid").alias("_c")).distinct()
-    hashes, probes, per_group = plan(n, dim + 1)
-    blocks_of = max(1, GROUP)
+    hashes, probes, per_group = plan(n, dim + (lift is not None))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            x = _unit(_matrix(b.column(1), dim), top)
-            for t in range(hashes.tables):
-                code = hashes.bucket(x, t)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(code), t, np.int32)), pa.array(code // per_group),
-                     pa.array(code), b.column(0), b.column(1)],
-                    names=["t", "g", "code", "cid", "v"])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, SLICE):
+                b = whole.slice(lo, SLICE)
+                x = _unit(_matrix(b.column(1), dim), lift)
+                for t in range(hashes.tables):
+                    code = hashes.bucket(x, t)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(code), t, np.int32)), pa.array(code // per_group),
+                         pa.array(code), b.column(0), b.column(1)],
+                        names=["t", "g", "code", "cid", "v"])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, 64):
                 b = whole.slice(lo, 64)
                 x = _unit(_matrix(b.column(1), dim), None)
+                if lift is not None:
+                    x = np.column_stack([x, np.zeros(len(x))])
                 for t in range(hashes.tables):
                     codes = np.sort(hashes.probes(x, t, probes), axis=1)
                     rows, groups, lists = [], [], []
@@ -202,8 +209,8 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
     index = (every.select("cid", "v").mapInArrow(
         place, "t int, g long, code long, cid long, v array<double>"))
     index = saved(index.select("t", "g", F.array("code").alias("codes"), "cid", "v", F.lit(False).alias("asks")))
-    # Blocks per group; groups with more than GROUP vectors get several.
-    blocks = saved(index.groupBy("t", "g").agg(F.ceil(F.count(F.lit(1)) / blocks_of).cast("int").alias("b"))
+    # Blocks per group; a group far above GROUP vectors (a hot bucket) gets several.
+    blocks = saved(index.groupBy("t", "g").agg(F.ceil(F.count(F.lit(1)) / (2 * GROUP)).cast("int").alias("b"))
                    .select(F.col("t").alias("_t"), F.col("g").alias("_g"), "b"))
     asks = (every.join(wanted, F.col("cid") == F.col("_c"), "left_semi").select("cid", "v")
             .mapInArrow(ask, "t int, g long, codes array<long>, cid long, v array<double>")

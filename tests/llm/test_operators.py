@@ -154,7 +154,7 @@ def test_em_never_lowers_likelihood():
 # --- cross-polytope ----------------------------------------------------------
 
 def test_hadamard_is_orthogonal():
-    x = np.random.default_rng(1).normal(size=(5, 16))
+    x = np.random.default_rng(1).normal(size=(16, 5))
     assert np.allclose(cross_polytope.hadamard(cross_polytope.hadamard(x)), x)
 
 
