@@ -34,6 +34,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.llm.common import saved
 from quarry.session import shared_dir
 
 CACHE_SCHEMA = "tokenizer string, digest binary, n_bytes long, n_tokens long"
@@ -177,7 +178,9 @@ def fill_cache(docs: DataFrame, tokenizer_path: str, cache_path: str,
                 .withColumn("digest", digest(F.col("text"))).dropDuplicates(["digest"]))
     misses = distinct.join(read_cache(spark, cache_path, version), "digest", "left_anti")
     encode_counts(misses, tokenizer_path, version).write.mode("append").parquet(cache_path)
-    return read_cache(spark, cache_path, version).dropDuplicates(["digest"])
+    # Saved, so that the join to the documents has two plain exchanges and a
+    # digest that many documents share can be split.
+    return saved(read_cache(spark, cache_path, version).dropDuplicates(["digest"]))
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None = None,
