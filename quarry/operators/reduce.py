@@ -13,6 +13,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import PCA
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,3 +115,19 @@ def pca_project(df: DataFrame, cols: Sequence[str], k: int = 1,
     means = [row[f"m{i}"] for i in range(len(cols))]
     comps, _ = principal_components(df, cols, k)
     return project(df, cols, comps, means, keep)
+
+
+def pca_project_vectors(df: DataFrame, vector_col: str, k: int, keep: Sequence[str] = ()) -> DataFrame:
+    """``(*keep, pc1 .. pck)`` for a vector column of any length: centre, find
+    the top ``k`` components, project.  The mean vector and the k loadings are
+    what reaches the driver; rows stay one vector column."""
+    mean = df.agg(Summarizer.mean(F.col(vector_col)).alias("m")).first()["m"]
+    model = PCA(k=k, inputCol=vector_col, outputCol="__pc").fit(df)
+    pc = model.pc.toArray()
+    out = []
+    for j in range(k):
+        loadings = [float(x) for x in pc[:, j]]
+        sign = 1.0 if _fix_sign(loadings) == loadings else -1.0
+        shift = sign * sum(w * float(m) for w, m in zip(loadings, mean, strict=True))
+        out.append((vector_to_array(F.col("__pc"))[j] * F.lit(sign) - F.lit(shift)).alias(f"pc{j + 1}"))
+    return model.transform(df).select(*[_q(c) for c in keep], *out)

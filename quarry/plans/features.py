@@ -268,12 +268,9 @@ def q_pca_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("pca_embeddings")
 def q_pca_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """64-d vectors -> top two components (``ml.feature.PCA``): rows-only."""
-    emb = table(spark, sf_dir, "embeddings")
-    cols = [f"x{i}" for i in range(64)]
-    wide = emb.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(c)
-                                           for i, c in enumerate(cols)])
-    return RD.pca_project(wide, cols, k=2, keep=("vec_id", "label"))
+    """Vectors of any length -> top two components (``ml.feature.PCA``): rows-only."""
+    vec = FS.matrix_vectors(table(spark, sf_dir, "embeddings"), "embedding", keep=("vec_id", "label"))
+    return RD.pca_project_vectors(vec, "features", k=2, keep=("vec_id", "label"))
 
 
 # --- regression -----------------------------------------------------------------

@@ -106,6 +106,18 @@ def test_pca_general_path_on_embeddings(spark):
     assert abs(m[0]) < 1e-9 and abs(m[1]) < 1e-9
 
 
+def test_pca_of_vectors_equals_pca_of_columns(spark):
+    from pyspark.ml.functions import array_to_vector
+    emb = spark.read.parquet(f"{SF001}/embeddings.parquet").select(
+        "vec_id", F.transform(F.slice("embedding", 1, 6), lambda x: x.cast("double")).alias("a"))
+    wide = emb.select("vec_id", *[F.col("a")[i].alias(f"x{i}") for i in range(6)])
+    want = {r.vec_id: (r.pc1, r.pc2) for r in RD.pca_project(
+        wide, [f"x{i}" for i in range(6)], k=2, keep=("vec_id",)).collect()}
+    vec = emb.select("vec_id", array_to_vector("a").alias("v"))
+    for r in RD.pca_project_vectors(vec, "v", k=2, keep=("vec_id",)).collect():
+        assert (r.pc1, r.pc2) == pytest.approx(want[r.vec_id], abs=1e-9)
+
+
 def test_lambda_grid_is_an_accumulated_sum():
     g = RG.lambda_grid()
     assert len(g) == 101 and g[0] == 0.0 and g[-1] == pytest.approx(9.99999999999998, abs=1e-15)
