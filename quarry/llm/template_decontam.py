@@ -57,12 +57,18 @@ NUMBER_WORDS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "
                 "eleven", "twelve", "twenty", "thirty", "forty", "fifty", "hundred", "thousand", "million")
 
 _UP, _LOW = "A-ZÀ-ÖØ-Þ", "a-zß-öø-ÿ"
+#: A blank, then a capitalised word (or several) after a small letter or comma.
+_NAME = rf" [{_UP}](?<=[{_LOW},;] .)[{_LOW}]+(?: [{_UP}][{_LOW}]+)*"
+NAME = re.compile(_NAME)
+DIGIT = re.compile("[0-9]")
 SLOT = re.compile(
     rf"(?P<sign>[$€£¥] ?)?(?P<num>[0-9]+(?:[.,][0-9]+)*)(?: ?(?P<unit>%|(?:{'|'.join(UNITS)})\b))?"
-    rf"|(?P<name>(?<=[{_LOW},;] )[{_UP}][{_LOW}]+(?: [{_UP}][{_LOW}]+)*)")
+    rf"|(?P<name>{_NAME})")
 WORD_BYTES = bytes(c if 97 <= c <= 122 or 48 <= c <= 57 or c > 127 else 32 for c in range(256))
 _NUMBERS = frozenset(w.encode() for w in NUMBER_WORDS)
-_MULT = np.uint64(0x9E3779B97F4A7C15)
+#: Odd multipliers of a window's words.
+_MULT = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) % 2**64 for i in range(WINDOW)], dtype=np.uint64)
+_PLACES = frozenset((b"0", b"1", b"2"))
 _PLACE = np.array([zlib.crc32(x) for x in (b"0", b"1", b"2")], dtype=np.uint64)
 
 
@@ -72,8 +78,15 @@ def _mark(m: re.Match) -> str:
     return " 2 0 " if m["sign"] else " 0 2 " if m["unit"] else " 0 "
 
 
+def marked_words(text: str) -> list[bytes]:
+    """Words with slots marked, number words still as they are."""
+    # Without a digit only names can be slots: the cheaper pattern.
+    marked = SLOT.sub(_mark, text) if DIGIT.search(text) else NAME.sub(" 1 ", text)
+    return marked.lower().encode().translate(WORD_BYTES).split()
+
+
 def template_words(text: str) -> list[bytes]:
-    words = SLOT.sub(_mark, text).lower().encode().translate(WORD_BYTES).split()
+    words = marked_words(text)
     if not _NUMBERS.isdisjoint(words):
         words = [b"0" if w in _NUMBERS else w for w in words]
     return words
@@ -84,14 +97,13 @@ def slot_values(text: str) -> list[str | None]:
     values: list[str] = []
     for m in SLOT.finditer(text):
         if m["name"] is not None:
-            values.append(m["name"].lower())
+            values.append(m["name"].strip().lower())
         elif m["sign"]:
             values += [m["sign"].strip(), m["num"]]
         else:
             values += [m["num"], m["unit"].lower()] if m["unit"] else [m["num"]]
-    marked = SLOT.sub(_mark, text).lower().encode().translate(WORD_BYTES).split()
     left = iter(values)
-    return [next(left) if w in (b"0", b"1", b"2") else w.decode() if w in _NUMBERS else None for w in marked]
+    return [next(left) if w in _PLACES else w.decode() if w in _NUMBERS else None for w in marked_words(text)]
 
 
 def window_hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -100,12 +112,15 @@ def window_hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, bool)
     h = np.fromiter(map(zlib.crc32, words), dtype=np.uint64, count=len(words))
-    slot = (h == _PLACE[0]) | (h == _PLACE[1]) | (h == _PLACE[2])
-    total, slots = np.zeros(n, np.uint64), np.zeros(n, np.int64)
-    for i in range(WINDOW):
-        total = (total ^ h[i:i + n]) * _MULT
-        total ^= total >> np.uint64(29)
-        slots += slot[i:i + n]
+    total = h[:n] * _MULT[0]
+    for i in range(1, WINDOW):
+        total += h[i:i + n] * _MULT[i]
+    total ^= total >> np.uint64(31)
+    total *= _MULT[1]
+    if _PLACES.isdisjoint(words):
+        return total, np.ones(n, bool)
+    slot = np.isin(h, _PLACE)
+    slots = sum(slot[i:i + n].astype(np.int8) for i in range(WINDOW))
     return total, slots <= WINDOW - LITERALS
 
 
