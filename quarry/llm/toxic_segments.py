@@ -4,17 +4,17 @@ Training (labelled rows of the training folds only):
 
 1. Log-odds.  Per token, the documents of each class that contain it give a
    log-odds ratio under an informative Dirichlet prior (a uniform part plus a
-   part in proportion to the token's share of all labelled documents).  A
-   token's weight is the end of its confidence interval nearest zero, so rare
-   tokens weigh nothing.  Every token also pays a fixed drift, which makes the
-   expected weight of ordinary text negative.
+   part in proportion to the token's share of all labelled documents).  Where
+   it lies ``Z`` standard deviations from zero it is the token's weight, else
+   the token weighs nothing.  Every token also pays a fixed drift, which makes
+   the expected weight of ordinary text negative.
 2. Calibration.  The weights of tokens in clean training documents give the
    decay ``lam`` of the extreme-value law of the best segment of ordinary text
    (the root of E[exp(lam * weight)] = 1) and, from the tokens that can start
    a segment, its constant K = E[exp(lam * weight); weight > 0];
    P(best >= s) = 1 - exp(-K n exp(-lam s)) for n tokens.
 3. A one-feature logistic regression turns a document's evidence (the summed
-   -log10 p of its significant segments) into the probability of label 1.
+   -log10 p of its segments) into the probability of label 1.
 
 Scoring.  All maximal scoring segments are found in one pass per text (prefix
 sums and a stack); those with p at most ``ALPHA`` are toxic passages.
@@ -49,11 +49,11 @@ MAX_LABELLED = 40_000
 BUCKETS = 1 << 20
 #: Uniform and proportional parts of the prior, in documents.
 PRIOR_FLAT, PRIOR_SHARE = 0.5, 50.0
-#: Width of the confidence interval in standard deviations.
-Z = 2.58
-DRIFT = 0.25
+#: Standard deviations from zero of a log-odds ratio that counts.
+Z = 3.0
+DRIFT = 1.0
 #: Largest p-value of a significant segment.
-ALPHA = 0.01
+ALPHA = 0.05
 #: Word bytes: digits, letters (lower-cased) and everything beyond ASCII.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or 48 <= c <= 57 or c > 127 else 32
                    for c in range(256))
@@ -126,9 +126,9 @@ def passages(text: bytes | None, table: np.ndarray, lam: float, const: float,
     found, evidence = [], 0.0
     for a, b, s in segments(table[hashed(words)]):
         p = max(p_value(s, len(words), lam, const), 1e-300)
+        evidence -= float(np.log10(p))
         if p <= alpha:
             found.append((a, b - 1, p))
-            evidence -= float(np.log10(p))
     return found, evidence
 
 
@@ -158,8 +158,8 @@ def token_counts(sample: DataFrame, text_col: str) -> DataFrame:
 
 
 def log_odds(counts: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
-    """Counts plus ``weight``: the log-odds ratio moved toward zero by ``Z``
-    standard deviations (0 if the interval covers zero)."""
+    """Counts plus ``weight``: the log-odds ratio, 0 unless it is ``Z``
+    standard deviations from zero."""
     prior = F.lit(PRIOR_FLAT) + F.lit(PRIOR_SHARE) * (F.col("toxic") + F.col("clean")) / (n_toxic + n_clean)
     total = 2 * PRIOR_FLAT + PRIOR_SHARE
 
@@ -171,10 +171,8 @@ def log_odds(counts: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
     ratio = F.col("_ratio")
     return (counts.withColumn("_prior", prior)
             .withColumn("_ratio", logit("toxic", n_toxic) - logit("clean", n_clean))
-            .withColumn("_spread", F.lit(Z) * spread)
-            .withColumn("weight", F.when(ratio > F.col("_spread"), ratio - F.col("_spread"))
-                        .when(ratio < -F.col("_spread"), ratio + F.col("_spread")).otherwise(0.0))
-            .drop("_prior", "_ratio", "_spread"))
+            .withColumn("weight", F.when(F.abs(ratio) > F.lit(Z) * spread, ratio).otherwise(0.0))
+            .drop("_prior", "_ratio"))
 
 
 def decay(weights: np.ndarray, shares: np.ndarray) -> float:
