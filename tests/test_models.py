@@ -62,7 +62,7 @@ def test_trial_is_deterministic_and_counts_add_up(spark):
 
 def test_repeated_rows_are_split_and_all_models_run(spark):
     # Two distinct rows, many copies: the row id splits the copies.
-    rows = spark.createDataFrame([(float(i % 2), float(i % 2), 1.0) for i in range(400)],
+    rows = spark.createDataFrame([(float(i % 2), 1.0, 2.0) for i in range(400)],
                                  "label double, a double, b double")
     frame = TR.with_row_id(spark, rows)
     got = TR.repeated_holdout(spark, frame, iterations=2).collect()
