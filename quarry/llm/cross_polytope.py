@@ -8,28 +8,30 @@ whose axes it is nearest to next (multiprobe), and all vectors found there are
 ranked by the exact inner product, in double precision, on the original
 vectors.
 
-Vectors of unequal length are lifted: a candidate gets one more component,
-sqrt(M^2 - |x|^2) with M the largest length, a query gets 0, which makes the
-largest inner product the smallest angle.  The lift only steers the hashing; it
-is left out where all lengths agree.
+Vectors of unequal length are split into bands, counted down from the largest
+length by factors of ``BAND``.  Each band is hashed by direction with buckets
+and probes for its own size, and a query probes every band: inside one the
+inner product follows the angle but for the factor.  Neighbouring bands of
+together at most ``ALL`` classes share one bucket, which is ranked whole.
 
 Scale.  Equal vectors are one class, of which the ``k + 1`` smallest ids are
 kept (ties go to smaller ids, so no other can rank): a hot vector is indexed
 and ranked once.  Buckets per table grow with the number of classes (about one
 per ``PER_BUCKET``), the probed share falls as the number grows.  Buckets are
 dealt in groups of about ``GROUP`` vectors, a hot one is cut into hash blocks, and a query goes once to each group it probes.  The best of each group
-meet in one ranking per query.  Nothing but the count and M reaches the driver.
+meet in one ranking per query.  Only the classes per band reach the driver (a
+double has at most 15,000 bands).
 
 Edge cases.  Vectors that are null, zero, or hold null or non-finite
 components take no part, nor do those whose length differs from the most
 common one.  Repeated ids count once per distinct vector.  A query with fewer
-candidates gets all of them; with at most ``ALL`` classes every bucket is
-probed.  Null ids take no part.  An empty table gives an empty result.
+candidates gets all of them; a band of at most ``ALL`` classes is ranked whole.  Null ids take no part.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +46,12 @@ PER_BUCKET = 4
 GROUP = 32_768
 #: Vectors hashed at once.
 SLICE = 1024
-#: Up to this many classes every bucket is probed.
+#: Up to this many classes are ranked whole.
 ALL = 256
 #: Share of buckets probed at 500 classes, and how it falls with their number.
 SHARE, FALL = 0.16, 0.45
-#: Lengths that differ by less (relatively) need no lifting.
-SAME_LENGTH = 1e-5
+#: Largest and smallest length of a band differ by this factor.
+BAND = 1.1
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -118,12 +120,35 @@ def plan(n: int, dim: int) -> tuple[Hashes, int, int]:
     return h, max(1, int(np.ceil(share * h.buckets))), max(1, int(h.buckets * GROUP / max(GROUP, n)))
 
 
-def _unit(x: np.ndarray, top: float | None) -> np.ndarray:
-    """Rows scaled to length 1, after lifting them to ``top`` if given."""
-    length = np.sqrt((x * x).sum(axis=1))
-    if top is None:
-        return x / length[:, None]
-    return np.column_stack([x, np.sqrt(np.maximum(top * top - length ** 2, 0.0))]) / top
+class Space(NamedTuple):
+    """Bands that are searched together: hash functions (None: one bucket,
+    ranked whole), probes per table, buckets per group and fine bands."""
+
+    hashes: Hashes | None
+    probes: int
+    per_group: int
+    bands: list[int]
+
+
+def spaces(counts: dict[int, int], dim: int) -> list[Space]:
+    """Spaces for these classes per band."""
+    out: list[Space] = []
+    small: list[int] = []
+    for band, n in sorted(counts.items()):
+        if n > ALL:
+            out.append(Space(*plan(n, dim), [band]))
+        elif small and sum(counts[x] for x in small) + n <= ALL:
+            small.append(band)
+        else:
+            small = [band]
+            out.append(Space(None, 1, 1, small))
+    return out
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows scaled to length 1 (by their largest component first, whose square may leave a double)."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
 
 def _matrix(column, dim: int) -> np.ndarray:
@@ -151,17 +176,24 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
             k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows where ``is_query`` (a
     function of the id column) holds, against all other rows."""
-    every = saved(classes(vectors, id_col, vector_col, k))
-    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    dims = every.groupBy(F.size("v").alias("d")).agg(
-        F.count(F.lit(1)).alias("n"), F.max(square).alias("m"), F.min(square).alias("s"))
+    # Logarithm of the length, by the largest component, so that no square leaves a double.
+    largest = F.array_max(F.transform("v", F.abs))
+    log_length = F.log(largest) + F.log(F.aggregate(
+        "v", F.lit(0.0), lambda a, x: a + (x / largest) * (x / largest))) / 2
+    every = saved(classes(vectors, id_col, vector_col, k).withColumn("length", log_length))
+    dims = every.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("m"))
     common = dims.orderBy(F.desc("n"), "d").first()
     spark = vectors.sparkSession
     if common is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim, n, top = common["d"], common["n"], float(common["m"]) ** 0.5
-    lift = None if float(common["s"]) ** 0.5 >= top * (1 - SAME_LENGTH) else top
-    every = every.where(F.size("v") == dim)
+    dim, top = common["d"], common["m"]
+    band = F.floor((F.lit(top) - F.col("length")) / F.lit(float(np.log(BAND))))
+    every = every.where(F.size("v") == dim).withColumn("band", band.cast("int"))
+    counts = {r["band"]: r["count"] for r in every.groupBy("band").count().collect()}
+    searched = spaces(counts, dim)
+    space_of = np.zeros(max(counts) + 1, dtype=np.int32)
+    for i, space in enumerate(searched):
+        space_of[space.bands] = i
     v = F.col(vector_col).cast("array<double>")
     # Which class each query row belongs to (by its vector).
     asked = (vectors.select(F.col(id_col).cast("long").alias("query_id"), v.alias("_v"))
@@ -169,60 +201,64 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
              .withColumn("_v", F.transform("_v", lambda x: x + F.lit(0.0))))
     queries = saved(asked.join(every, F.col("_v") == F.col("v")).select("query_id", "cid"))
     wanted = queries.select(F.col("cid").alias("_c")).distinct()
-    hashes, probes, per_group = plan(n, dim + (lift is not None))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, SLICE):
-                b = whole.slice(lo, SLICE)
-                x = _unit(_matrix(b.column(1), dim), lift)
-                for t in range(hashes.tables):
-                    code = hashes.bucket(x, t)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(code), t, np.int32)), pa.array(code // per_group),
-                         pa.array(code), b.column(0), b.column(1)],
-                        names=["t", "g", "code", "cid", "v"])
+                slice_ = whole.slice(lo, SLICE)
+                own = space_of[slice_.column(2).to_numpy()]
+                for i in np.unique(own).tolist():
+                    b = slice_.take(pa.array(np.flatnonzero(own == i)))
+                    hashes, _, per_group, _ = searched[i]
+                    x = _unit(_matrix(b.column(1), dim))
+                    for t in range(1 if hashes is None else hashes.tables):
+                        code = np.zeros(len(x), np.int64) if hashes is None else hashes.bucket(x, t)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(code), i, np.int32)), pa.array(np.full(len(code), t, np.int32)),
+                             pa.array(code // per_group), pa.array(code), b.column(0), b.column(1)],
+                            names=["s", "t", "g", "code", "cid", "v"])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, 64):
                 b = whole.slice(lo, 64)
-                x = _unit(_matrix(b.column(1), dim), None)
-                if lift is not None:
-                    x = np.column_stack([x, np.zeros(len(x))])
-                for t in range(hashes.tables):
-                    codes = np.sort(hashes.probes(x, t, probes), axis=1)
-                    rows, groups, lists = [], [], []
-                    for i, own in enumerate(codes):
-                        g = own // per_group
-                        cut = np.flatnonzero(np.diff(g)) + 1
-                        for part in np.split(own, cut):
-                            rows.append(i)
-                            groups.append(int(part[0] // per_group))
-                            lists.append(part)
-                    at = pa.array(rows)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(rows), t, np.int32)), pa.array(groups, pa.int64()),
-                         pa.array(lists, pa.list_(pa.int64())), b.column(0).take(at), b.column(1).take(at)],
-                        names=["t", "g", "codes", "cid", "v"])
-
-    index = (every.select("cid", "v").mapInArrow(
-        place, "t int, g long, code long, cid long, v array<double>"))
-    index = saved(index.select("t", "g", F.array("code").alias("codes"), "cid", "v", F.lit(False).alias("asks")))
+                x = _unit(_matrix(b.column(1), dim))
+                for s, (hashes, probes, per_group, _) in enumerate(searched):
+                    for t in range(1 if hashes is None else hashes.tables):
+                        codes = (np.zeros((len(x), 1), np.int64) if hashes is None
+                                 else np.sort(hashes.probes(x, t, probes), axis=1))
+                        rows, groups, lists = [], [], []
+                        for i, own in enumerate(codes):
+                            g = own // per_group
+                            cut = np.flatnonzero(np.diff(g)) + 1
+                            for part in np.split(own, cut):
+                                rows.append(i)
+                                groups.append(int(part[0] // per_group))
+                                lists.append(part)
+                        at = pa.array(rows)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(rows), s, np.int32)), pa.array(np.full(len(rows), t, np.int32)),
+                             pa.array(groups, pa.int64()), pa.array(lists, pa.list_(pa.int64())),
+                             b.column(0).take(at), b.column(1).take(at)],
+                            names=["s", "t", "g", "codes", "cid", "v"])
+
+    index = (every.select("cid", "v", "band").mapInArrow(
+        place, "s int, t int, g long, code long, cid long, v array<double>"))
+    index = saved(index.select("s", "t", "g", F.array("code").alias("codes"), "cid", "v", F.lit(False).alias("asks")))
     # Blocks per group; a group far above GROUP vectors (a hot bucket) gets several.
-    blocks = saved(index.groupBy("t", "g").agg(F.ceil(F.count(F.lit(1)) / (2 * GROUP)).cast("int").alias("b"))
-                   .select(F.col("t").alias("_t"), F.col("g").alias("_g"), "b"))
+    blocks = saved(index.groupBy("s", "t", "g").agg(F.ceil(F.count(F.lit(1)) / (2 * GROUP)).cast("int").alias("b"))
+                   .select(F.col("s").alias("_s"), F.col("t").alias("_t"), F.col("g").alias("_g"), "b"))
     asks = (every.join(wanted, F.col("cid") == F.col("_c"), "left_semi").select("cid", "v")
-            .mapInArrow(ask, "t int, g long, codes array<long>, cid long, v array<double>")
+            .mapInArrow(ask, "s int, t int, g long, codes array<long>, cid long, v array<double>")
             .withColumn("asks", F.lit(True)))
-    same = (F.col("t") == F.col("_t")) & (F.col("g") == F.col("_g"))
+    same = (F.col("s") == F.col("_s")) & (F.col("t") == F.col("_t")) & (F.col("g") == F.col("_g"))
     dealt = (index.join(blocks, same).withColumn("b", F.pmod(F.xxhash64("cid"), F.col("b")).cast("int"))
              .unionByName(asks.join(blocks, same)
                           .withColumn("b", F.explode(F.sequence(F.lit(0), F.col("b") - 1))))
-             .drop("_t", "_g"))
+             .drop("_s", "_t", "_g"))
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, cols in rows_in_key_runs(batches, ["t", "g", "b"]):
+        for _, cols in rows_in_key_runs(batches, ["s", "t", "g", "b"]):
             asking = cols["asks"].astype(bool)
             if not asking.any() or asking.all():
                 continue
@@ -254,7 +290,7 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
                     [pa.array(np.concatenate(out_q)), pa.array(np.concatenate(out_c)),
                      pa.array(np.concatenate(out_s))], names=["qcid", "cid", "score"])
 
-    found = (dealt.repartition("t", "g", "b").sortWithinPartitions("t", "g", "b")
+    found = (dealt.repartition("s", "t", "g", "b").sortWithinPartitions("s", "t", "g", "b")
              .mapInArrow(rank, "qcid long, cid long, score double")
              .groupBy("qcid", "cid").agg(F.max("score").alias("score")))
     order = W.partitionBy("qcid").orderBy(F.desc("score"), "cid")

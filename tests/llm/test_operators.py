@@ -201,6 +201,25 @@ def test_nearest_against_brute_force(spark, n, scaled):
     assert found / sum(map(len, want.values())) >= (1.0 if n == 60 else 0.9)
 
 
+@pytest.mark.parametrize("kind", ["lognormal", "outlier"])
+def test_nearest_with_unequal_lengths(spark, kind):
+    rng = np.random.default_rng(8)
+    n = 2500
+    x = rng.normal(size=(n, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "lognormal":
+        x *= np.exp(rng.normal(size=(n, 1)) * 0.5)
+    else:
+        x[1] *= 100
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in cross_polytope.nearest(df, lambda i: i % 20 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = brute(np.arange(n), x)
+    found = sum(len(got.get(q, set()) & {v for v, _ in rows}) for q, rows in want.items())
+    assert found / sum(map(len, want.values())) >= 0.9
+
+
 # --- quality model -----------------------------------------------------------
 
 def test_gam_learns_single_and_pair_effects():
