@@ -14,6 +14,10 @@ and probes for its own size, and a query probes every band: inside one the
 inner product follows the angle but for the factor.  Neighbouring bands of
 together at most ``ALL`` classes share one bucket, which is ranked whole.
 
+A query that found fewer than ``k + 1`` classes (its own included) although
+there are more asks again with ``WIDEN`` times the probes, and in the end, once
+that were more than ``LISTED`` buckets of a table, every group of one table.
+
 Scale.  Equal vectors are one class, of which the ``k + 1`` smallest ids are
 kept (ties go to smaller ids, so no other can rank): a hot vector is indexed
 and ranked once.  Buckets per table grow with the number of classes (about one
@@ -46,10 +50,14 @@ PER_BUCKET = 4
 GROUP = 32_768
 #: Vectors hashed at once.
 SLICE = 1024
+#: Stands for all buckets of a group.
+EVERY = -1
 #: Up to this many classes are ranked whole.
 ALL = 256
 #: Share of buckets probed at 500 classes, and how it falls with their number.
 SHARE, FALL = 0.16, 0.45
+#: Probes of a further round to those of the last, and the most listed buckets.
+WIDEN, LISTED = 8, 16_384
 #: Largest and smallest length of a band differ by this factor.
 BAND = 1.1
 
@@ -151,6 +159,19 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
 
+def probed(hashes: Hashes, x: np.ndarray, t: int, count: int, per_group: int
+           ) -> tuple[int, pa.Array, list[int], list[np.ndarray]]:
+    """Table, rows, groups and the buckets probed there."""
+    rows, groups, lists = [], [], []
+    for i, own in enumerate(np.sort(hashes.probes(x, t, count), axis=1)):
+        cut = np.flatnonzero(np.diff(own // per_group)) + 1
+        for part in np.split(own, cut):
+            rows.append(i)
+            groups.append(int(part[0] // per_group))
+            lists.append(part)
+    return t, pa.array(rows), groups, lists
+
+
 def _matrix(column, dim: int) -> np.ndarray:
     flat = column.flatten() if isinstance(column, pa.Array) else column
     return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
@@ -218,29 +239,30 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
                              pa.array(code // per_group), pa.array(code), b.column(0), b.column(1)],
                             names=["s", "t", "g", "code", "cid", "v"])
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 64):
-                b = whole.slice(lo, 64)
-                x = _unit(_matrix(b.column(1), dim))
-                for s, (hashes, probes, per_group, _) in enumerate(searched):
-                    for t in range(1 if hashes is None else hashes.tables):
-                        codes = (np.zeros((len(x), 1), np.int64) if hashes is None
-                                 else np.sort(hashes.probes(x, t, probes), axis=1))
-                        rows, groups, lists = [], [], []
-                        for i, own in enumerate(codes):
-                            g = own // per_group
-                            cut = np.flatnonzero(np.diff(g)) + 1
-                            for part in np.split(own, cut):
-                                rows.append(i)
-                                groups.append(int(part[0] // per_group))
-                                lists.append(part)
-                        at = pa.array(rows)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(rows), s, np.int32)), pa.array(np.full(len(rows), t, np.int32)),
-                             pa.array(groups, pa.int64()), pa.array(lists, pa.list_(pa.int64())),
-                             b.column(0).take(at), b.column(1).take(at)],
-                            names=["s", "t", "g", "codes", "cid", "v"])
+    def ask(widen: int):
+        """Probes of the queries; ``widen`` 0 asks for every group of one table."""
+        step = max(1, 64 // max(1, widen))  # the same memory for more probes
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for lo in range(0, whole.num_rows, step):
+                    b = whole.slice(lo, step)
+                    x = _unit(_matrix(b.column(1), dim))
+                    for s, (hashes, probes, per_group, _) in enumerate(searched):
+                        count = 0 if hashes is None or not widen else probes * widen
+                        if count == 0 or count >= hashes.buckets:  # whole groups of table 0
+                            n_groups = 1 if hashes is None else -(-hashes.buckets // per_group)
+                            at = pa.array(np.repeat(np.arange(len(x)), n_groups))
+                            groups = [(0, at, np.tile(np.arange(n_groups), len(x)), [[EVERY]] * len(at))]
+                        else:
+                            groups = (probed(hashes, x, t, count, per_group) for t in range(hashes.tables))
+                        for t, at, g, lists in groups:
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(np.full(len(at), s, np.int32)), pa.array(np.full(len(at), t, np.int32)),
+                                 pa.array(g, pa.int64()), pa.array(lists, pa.list_(pa.int64())),
+                                 b.column(0).take(at), b.column(1).take(at)],
+                                names=["s", "t", "g", "codes", "cid", "v"])
+        return run
 
     index = (every.select("cid", "v", "band").mapInArrow(
         place, "s int, t int, g long, code long, cid long, v array<double>"))
@@ -248,14 +270,7 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
     # Blocks per group; a group far above GROUP vectors (a hot bucket) gets several.
     blocks = saved(index.groupBy("s", "t", "g").agg(F.ceil(F.count(F.lit(1)) / (2 * GROUP)).cast("int").alias("b"))
                    .select(F.col("s").alias("_s"), F.col("t").alias("_t"), F.col("g").alias("_g"), "b"))
-    asks = (every.join(wanted, F.col("cid") == F.col("_c"), "left_semi").select("cid", "v")
-            .mapInArrow(ask, "s int, t int, g long, codes array<long>, cid long, v array<double>")
-            .withColumn("asks", F.lit(True)))
     same = (F.col("s") == F.col("_s")) & (F.col("t") == F.col("_t")) & (F.col("g") == F.col("_g"))
-    dealt = (index.join(blocks, same).withColumn("b", F.pmod(F.xxhash64("cid"), F.col("b")).cast("int"))
-             .unionByName(asks.join(blocks, same)
-                          .withColumn("b", F.explode(F.sequence(F.lit(0), F.col("b") - 1))))
-             .drop("_s", "_t", "_g"))
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, cols in rows_in_key_runs(batches, ["s", "t", "g", "b"]):
@@ -272,6 +287,7 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
             q_owner, q_code = owner[asking[owner]], code[asking[owner]]
             first = np.searchsorted(mine, q_code, "left")
             upto = np.searchsorted(mine, q_code, "right")
+            first, upto = np.where(q_code == EVERY, 0, first), np.where(q_code == EVERY, len(mine), upto)
             out_q, out_c, out_s = [], [], []
             for q in np.flatnonzero(asking):
                 a, b = np.searchsorted(q_owner, q, "left"), np.searchsorted(q_owner, q, "right")
@@ -290,12 +306,39 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
                     [pa.array(np.concatenate(out_q)), pa.array(np.concatenate(out_c)),
                      pa.array(np.concatenate(out_s))], names=["qcid", "cid", "score"])
 
-    found = (dealt.repartition("s", "t", "g", "b").sortWithinPartitions("s", "t", "g", "b")
-             .mapInArrow(rank, "qcid long, cid long, score double")
-             .groupBy("qcid", "cid").agg(F.max("score").alias("score")))
     order = W.partitionBy("qcid").orderBy(F.desc("score"), "cid")
-    top_classes = saved(found.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1)
-                        .drop("r"))
+
+    def search(who: DataFrame, widen: int) -> DataFrame:
+        """(qcid, cid, score): the best k + 1 classes the probes of ``who`` (_c) find."""
+        asks = (every.join(who, F.col("cid") == F.col("_c"), "left_semi").select("cid", "v")
+                .mapInArrow(ask(widen), "s int, t int, g long, codes array<long>, cid long, v array<double>")
+                .withColumn("asks", F.lit(True)))
+        live = blocks
+        if widen != 1:  # few ask: only the groups they ask for travel
+            asks = saved(asks)
+            live = saved(blocks.join(asks.select("s", "t", "g").distinct(), same, "left_semi"))
+        dealt = (index.join(live, same).withColumn("b", F.pmod(F.xxhash64("cid"), F.col("b")).cast("int"))
+                 .unionByName(asks.join(live, same)
+                              .withColumn("b", F.explode(F.sequence(F.lit(0), F.col("b") - 1))))
+                 .drop("_s", "_t", "_g"))
+        found = (dealt.repartition("s", "t", "g", "b").sortWithinPartitions("s", "t", "g", "b")
+                 .mapInArrow(rank, "qcid long, cid long, score double")
+                 .groupBy("qcid", "cid").agg(F.max("score").alias("score")))
+        return saved(found.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1).drop("r"))
+
+    top_classes = search(wanted, 1)
+    enough = min(k + 1, sum(counts.values()))
+    most = max((s.probes for s in searched if s.hashes is not None), default=0)
+    widen = 1
+    while widen and most:
+        hits = top_classes.groupBy("qcid").count().where(F.col("count") >= enough)
+        short = saved(wanted.join(hits, F.col("_c") == F.col("qcid"), "left_anti"))
+        if short.isEmpty():
+            break
+        widen = widen * WIDEN if most * widen * WIDEN <= LISTED else 0
+        # A wider round finds all that the last one found.
+        top_classes = saved(top_classes.join(short, F.col("qcid") == F.col("_c"), "left_anti")
+                            .unionByName(search(short, widen)))
     # Classes back to rows: a class gives at most its k + 1 smallest ids.
     members = every.select(F.col("cid").alias("_c"), "ids")
     rows = (top_classes.join(members, F.col("cid") == F.col("_c"))

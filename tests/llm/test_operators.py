@@ -220,6 +220,20 @@ def test_nearest_with_unequal_lengths(spark, kind):
     assert found / sum(map(len, want.values())) >= 0.9
 
 
+def test_nearest_completes_queries_whose_probes_find_little(spark):
+    rng = np.random.default_rng(9)
+    n = 2500
+    x = rng.normal(size=32) + 1e-3 * rng.normal(size=(n, 32))  # one tight cluster
+    x[:400:20] = rng.normal(size=(20, 32))  # 20 queries far from it
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[1] *= 100
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in cross_polytope.nearest(df, lambda i: i % 20 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert {q: len(v) for q, v in got.items()} == {q: 20 for q in range(0, n, 20)}
+
+
 # --- quality model -----------------------------------------------------------
 
 def test_gam_learns_single_and_pair_effects():
