@@ -1,17 +1,19 @@
 """Benchmark decontamination by template canonicalisation.
 
-A text becomes a sequence of template words: numbers (and number words), names
-(capitalised words inside a sentence, neighbours together) and units (after a
+Each text is matched in two forms.  In the plain form, which finds verbatim
+copies in any case and layout, it is its lower-cased words.  In the other it
+becomes a sequence of template words: numbers (and number words), names
+(capitalised words anywhere that are not ``COMMON``, neighbours together unless
+an empty line is between them) and units (after a
 number, currency signs before it included) turn into the typed placeholders
 ``0``, ``1`` and ``2``; all other words are lower-cased.  No other template
 word consists of ASCII digits, so a placeholder cannot be mistaken.  Windows of
-``WINDOW`` template words, at least ``LITERALS`` of them literal, are
-hash-joined between documents and benchmark items.  Matches on one diagonal
+``WINDOW`` words, of template words at least ``LITERALS`` literal, are hash-joined between documents and benchmark items.  Matches on one diagonal
 (equal distance of places) belong to one occurrence; there each slot value of
 the item must stand for one value of the document throughout.  A document
 holds an item if consistent occurrences cover at least ``COVERAGE`` of the
-item's windows, with the same slot values (verbatim) or others
-(reparameterised).
+item's windows in one form, with the same slot values (verbatim) or others
+(reparameterised); of two forms the one that covers more counts.
 
 Scale.  Windows of documents never travel unless they may match: tasks test
 their hashes against a bitmap of the benchmark's window hashes, whose size is
@@ -21,8 +23,8 @@ through, never fewer.  Both join sides are plain exchanges, so a window that
 stands in a third of all documents can be split.
 
 Edge cases.  Null and empty texts hold nothing.  An item with fewer than
-``WINDOW`` template words, or none of whose windows has enough literal words,
-has no evidence and is never reported.  Rows with equal id and text count
+``WINDOW`` words has no evidence and is never reported; one without a template
+window of enough literal words is found in the plain form only.  Rows with equal id and text count
 once; null ids are kept apart by their text.  Items with equal text are each
 reported.  Empty tables give an empty result.
 """
@@ -56,18 +58,45 @@ UNITS = ("kg", "g", "mg", "lb", "lbs", "oz", "km", "m", "cm", "mm", "mi", "ft",
 NUMBER_WORDS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten",
                 "eleven", "twelve", "twenty", "thirty", "forty", "fifty", "hundred", "thousand", "million")
 
+#: Words that are no names when capitalised, in whatever place.
+COMMON = NUMBER_WORDS + tuple(
+    "a about above according add after again all also although always among an and another answer any approximately "
+    "are as assume at because before below between both but by calculate can choose compare complete compute consider "
+    "convert count could days decide define describe despite determine did divide do does draw during each either "
+    "estimate evaluate even every everyone explain express few finally find first five for from get give "
+    "given had half has have he hence her here his how however i if imagine in instead into is it its just last later "
+    "let list look make many more most multiply my name neither next no nobody none not note nothing now of often on "
+    "once only or other our over pay people perhaps please prove put question round same second select she should "
+    "show similarly simplify since so solve some someone sometimes soon state still subtract such suppose take than "
+    "that the their them then there therefore these they third this those though through thus to today together "
+    "tomorrow translate two under unless until up upon use using was we were what when whenever where whether which "
+    "while who whom whose why will with within without would write yes yesterday you your".split())
+
+
+def _any_of(words: tuple[str, ...]) -> str:
+    """The capitalised words as a pattern, by first letter."""
+    by: dict[str, list[str]] = {}
+    for w in sorted(set(words)):
+        by.setdefault(w[0].upper(), []).append(w[1:])
+    return "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in by.items())
+
+
 _UP, _LOW = "A-ZÀ-ÖØ-Þ", "a-zß-öø-ÿ"
-#: A blank, then a capitalised word (or several) after a small letter or comma.
-_NAME = rf" [{_UP}](?<=[{_LOW},;] .)[{_LOW}]+(?: [{_UP}][{_LOW}]+)*"
+#: Blanks of any layout; those inside a name hold no empty line.
+_BLANKS, _GAP = r"[ \t-\r]*", r"(?:[ \t\r]+\n?[ \t\r]*|\n[ \t\r]*)"
+_WORD = rf"(?!(?:{_any_of(COMMON)})(?![{_LOW}]))[{_UP}][{_LOW}]+"
+_NAME = rf"(?<![{_UP}{_LOW}0-9]){_WORD}(?:{_GAP}{_WORD})*"
 NAME = re.compile(_NAME)
 DIGIT = re.compile("[0-9]")
 SLOT = re.compile(
-    rf"(?P<sign>[$€£¥] ?)?(?P<num>[0-9]+(?:[.,][0-9]+)*)(?: ?(?P<unit>%|(?:{'|'.join(UNITS)})\b))?"
+    rf"(?P<sign>[$€£¥]{_BLANKS})?(?P<num>[0-9]+(?:[.,][0-9]+)*)(?:{_BLANKS}(?P<unit>%|(?:{'|'.join(UNITS)})\b))?"
     rf"|(?P<name>{_NAME})")
 WORD_BYTES = bytes(c if 97 <= c <= 122 or 48 <= c <= 57 or c > 127 else 32 for c in range(256))
 _NUMBERS = frozenset(w.encode() for w in NUMBER_WORDS)
 #: Odd multipliers of a window's words.
 _MULT = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) % 2**64 for i in range(WINDOW)], dtype=np.uint64)
+#: Tells hashes of plain windows from those of template windows.
+_PLAIN = np.uint64(0xD1B54A32D192ED03)
 _PLACES = frozenset((b"0", b"1", b"2"))
 _PLACE = np.array([zlib.crc32(x) for x in (b"0", b"1", b"2")], dtype=np.uint64)
 
@@ -92,12 +121,16 @@ def template_words(text: str) -> list[bytes]:
     return words
 
 
+def plain_words(text: str) -> list[bytes]:
+    return text.lower().encode().translate(WORD_BYTES).split()
+
+
 def slot_values(text: str) -> list[str | None]:
     """For each template word its slot's value (None for literal words)."""
     values: list[str] = []
     for m in SLOT.finditer(text):
         if m["name"] is not None:
-            values.append(m["name"].strip().lower())
+            values.append(" ".join(m["name"].lower().split()))
         elif m["sign"]:
             values += [m["sign"].strip(), m["num"]]
         else:
@@ -106,8 +139,9 @@ def slot_values(text: str) -> list[str | None]:
     return [next(left) if w in _PLACES else w.decode() if w in _NUMBERS else None for w in marked_words(text)]
 
 
-def window_hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every window, whether it has enough literal words)."""
+def window_hashes(words: list[bytes], plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every window, whether it has enough literal words); in the
+    plain form every window has."""
     n = len(words) - WINDOW + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, bool)
@@ -117,6 +151,8 @@ def window_hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         total += h[i:i + n] * _MULT[i]
     total ^= total >> np.uint64(31)
     total *= _MULT[1]
+    if plain:
+        return total ^ _PLAIN, np.ones(n, bool)
     if _PLACES.isdisjoint(words):
         return total, np.ones(n, bool)
     slot = np.isin(h, _PLACE)
@@ -134,30 +170,37 @@ def window_rows(text: str, words: list[bytes], at: np.ndarray) -> tuple[list[str
     return texts, slots
 
 
+def plain_rows(words: list[bytes], at: np.ndarray) -> tuple[list[str], list[list[str]]]:
+    """Window texts (no template window begins with "=") and no slots."""
+    return ["= " + b" ".join(words[i:i + WINDOW]).decode("utf-8", "replace") for i in at.tolist()], [[]] * len(at)
+
+
 SLOTS = pa.list_(pa.string())
 
 
 def item_windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(item_id, n_windows, item_at, hash, window, item_slots)."""
+    """(item_id, plain, n_windows, item_at, hash, window, item_slots)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row, raw in enumerate(b.column(1).to_pylist()):
                 text = "" if raw is None else raw.decode("utf-8", "replace")
-                words = template_words(text)
-                h, good = window_hashes(words)
-                at = np.flatnonzero(good)
-                if not len(at):
-                    continue
-                texts, slots = window_rows(text, words, at)
-                ids = b.column(0).take(pa.array([row] * len(at)))
-                yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array([len(at)] * len(at), pa.int64()), pa.array(at, pa.int64()),
-                     pa.array(h[at].view(np.int64)), pa.array(texts), pa.array(slots, SLOTS)],
-                    names=["item_id", "n_windows", "item_at", "hash", "window", "item_slots"])
+                for plain in (False, True):
+                    words = plain_words(text) if plain else template_words(text)
+                    h, good = window_hashes(words, plain)
+                    at = np.flatnonzero(good)
+                    if not len(at):
+                        continue
+                    texts, slots = plain_rows(words, at) if plain else window_rows(text, words, at)
+                    ids = b.column(0).take(pa.array([row] * len(at)))
+                    yield pa.RecordBatch.from_arrays(
+                        [ids, pa.array([plain] * len(at)), pa.array([len(at)] * len(at), pa.int64()),
+                         pa.array(at, pa.int64()), pa.array(h[at].view(np.int64)), pa.array(texts),
+                         pa.array(slots, SLOTS)],
+                        names=["item_id", "plain", "n_windows", "item_at", "hash", "window", "item_slots"])
 
     narrow = items.select(F.col(id_col).alias("item_id"), text_bytes(text_col).alias("text"))
     kind = narrow.schema["item_id"].dataType.simpleString()
-    return narrow.mapInArrow(run, f"item_id {kind}, n_windows long, item_at long, hash long, "
+    return narrow.mapInArrow(run, f"item_id {kind}, plain boolean, n_windows long, item_at long, hash long, "
                                   "window string, item_slots array<string>")
 
 
@@ -187,19 +230,20 @@ def candidate_windows(docs: DataFrame, bits: np.ndarray, id_col: str, text_col:
                 if not raw:
                     continue
                 text = raw.decode("utf-8", "replace")
-                words = template_words(text)
-                h, good = window_hashes(words)
-                bit = h >> np.uint64(64 - BITMAP)
-                good &= (bits[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
-                at = np.flatnonzero(good)
-                if not len(at):
-                    continue
-                texts, slots = window_rows(text, words, at)
-                same = pa.array([row] * len(at))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(same), b.column(1).take(same), pa.array(at, pa.int64()),
-                     pa.array(h[at].view(np.int64)), pa.array(texts), pa.array(slots, SLOTS)],
-                    names=["doc_id", "text_hash", "doc_at", "hash", "window", "doc_slots"])
+                for plain in (False, True):
+                    words = plain_words(text) if plain else template_words(text)
+                    h, good = window_hashes(words, plain)
+                    bit = h >> np.uint64(64 - BITMAP)
+                    good &= (bits[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+                    at = np.flatnonzero(good)
+                    if not len(at):
+                        continue
+                    texts, slots = plain_rows(words, at) if plain else window_rows(text, words, at)
+                    same = pa.array([row] * len(at))
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column(0).take(same), b.column(1).take(same), pa.array(at, pa.int64()),
+                         pa.array(h[at].view(np.int64)), pa.array(texts), pa.array(slots, SLOTS)],
+                        names=["doc_id", "text_hash", "doc_at", "hash", "window", "doc_slots"])
 
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                          text_bytes(text_col).alias("text"))
@@ -218,18 +262,22 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     pairs = (found.distinct().join(wanted.withColumnRenamed("hash", "_h").withColumnRenamed("window", "_w"),
                                    (F.col("hash") == F.col("_h")) & (F.col("window") == F.col("_w")))
              .withColumn("slots", F.arrays_zip("item_slots", "doc_slots")))
-    occurrence = (pairs.groupBy("doc_id", "text_hash", "item_id", "n_windows",
+    occurrence = (pairs.groupBy("doc_id", "text_hash", "item_id", "plain", "n_windows",
                                 (F.col("doc_at") - F.col("item_at")).alias("diagonal"))
                   .agg(F.collect_set("item_at").alias("at"),
                        F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots")))
     sides = F.size(F.array_distinct(F.transform("slots", lambda s: s["item_slots"])))
     changed = F.size(F.filter("slots", lambda s: s["item_slots"] != s["doc_slots"]))
     held = (occurrence.where(sides == F.size("slots")).withColumn("changed", changed)
-            .groupBy("doc_id", "text_hash", "item_id", "n_windows")
+            .groupBy("doc_id", "text_hash", "item_id", "plain", "n_windows")
             .agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long").alias("n_matched"),
                  F.min("changed").alias("changed_slots")))
-    return (held.withColumn("coverage", F.col("n_matched") / F.col("n_windows"))
+    best = (held.withColumn("coverage", F.col("n_matched") / F.col("n_windows"))
             .where(F.col("coverage") >= coverage)
+            .groupBy("doc_id", "text_hash", "item_id")
+            .agg(F.max(F.struct("coverage", (-F.col("changed_slots")).alias("same"), "n_windows", "n_matched",
+                                "changed_slots")).alias("best")))
+    return (best.select("doc_id", "text_hash", "item_id", "best.*")
             .select("doc_id", "text_hash", "item_id", "n_matched", "n_windows", "coverage", "changed_slots",
                     F.when(F.col("changed_slots") == 0, "verbatim").otherwise("reparameterised").alias("kind")))
 

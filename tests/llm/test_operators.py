@@ -54,6 +54,21 @@ def test_decontamination_planted(spark):
     assert {d for d, _ in found} <= {0, 1, 6}
 
 
+def test_decontamination_in_any_case_and_layout(spark):
+    rng = random.Random(2)
+    question = ("Tom has 3 red apples in the basket. Tom gives 2 apples to his sister. Anna then eats one of them "
+                "in the garden. How many apples does Tom have left at the end of the day?")
+    other = question.replace("Tom", "Boris").replace("Anna", "Olga").replace("3", "9")
+    noise = [data.prose(rng, 40) for _ in range(2)]
+    wrapped = ITEM.replace(" Anna", "\nAnna").replace(" Boris", "  Boris")
+    texts = [t if i % 2 else noise[0] + ".\n" + t + "\n" + noise[1] for i, t in enumerate(
+        [ITEM.upper(), ITEM.lower(), wrapped, ITEM.replace(" ", "\n"), other, question.upper()])]
+    found = hits(spark, texts, (ITEM, question))
+    assert {k: r.kind for k, r in found.items()} == {
+        (0, 0): "verbatim", (1, 0): "verbatim", (2, 0): "verbatim", (3, 0): "verbatim",
+        (4, 1): "reparameterised", (5, 1): "verbatim"}
+
+
 def test_template_words_and_slots_align():
     text = "Pay $5 or 7 kg, says Tom Thumb to seven men in b2b at 3,000.50 m"
     words, values = template_decontam.template_words(text), template_decontam.slot_values(text)
