@@ -3,9 +3,9 @@ that SQL can express.  Each query applies one operator to its whole table."""
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,18 +15,21 @@ from quarry.llm import (
     language_mixture,
     license_templates,
     line_windows,
+    phrase_tries,
     simhash_gray,
     systematic_mix,
     template_decontam,
     token_cache,
+    token_files,
     toxic_segments,
+    vector_codes,
 )
 from quarry.llm.common import held_out
 from quarry.sources.tables import table
 
-#: Folder of the public tokenizer files.
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 TOKEN_LIMIT = 1024
+#: Id that ends each document in the token files.
+END_ID = 1
 
 
 def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +73,7 @@ def op6_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every document.  Starts from a fresh cache, so a run
     never profits from an earlier one."""
-    counts = token_cache.count_tokens(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+    counts = token_cache.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
@@ -97,11 +100,31 @@ def op10_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_removed").cast("long").alias("n_removed"), "text")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector, and the digest of the codebooks."""
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256", "label")
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document in the token files just
+    written, as read back from them."""
+    folder = token_files.new_folder(spark)
+    token_files.write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+                                  folder, END_ID)
+    return token_files.read_token_files(spark, folder)
+
+
+def op13_phrase_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 strongest phrases."""
+    return phrase_tries.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_template_decontamination, op2_license_templates, op3_language_mixture, op4_cross_polytope,
         op5_gam_pairs, op6_simhash_gray, op7_token_cache, op8_toxic_segments, op9_systematic_mix,
-        op10_line_windows)}
+        op10_line_windows, op11_vector_codes, op12_token_files, op13_phrase_tries)}
 
 
 def _license_regex(items: list) -> str:
@@ -207,8 +230,85 @@ FROM documents d LEFT JOIN (
   FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i GROUP BY l.doc_id) x
 ON d.doc_id = x.doc_id"""
 
+def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    cut = f"v[(dim // {parts}) * p + least(p, dim % {parts}) + 1 : (dim // {parts}) * (p + 1) + least(p + 1, dim % {parts})]"
+    sql = rf"""
+WITH valid AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+rows_ AS MATERIALIZED (
+  SELECT *, len(v) AS dim, row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS rn,
+    row_number() OVER (PARTITION BY len(v) ORDER BY vec_id NULLS LAST, v) AS r FROM valid),
+parts AS MATERIALIZED (
+  SELECT rn, r, dim, p, x, coalesce(list_dot_product(x, x), 0) AS xx
+  FROM (SELECT rn, r, dim, p, {cut} AS x FROM rows_, range({parts}) t(p))),
+b0 AS MATERIALIZED (SELECT dim, p, r - 1 AS e, x AS c, xx AS cc FROM parts WHERE r <= {entries})"""
+    for i in range(rounds + 1):
+        sql += rf""",
+a{i} AS MATERIALIZED (
+  SELECT rn, dim, p, min({{'d': xx - 2 * coalesce(list_dot_product(x, c), 0) + cc, 'e': e}}) AS m
+  FROM parts JOIN b{i} USING (dim, p) GROUP BY rn, dim, p)"""
+        if i < rounds:
+            sql += rf""",
+s{i} AS (
+  SELECT dim, p, e, i, sum(y::HUGEINT) AS s, count(*) AS n FROM (
+    SELECT a.dim, a.p, a.m.e AS e, unnest(range(len(x))) AS i, unnest(x) AS y
+    FROM a{i} a JOIN parts USING (rn, p)) GROUP BY dim, p, e, i),
+n{i} AS (
+  SELECT dim, p, e, list(((s - ((s % n) + n) % n) // n)::DOUBLE ORDER BY i) AS c FROM s{i} GROUP BY dim, p, e),
+b{i + 1} AS MATERIALIZED (
+  SELECT *, coalesce(list_dot_product(c, c), 0) AS cc FROM (
+    SELECT b.dim, b.p, b.e, coalesce(n.c, b.c) AS c FROM b{i} b LEFT JOIN n{i} n
+    ON b.dim = n.dim AND b.p = n.p AND b.e = n.e))"""
+    return sql + rf""",
+digests AS (
+  SELECT dim, sha256(coalesce(string_agg(y::BIGINT::VARCHAR, ',' ORDER BY p, e, i), '')) AS codebooks_sha256
+  FROM (SELECT dim, p, e, unnest(range(len(c))) AS i, unnest(c) AS y FROM b{rounds}) GROUP BY dim),
+coded AS (
+  SELECT rn, string_agg(lower(printf('%02x', m.e)), '' ORDER BY p) AS code, sum(m.d)::BIGINT AS error
+  FROM a{rounds} GROUP BY rn)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256, label
+FROM rows_ JOIN coded USING (rn) JOIN digests USING (dim)"""
+
+
+def _phrases_sql(min_count: int = 100, top: int = 2000) -> str:
+    grams = "\nUNION ALL\n".join(
+        f"SELECT lang, array_to_string(w[i:i+{m-1}], ' ') AS phrase, {m} AS m FROM "
+        f"(SELECT lang, w, unnest(range(1, len(w) - {m} + 2)) AS i FROM pieces WHERE len(w) >= {m})" for m in range(1, 6))
+    return rf"""
+WITH pieces AS MATERIALIZED (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+totals AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM pieces GROUP BY lang),
+grams AS MATERIALIZED (
+  SELECT lang, phrase, m, count(*)::HUGEINT AS f FROM ({grams}) GROUP BY lang, phrase, m HAVING count(*) >= {min_count}),
+long_ AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM grams WHERE m >= 2),
+inner_ AS (
+  SELECT lang, array_to_string(w[i:i+k-1], ' ') AS phrase, f FROM long_, range(1, 6) a(i), range(2, 5) b(k)
+  WHERE k < m AND i + k - 1 <= m),
+around AS (SELECT lang, phrase, max(f) AS longer FROM inner_ GROUP BY lang, phrase),
+kept AS (
+  SELECT g.* FROM long_ g LEFT JOIN around a ON g.lang = a.lang AND g.phrase = a.phrase
+  WHERE a.longer IS NULL OR 100 * a.longer < 100 * g.f),
+cuts AS (
+  SELECT k.lang, k.phrase, k.f AS a, c, h.f AS l, t.f AS r, n, (1000 * k.f * n) // (h.f * t.f) AS score
+  FROM kept k JOIN range(1, 5) x(c) ON c < k.m JOIN totals USING (lang)
+  JOIN grams h ON h.lang = k.lang AND h.phrase = array_to_string(w[1:c], ' ')
+  JOIN grams t ON t.lang = k.lang AND t.phrase = array_to_string(w[c+1:], ' ')),
+best AS (
+  SELECT lang, phrase, a, n, min({{'score': score, 'c': c, 'l': l, 'r': r}}) AS b FROM cuts GROUP BY lang, phrase, a, n),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY b.score DESC, a DESC, encode(phrase)) AS rank, phrase,
+    a::BIGINT AS a, b.l::BIGINT AS l, b.r::BIGINT AS r, n::BIGINT AS n, b.score::BIGINT AS score FROM best)
+SELECT * FROM ranked WHERE rank <= {top}"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_license_templates": _license_sql().strip(),
     "op9_systematic_mix": _MIX_SQL.strip(),
     "op10_line_windows": _LINES_SQL.strip(),
+    "op11_vector_codes": _codes_sql().strip(),
+    "op13_phrase_tries": _phrases_sql().strip(),
 }

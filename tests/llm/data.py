@@ -49,18 +49,29 @@ def odd_rows(seed=5, n=120):
     return rows
 
 
-def write(folder, docs, labels=None, items=None, vectors=None):
+def _extra(n, taken, extra=EXTRA):
+    return {c: pa.array([f"{c}{i}" for i in range(n)], pa.string()) for c in extra if c not in taken}
+
+
+#: Columns whose names the operators use inside, for the tables beside documents.
+SIDE_EXTRA = (*EXTRA, "_y", "_d", "_v", "v", "cid", "_x", "dim", "code", "error", "item_at", "window", "hash",
+              "source", "lang", "n", "doc_id", "vec_id", "label", "kind", "id", "place", "phrase", "f", "words")
+
+
+def write(folder, docs, labels=None, items=None, vectors=None, vector_labels=None):
     folder.mkdir(parents=True, exist_ok=True)
+    labels, items, vectors = labels or [], items or [], vectors or []
+    tables = {
+        "labels": {"doc_id": pa.array([r[0] for r in labels], pa.int64()),
+                   "quality": pa.array([r[1] for r in labels], pa.int32()),
+                   "toxic": pa.array([r[2] for r in labels], pa.int32())},
+        "benchmark": {"item_id": pa.array([r[0] for r in items], pa.int64()),
+                      "text": pa.array([r[1] for r in items], pa.string())},
+        "embeddings": {"vec_id": pa.array([r[0] for r in vectors], pa.int64()),
+                       "embedding": pa.array([r[1] for r in vectors], pa.list_(pa.float32())),
+                       "label": pa.array(vector_labels or [0] * len(vectors), pa.int32())}}
     pq.write_table(docs, folder / "documents.parquet")
-    pq.write_table(pa.table({"doc_id": pa.array([r[0] for r in labels or []], pa.int64()),
-                             "quality": pa.array([r[1] for r in labels or []], pa.int32()),
-                             "toxic": pa.array([r[2] for r in labels or []], pa.int32())}),
-                   folder / "labels.parquet")
-    pq.write_table(pa.table({"item_id": pa.array([r[0] for r in items or []], pa.int64()),
-                             "text": pa.array([r[1] for r in items or []], pa.string())}),
-                   folder / "benchmark.parquet")
-    pq.write_table(pa.table({"vec_id": pa.array([r[0] for r in vectors or []], pa.int64()),
-                             "embedding": pa.array([r[1] for r in vectors or []], pa.list_(pa.float32())),
-                             "label": pa.array([0] * len(vectors or []), pa.int32())}),
-                   folder / "embeddings.parquet")
+    for name, cols in tables.items():
+        n = len(next(iter(cols.values())))
+        pq.write_table(pa.table(cols | _extra(n, cols, SIDE_EXTRA)), folder / f"{name}.parquet")
     return str(folder)
