@@ -207,6 +207,29 @@ def semi_join_healthy_ids(df: DataFrame, id_col: str | None = None) -> DataFrame
     return df.join(ids, _q(id_col).eqNullSafe(F.col("__id__")), "left_semi")
 
 
+def write_bucketed(df: DataFrame, id_col: str, buckets: int, path: str, name: str) -> DataFrame:
+    """``df`` stored below ``path`` as table ``name``, bucketed and sorted by
+    the id, so that later joins and aggregates on it need no exchange."""
+    df.write.format("parquet").option("path", path).bucketBy(buckets, id_col).sortBy(id_col).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def semi_join_bucketed(df: DataFrame, id_col: str) -> DataFrame:
+    """:func:`semi_join_healthy_ids` on a table bucketed by the id: both sides
+    are read bucket by bucket, without an exchange.
+
+    Null ids are no bucket's key; their rows are kept or not by one look for a
+    healthy one.  A bucket is one task, also that of a hot id: its rows stream
+    through a merge join, but they are not split (the shuffled form does that).
+    """
+    known = _q(id_col).isNotNull()
+    ids = df.filter(healthy_row(df) & known).select(_q(id_col).alias("__id__")).distinct()
+    kept = df.filter(known).join(ids.hint("merge"), _q(id_col) == F.col("__id__"), "left_semi")
+    if df.filter(healthy_row(df) & ~known).isEmpty():
+        return kept
+    return kept.unionByName(df.filter(~known))
+
+
 # --- imputation -------------------------------------------------------------
 
 def column_means(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:

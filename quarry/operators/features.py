@@ -12,7 +12,8 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -166,6 +167,48 @@ def feature_min_max(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                  F.col(f"hi{i}").alias("max")) for i, c in enumerate(cols)])))
 
 
+# --- the same on one vector column --------------------------------------------
+# Statistics come from one ``Summarizer`` aggregate and rows are transformed by
+# one higher-order expression, so the plan does not grow with the features.
+
+def vector_stats(df: DataFrame, vector_col: str, *metrics: str) -> dict[str, list[float]]:
+    """``min``, ``max`` and/or ``mean`` per component; empty lists without rows."""
+    if df.isEmpty():
+        return {m: [] for m in metrics}
+    found = df.agg(Summarizer.metrics(*metrics).summary(_q(vector_col)).alias("s")).first()["s"]
+    return {m: [float(x) for x in found[m]] for m in metrics}
+
+
+def _zipped(x: Column, by: Sequence[Sequence[float]], f) -> Column:
+    """Component i of ``x`` with the i-th of each list in ``by``."""
+    params = [F.array(*[F.lit(float(v)) for v in values]) for values in by]
+    return F.transform(x, lambda v, i: f(v, *[F.get(p, i) for p in params]))
+
+
+def min_max_normalize_vector(df: DataFrame, vector_col: str = "features",
+                             stats: dict[str, list[float]] | None = None) -> DataFrame:
+    """The vector column scaled to [0, 1] per component; constant ones give 0.0."""
+    stats = stats if stats is not None else vector_stats(df, vector_col, "min", "max")
+    spans = [hi - lo for lo, hi in zip(stats["min"], stats["max"], strict=True)]
+    scaled = _zipped(vector_to_array(_q(vector_col)), (stats["min"], spans),
+                     lambda v, lo, span: F.when(span == 0.0, F.lit(0.0)).otherwise((v - lo) / span))
+    return df.withColumn(vector_col, array_to_vector(scaled))
+
+
+def mean_center_vector(df: DataFrame, vector_col: str = "features",
+                       means: list[float] | None = None) -> DataFrame:
+    """The vector column less its mean."""
+    means = means if means is not None else vector_stats(df, vector_col, "mean")["mean"]
+    return df.withColumn(vector_col, array_to_vector(_zipped(
+        vector_to_array(_q(vector_col)), (means,), lambda v, m: v - m)))
+
+
+def kernel_expand_vector(df: DataFrame, vector_col: str = "features") -> DataFrame:
+    """Each component -> (x/sqrt(3), x^2, x^3), in order."""
+    terms = F.flatten(F.transform(vector_to_array(_q(vector_col)), lambda v: F.array(*kernel_terms(v))))
+    return df.withColumn(vector_col, array_to_vector(terms))
+
+
 def column_means_frame(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Long table ``(column_name, mean)`` from one aggregate."""
     wide = df.agg(*[F.avg(_q(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)])

@@ -9,9 +9,11 @@ from pyspark.sql import types as T
 
 from quarry.operators import cleaning as C
 from quarry.operators import features as FE
+from quarry.operators import selection as SE
 from quarry.plans.fixtures import (CLINICAL_COLUMNS, CLINICAL_SCHEMA, CLINICAL_SQL, clinical,
-                                   clinical_csv)
+                                   clinical_csv, derived)
 from quarry.plans.registry import query
+from quarry.session import table_version
 from quarry.sources import files as FS
 from quarry.sources.tables import table
 
@@ -136,6 +138,14 @@ def q_column_quartile_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.agg(*aggs).select(F.inline(F.array(*cells)))
 
 
+@query("column_quartiles_exact", W + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, {q}::DOUBLE AS quantile, quantile_disc({c}::DOUBLE, {q}) AS value FROM clinical"
+    for c in NUMERIC_COLS for q, _ in QUARTILE_POINTS))
+def q_column_quartiles_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact quartiles of every numeric column."""
+    return SE.exact_quantiles(clinical(spark, sf_dir), NUMERIC_COLS)
+
+
 @query("row_null_count", W + f"SELECT *, {_null_count_sql(CLINICAL_COLUMNS)} AS null_count "
        "FROM clinical")
 def q_row_null_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,6 +169,29 @@ def q_semi_join_healthy_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.semi_join_healthy_ids(clinical(spark, sf_dir), "patient_id")
 
 
+#: Buckets of the stored table.
+BUCKETS = 16
+
+
+def bucketed_clinical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clinical table bucketed by patient, stored once per version of
+    lineitem and registered in this session's catalog."""
+    name = "quarry_clinical_" + table_version(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    path = derived(spark, "clinical-bucketed", sf_dir, lambda p: C.write_bucketed(
+        clinical(spark, sf_dir), "patient_id", BUCKETS, p, name))
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE TABLE {name} ({CLINICAL_SCHEMA}) USING parquet CLUSTERED BY (patient_id) "
+                  f"SORTED BY (patient_id) INTO {BUCKETS} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
+@query("semi_join_bucketed", W + ", " + HEALTHY_IDS_SQL + "\nSELECT c.* FROM clinical c "
+       "WHERE EXISTS (SELECT 1 FROM ids WHERE ids.patient_id IS NOT DISTINCT FROM c.patient_id)")
+def q_semi_join_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The healthy-id filter on bucketed storage."""
+    return C.semi_join_bucketed(bucketed_clinical(spark, sf_dir), "patient_id")
+
+
 @query("impute_mean", W + ", m AS (SELECT " + ", ".join(
     f"avg({c}) AS m_{c}" for c in DOUBLE_COLS) + " FROM clinical)\nSELECT " + _sel(_cols(
         {c: f"round(coalesce({c}, m_{c}), 6)" for c in DOUBLE_COLS})) + " FROM clinical, m")

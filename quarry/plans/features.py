@@ -10,8 +10,10 @@ from pyspark.sql import types as T
 
 from quarry.functions.strings import parse_double
 from quarry.operators import features as FE
+from quarry.operators import moments as MO
 from quarry.operators import reduce as RD
 from quarry.operators import regression as RG
+from quarry.operators import subspace as SU
 from quarry.plans.fixtures import (FLAG_FEATURES, FLAG_LABEL_SQL, LINE_KEYS, SEVEN_CLASS_SQL, flags,
                                    VECTOR_LABEL_SQL, named_class_lines, numeric_class_lines,
                                    regression_libsvm, vector_libsvm)
@@ -273,6 +275,46 @@ def q_pca_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RD.pca_project_vectors(vec, "features", k=2, keep=("vec_id", "label"))
 
 
+def _pca_sql(rounds: int = 400) -> str:
+    """Covariance matrix, then power iteration for the first eigenvalue and,
+    on the deflated matrix, the second."""
+    def power(name: str, matrix: str) -> str:
+        norm = "sqrt(list_dot_product(u, u))"
+        return f"""{name}_it AS (
+  SELECT 0 AS it, list_transform(range(64), lambda i: 1.0::DOUBLE + i / 100.0::DOUBLE) AS v
+  UNION ALL
+  SELECT it + 1, list_transform(u, lambda x: x / {norm}) FROM (
+    SELECT it, list_transform(m, lambda r: list_dot_product(r, v)) AS u FROM {name}_it, {matrix} WHERE it < {rounds})),
+{name} AS MATERIALIZED (
+  SELECT v, list_dot_product(v, list_transform(m, lambda r: list_dot_product(r, v))) AS ev
+  FROM {name}_it, {matrix} WHERE it = {rounds})"""
+
+    return f"""WITH RECURSIVE x AS MATERIALIZED (
+  SELECT vec_id, unnest(range(64)) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings),
+c AS MATERIALIZED (SELECT a.i AS i, b.i AS j, covar_samp(a.x, b.x) AS c FROM x a JOIN x b USING (vec_id) GROUP BY a.i, b.i),
+m1 AS MATERIALIZED (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(c ORDER BY j) AS r FROM c GROUP BY i)),
+total AS (SELECT sum(c) AS t FROM c WHERE i = j),
+{power("e1", "m1")},
+m2 AS MATERIALIZED (SELECT list_transform(range(64), lambda i: list_transform(range(64),
+  lambda j: m[i + 1][j + 1] - ev * v[i + 1] * v[j + 1])) AS m FROM m1, e1),
+{power("e2", "m2")}
+SELECT 1 AS component, round(e1.ev / t, 3) AS explained, round(t, 6) AS total, TRUE AS holds FROM e1, total
+UNION ALL
+SELECT 2, round(e2.ev / t, 3), round(t, 6), TRUE FROM e2, total"""
+
+
+@query("pca_embeddings_checks", _pca_sql())
+def q_pca_embeddings_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top two components of the embeddings by subspace iteration: the share
+    of the variance each explains, and whether C v = lambda v holds."""
+    c = SU.subspace_components(table(spark, sf_dir, "embeddings"), F.col("embedding").cast("array<double>"), 2)
+    rows = [(j + 1, round(float(c.eigenvalues[j] / c.total), 3), round(c.total, 6), c.residual < 1e-3)
+            for j in range(len(c.eigenvalues))]
+    return result_rows(spark, rows, T.StructType([
+        T.StructField("component", T.IntegerType()), T.StructField("explained", T.DoubleType()),
+        T.StructField("total", T.DoubleType()), T.StructField("holds", T.BooleanType())]))
+
+
 # --- regression -----------------------------------------------------------------
 
 REG_X, REG_Y = "x", "y"
@@ -337,7 +379,7 @@ def q_lambda_sweep_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The sweep on a feature vector.  In standardised units a cell minimises
 # b'Cb/2 - r'b + lam/sd(y) * (alpha |b| + (1 - alpha)/2 b'b); the oracle solves it by
 # coordinate descent over the correlations C and r.
-def _vector_sweep_sql(rounds: int = 150) -> str:
+def _vector_sweep_sql(rounds: int = 300) -> str:
     names = [f"x{i}" for i in range(1, 5)]
     d = ", ".join(f"{c}::DOUBLE AS x{i}" for i, c in enumerate(FLAG_FEATURES, 1))
     corr = [f"corr({a}, {b}) AS c{i}{j}" for i, a in enumerate(names, 1)
@@ -363,17 +405,17 @@ cd(it, elastic_net, step, reg_param, b1, b2, b3, b4) AS (
   UNION ALL
   SELECT it + 1, elastic_net, step, reg_param, n1, n2, n3, n4 FROM ({inner}))
 SELECT elastic_net, CAST(step AS INTEGER) AS step, reg_param,
-  round(2.0::DOUBLE * ({lin}) - ({quad}), 3) + 0.0 AS r2 FROM cd, m WHERE it = {rounds}"""
+  round(2.0::DOUBLE * ({lin}) - ({quad}), 6) + 0.0 AS r2 FROM cd, m WHERE it = {rounds}"""
 
 
 @query("lambda_sweep_vector", _vector_sweep_sql())
 def q_lambda_sweep_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 3 x 101 sweep on four features from a libsvm file: one cached
-    read, one ``LinearRegression`` fit per cell (10 iterations at most)."""
+    """The 3 x 101 sweep on four features from a libsvm file: one pass for the
+    moment matrix, all cells on it."""
     pts = FS.read_libsvm(spark, vector_libsvm(spark, sf_dir), num_features=4)
     data = FS.vector_columns(pts, "features", 4, prefix="x", keep=("label",))
-    s = RG.lambda_sweep_ml(spark, data, [f"x{i}" for i in range(4)], "label")
-    return s.select("elastic_net", "step", "reg_param", F.round("r2", 3).alias("r2"))
+    s = MO.lambda_sweep_moments(spark, data, [f"x{i}" for i in range(4)], "label")
+    return s.select("elastic_net", "step", "reg_param", F.round("r2", 6).alias("r2"))
 
 
 FIT_SCHEMA = T.StructType([
