@@ -12,6 +12,7 @@ their predictions, grouped by model name.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -26,7 +27,7 @@ from quarry.operators.cleaning import ROW, _q
 from quarry.operators.features import (assemble, class_pair_subset, kernel_expand, min_max_expr,
                                        min_max_normalize, min_max_stats, relabel_pair,
                                        split_column)
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import complete, ensure_checkpoint_dir, shared_dir
 from quarry.sources.results import result_rows
 
 # The trial line-up (test names as the reference prints them)
@@ -41,7 +42,7 @@ NORMALIZED_MODELS: tuple[tuple[str, Callable], ...] = (
     ("Logistic Regression - Norm", ML.logistic_regression),
     ("Random Forest - Norm", ML.random_forest),
     ("Gradient Boosted Tree - Norm", ML.gradient_boosted_trees),
-    ("Support Vector Machine", ML.linear_svm),
+    ("Support Vector Machine", ML.svm_sgd),
 )
 TRIAL_TRAIN_SHARE = 0.6
 TRIAL_ITERATIONS = 30
@@ -160,6 +161,46 @@ def repeated_holdout(spark: SparkSession, frame: DataFrame, iterations: int = TR
     return result_rows(spark, [r for part in parts for r in part], TRIAL_SCHEMA)
 
 
+def settings_digest(train_share: float = TRIAL_TRAIN_SHARE, normalize_mode: str = "per_set",
+                    models: Sequence[tuple[str, Callable]] = (*RAW_MODELS, *NORMALIZED_MODELS)) -> str:
+    """Digest of all that a trial's result depends on beside its rows: the
+    split, the scaling and every parameter of every model."""
+    def params(make: Callable) -> list:
+        m = make()
+        if hasattr(m, "extractParamMap"):
+            return [type(m).__name__, *sorted((p.name, str(v)) for p, v in m.extractParamMap().items()
+                                              if not p.name.endswith("Col"))]
+        return [type(m).__name__, *sorted((k, str(v)) for k, v in m.settings.items())]
+
+    what = [train_share, normalize_mode, [(name, params(make)) for name, make in models]]
+    return hashlib.sha1(repr(what).encode()).hexdigest()[:16]
+
+
+def ledger_holdout(spark: SparkSession, frame: Callable[[], DataFrame], version: str,
+                   iterations: int = TRIAL_ITERATIONS, train_share: float = TRIAL_TRAIN_SHARE,
+                   normalize_mode: str = "per_set", parallelism: int = 4,
+                   concurrent_trials: int = 1) -> DataFrame:
+    """:func:`repeated_holdout` with a ledger in the shared folder, a folder
+    per ``version`` of the rows, settings and trial.  A trial is written when
+    it is done (Spark's success marker says so), and only trials that are not
+    there are run, so a failed driver loses the trials under way and no other.
+    ``frame`` makes the rows, if any trial is missing."""
+    base = shared_dir(spark, "trial_ledger", version, settings_digest(train_share, normalize_mode))
+    paths = {it: f"{base}/iteration-{it}" for it in range(1, iterations + 1)}
+    missing = [it for it, path in paths.items() if not complete(spark, path)]
+    if missing:
+        rows = frame()
+        feats = [c for c in rows.columns if c not in ("label", ROW)]
+
+        def one(it: int) -> None:
+            trial = run_trial(spark, rows, feats, it, train_share, normalize_mode, parallelism)
+            result_rows(spark, trial, TRIAL_SCHEMA).write.mode("overwrite").parquet(paths[it])
+
+        with ThreadPoolExecutor(max_workers=max(1, concurrent_trials)) as pool:
+            list(pool.map(one, missing))
+    return spark.read.schema(TRIAL_SCHEMA).parquet(*paths.values())
+
+
 def trial_averages(trials: DataFrame) -> DataFrame:
     """Mean of each measure per model over the trials."""
     return trials.groupBy("test").agg(
@@ -176,6 +217,7 @@ PAIR_TESTS = (
     ("[Labels 0 and 2]", (0.0, 2.0), 2.0),
     ("[Labels 1 and 2]", (1.0, 2.0), 1.0),
 )
+EXPANDED_TEST = "[Kernel Expanded Labels 1 and 2]"
 PAIR_SPLIT_SEED = 14
 
 PAIR_SCHEMA = T.StructType([
@@ -200,38 +242,54 @@ def svm_holdout(name: str, data: DataFrame, feats: Sequence[str],
     """Split 60/40, train the linear SVM, score raw margins on the test
     side: ``(name, train_rows, test_rows, correct, incorrect, auc)``."""
     train, test = svm_split(data, feats, seed)
-    train = train.persist()
+    model = ML.svm_sgd().fit(train)
+    scored = ML.svm_margin(model, test).select("score", "label").persist()
     try:
-        model = ML.linear_svm().fit(train)
-        scored = ML.svm_margin(model, test).select("score", "label").persist()
-        try:
-            ci = M.correct_incorrect(scored, M.margin_correct("score", "label")).first()
-            auc = M.auc_roc(scored, "score", "label").first()["auc"]
-            n_train = train.count()
-        finally:
-            scored.unpersist()
+        ci = M.correct_incorrect(scored, M.margin_correct("score", "label")).first()
+        auc = M.auc_roc(scored, "score", "label").first()["auc"]
+        n_train = train.count()
     finally:
-        train.unpersist()
+        scored.unpersist()
     return (name, int(n_train), int(ci["correct"] + ci["incorrect"]), int(ci["correct"]),
             int(ci["incorrect"]), auc)
 
 
-def pairwise_svm(spark: SparkSession, data: DataFrame, feats: Sequence[str],
-                 expand: bool = True, parallelism: int = 4) -> DataFrame:
-    """The three class-pair tests, plus the kernel-expanded pair 1/2."""
-    jobs = []
-    for name, keep, pos in PAIR_TESTS:
-        jobs.append((name, relabel_pair(class_pair_subset(data, keep), pos), list(feats)))
+def pair_frames(data: DataFrame, feats: Sequence[str], expand: bool = True
+                ) -> list[tuple[str, DataFrame, list[str]]]:
+    """(name, rows, features) of the three class-pair tests, plus the
+    kernel-expanded pair 1/2."""
+    out = [(name, relabel_pair(class_pair_subset(data, keep), pos), list(feats)) for name, keep, pos in PAIR_TESTS]
     if expand:
         pair12 = relabel_pair(class_pair_subset(data, (1.0, 2.0)), 1.0)
         exp = kernel_expand(pair12, feats, keep=(ROW, "label"))
-        jobs.append(("[Kernel Expanded Labels 1 and 2]", exp,
-                     [c for c in exp.columns if c not in ("label", ROW)]))
+        out.append((EXPANDED_TEST, exp, [c for c in exp.columns if c not in ("label", ROW)]))
+    return out
+
+
+def pairwise_svm(spark: SparkSession, data: DataFrame, feats: Sequence[str],
+                 expand: bool = True, parallelism: int = 4) -> DataFrame:
+    """Hits and AUC of the pair tests of :func:`pair_frames`."""
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(lambda j: svm_holdout(*j), jobs))
+        rows = list(pool.map(lambda j: svm_holdout(*j), pair_frames(data, feats, expand)))
     return result_rows(spark, rows, PAIR_SCHEMA)
 
 
+WEIGHTS_SCHEMA = T.StructType([T.StructField("pair", T.StringType()), T.StructField("feature", T.StringType()),
+                               T.StructField("weight", T.DoubleType())])
+
+
+def pairwise_svm_weights(spark: SparkSession, data: DataFrame, feats: Sequence[str], expand: bool = True,
+                         parallelism: int = 4) -> DataFrame:
+    """``(pair, feature, weight)`` of the pair tests' models."""
+    def fit(job: tuple[str, DataFrame, list[str]]) -> list[tuple]:
+        name, frame, own = job
+        return [(name, c, w) for c, w in zip(own, ML.svm_sgd().fit(svm_split(frame, own)[0]).weights, strict=True)]
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        parts = list(pool.map(fit, pair_frames(data, feats, expand)))
+    return result_rows(spark, [r for part in parts for r in part], WEIGHTS_SCHEMA)
+
+
 # --- single holdout of a multiclass tree -----------------------------------
 
 def fit_holdout_tree(data: DataFrame, feats: Sequence[str], salt: str = "holdout"):
