@@ -27,9 +27,10 @@ meet in one ranking per query.  Only the classes per band reach the driver (a
 double has at most 15,000 bands).
 
 Edge cases.  Vectors that are null, zero, or hold null or non-finite
-components take no part, nor do those whose length differs from the most
-common one.  Repeated ids count once per distinct vector.  A query with fewer
-candidates gets all of them; a band of at most ``ALL`` classes is ranked whole.  Null ids take no part.  An empty table gives an empty result.
+components take no part.  Vectors of each length are searched among themselves,
+with bands of their own.  Repeated ids count once per distinct vector.  A query
+with fewer candidates gets all of them; a band of at most ``ALL`` classes is
+ranked whole.  Null ids take no part.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -136,20 +137,21 @@ class Space(NamedTuple):
     probes: int
     per_group: int
     bands: list[int]
+    dim: int
 
 
 def spaces(counts: dict[int, int], dim: int) -> list[Space]:
-    """Spaces for these classes per band."""
+    """Spaces for these classes per band, of vectors of one length."""
     out: list[Space] = []
     small: list[int] = []
     for band, n in sorted(counts.items()):
         if n > ALL:
-            out.append(Space(*plan(n, dim), [band]))
+            out.append(Space(*plan(n, dim), [band], dim))
         elif small and sum(counts[x] for x in small) + n <= ALL:
             small.append(band)
         else:
             small = [band]
-            out.append(Space(None, 1, 1, small))
+            out.append(Space(None, 1, 1, small, dim))
     return out
 
 
@@ -202,35 +204,36 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
     log_length = F.log(largest) + F.log(F.aggregate(
         "v", F.lit(0.0), lambda a, x: a + (x / largest) * (x / largest))) / 2
     every = saved(classes(vectors, id_col, vector_col, k).withColumn("length", log_length))
-    dims = every.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("m"))
-    common = dims.orderBy(F.desc("n"), "d").first()
+    # Vectors of each number of components are searched among themselves.
+    tops = {r["d"]: r["m"] for r in every.groupBy(F.size("v").alias("d")).agg(F.max("length").alias("m")).collect()}
     spark = vectors.sparkSession
-    if common is None:
+    if not tops:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim, top = common["d"], common["m"]
-    band = F.floor((F.lit(top) - F.col("length")) / F.lit(float(np.log(BAND))))
-    every = every.where(F.size("v") == dim).withColumn("band", band.cast("int"))
-    counts = {r["band"]: r["count"] for r in every.groupBy("band").count().collect()}
-    searched = spaces(counts, dim)
-    space_of = np.zeros(max(counts) + 1, dtype=np.int32)
-    for i, space in enumerate(searched):
-        space_of[space.bands] = i
+    top = F.create_map(*[F.lit(x) for pair in sorted(tops.items()) for x in pair])[F.size("v")]
+    band = F.floor((top - F.col("length")) / F.lit(float(np.log(BAND))))
+    every = every.withColumn("dim", F.size("v")).withColumn("band", band.cast("int"))
+    counts: dict[int, dict[int, int]] = {}
+    for r in every.groupBy("dim", "band").count().collect():
+        counts.setdefault(r["dim"], {})[r["band"]] = r["count"]
+    searched = [space for dim, own in sorted(counts.items()) for space in spaces(own, dim)]
+    space_of = {(space.dim, x): i for i, space in enumerate(searched) for x in space.bands}
     v = F.col(vector_col).cast("array<double>")
     # Which class each query row belongs to (by its vector).
     asked = (vectors.select(F.col(id_col).cast("long").alias("query_id"), v.alias("_v"))
              .where(F.col("query_id").isNotNull() & is_query(F.col("query_id"))).distinct()
              .withColumn("_v", F.transform("_v", lambda x: x + F.lit(0.0))))
-    queries = saved(asked.join(every, F.col("_v") == F.col("v")).select("query_id", "cid"))
-    wanted = queries.select(F.col("cid").alias("_c")).distinct()
+    queries = saved(asked.join(every, F.col("_v") == F.col("v")).select("query_id", "cid", "dim"))
+    wanted = queries.select(F.col("cid").alias("_c"), "dim").distinct()
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, SLICE):
                 slice_ = whole.slice(lo, SLICE)
-                own = space_of[slice_.column(2).to_numpy()]
+                own = np.array([space_of[x] for x in zip(slice_.column(3).to_pylist(), slice_.column(2).to_pylist(),
+                                                         strict=True)], dtype=np.int32)
                 for i in np.unique(own).tolist():
                     b = slice_.take(pa.array(np.flatnonzero(own == i)))
-                    hashes, _, per_group, _ = searched[i]
+                    hashes, _, per_group, _, dim = searched[i]
                     x = _unit(_matrix(b.column(1), dim))
                     for t in range(1 if hashes is None else hashes.tables):
                         code = np.zeros(len(x), np.int64) if hashes is None else hashes.bucket(x, t)
@@ -245,10 +248,14 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
-                for lo in range(0, whole.num_rows, step):
-                    b = whole.slice(lo, step)
-                    x = _unit(_matrix(b.column(1), dim))
-                    for s, (hashes, probes, per_group, _) in enumerate(searched):
+                sizes = whole.column(2).to_numpy()
+                alike = [whole.take(pa.array(np.flatnonzero(sizes == d))) for d in np.unique(sizes).tolist()]
+                for b in (same.slice(lo, step) for same in alike for lo in range(0, same.num_rows, step)):
+                    own = b.column(2)[0].as_py()
+                    x = _unit(_matrix(b.column(1), own))
+                    for s, (hashes, probes, per_group, _, dim) in enumerate(searched):
+                        if dim != own:
+                            continue
                         count = 0 if hashes is None or not widen else probes * widen
                         if count == 0 or count >= hashes.buckets:  # whole groups of table 0
                             n_groups = 1 if hashes is None else -(-hashes.buckets // per_group)
@@ -264,7 +271,7 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
                                 names=["s", "t", "g", "codes", "cid", "v"])
         return run
 
-    index = (every.select("cid", "v", "band").mapInArrow(
+    index = (every.select("cid", "v", "band", "dim").mapInArrow(
         place, "s int, t int, g long, code long, cid long, v array<double>"))
     index = saved(index.select("s", "t", "g", F.array("code").alias("codes"), "cid", "v", F.lit(False).alias("asks")))
     # Blocks per group; a group far above GROUP vectors (a hot bucket) gets several.
@@ -273,11 +280,11 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
     same = (F.col("s") == F.col("_s")) & (F.col("t") == F.col("_t")) & (F.col("g") == F.col("_g"))
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, cols in rows_in_key_runs(batches, ["s", "t", "g", "b"]):
+        for (space, *_), cols in rows_in_key_runs(batches, ["s", "t", "g", "b"]):
             asking = cols["asks"].astype(bool)
             if not asking.any() or asking.all():
                 continue
-            cid, x = cols["cid"], _matrix(cols["v"], dim)
+            cid, x = cols["cid"], _matrix(cols["v"], searched[space].dim)
             owner = np.repeat(np.arange(len(cid)), np.diff(cols["codes"].offsets.to_numpy()))
             code = cols["codes"].flatten().to_numpy()
             held = np.flatnonzero(~asking)
@@ -310,7 +317,7 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
 
     def search(who: DataFrame, widen: int) -> DataFrame:
         """(qcid, cid, score): the best k + 1 classes the probes of ``who`` (_c) find."""
-        asks = (every.join(who, F.col("cid") == F.col("_c"), "left_semi").select("cid", "v")
+        asks = (every.join(who, F.col("cid") == F.col("_c"), "left_semi").select("cid", "v", "dim")
                 .mapInArrow(ask(widen), "s int, t int, g long, codes array<long>, cid long, v array<double>")
                 .withColumn("asks", F.lit(True)))
         live = blocks
@@ -327,12 +334,14 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
         return saved(found.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1).drop("r"))
 
     top_classes = search(wanted, 1)
-    enough = min(k + 1, sum(counts.values()))
+    enough = F.create_map(*[F.lit(x) for dim, own in sorted(counts.items())
+                            for x in (dim, min(k + 1, sum(own.values())))])[F.col("dim")]
     most = max((s.probes for s in searched if s.hashes is not None), default=0)
     widen = 1
     while widen and most:
-        hits = top_classes.groupBy("qcid").count().where(F.col("count") >= enough)
-        short = saved(wanted.join(hits, F.col("_c") == F.col("qcid"), "left_anti"))
+        hits = top_classes.groupBy("qcid").count()
+        short = saved(wanted.join(hits, F.col("_c") == F.col("qcid"), "left")
+                      .where(F.coalesce("count", F.lit(0)) < enough).select("_c", "dim"))
         if short.isEmpty():
             break
         widen = widen * WIDEN if most * widen * WIDEN <= LISTED else 0

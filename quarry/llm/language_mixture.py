@@ -10,10 +10,9 @@ language with the largest proportion in the chosen set.
 
 Scale.  Training counts every training text once; tasks send one row per
 (language, trigram bucket) they saw, summed by a partial aggregate, so the
-counts cover the whole corpus and the model has ``BUCKETS`` entries per
-language.  The number of languages is checked against ``MAX_LANGS`` before the
-model reaches the driver, which bounds it.  Scoring reads every text once and
-shuffles nothing.
+counts cover the whole corpus.  The model keeps the buckets a language has met,
+at most ``BUCKETS`` per language, whatever the corpus; any number of languages
+is inferred over at once.  Scoring reads every text once and shuffles nothing.
 
 Edge cases.  Null texts and texts without a letter are ``und`` with score 0,
 as is everything if nothing could be learned.  Languages equal in proportion:
@@ -35,7 +34,6 @@ from pyspark.sql import functions as F
 from quarry.llm.common import map_texts, text_bytes
 
 BUCKETS = 1 << 15
-MAX_LANGS = 256
 #: Pseudo-count of every bucket.
 SMOOTH = 0.1
 PENALTY = 2.0
@@ -63,10 +61,24 @@ def trigram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
-    """Languages by name and their log-probabilities (buckets x languages)."""
+    """Languages by name and their log-probabilities: ``unseen`` per language,
+    and by bucket (``start`` to the next) the languages that have met it with
+    their value.  A language has at most ``BUCKETS`` entries, so any number of
+    languages has room for what it has learnt."""
 
     langs: list[str]
-    log_p: np.ndarray
+    unseen: np.ndarray
+    start: np.ndarray
+    lang: np.ndarray
+    value: np.ndarray
+
+    def log_p(self, at: np.ndarray) -> np.ndarray:
+        """Log-probabilities of these buckets (rows) by language."""
+        out = np.repeat(self.unseen[None], len(at), axis=0)
+        n = self.start[at + 1] - self.start[at]
+        entry = np.repeat(self.start[at] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        out[np.repeat(np.arange(len(at)), n), self.lang[entry]] = self.value[entry]
+        return out
 
 
 def fit(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str = "lang") -> Model:
@@ -90,17 +102,18 @@ def fit(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str =
 
     counts = (rows.mapInArrow(run, "lang string, bucket int, n long")
               .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
-    names = [r[0] for r in docs.where(train & F.col(lang_col).isNotNull())
-             .select(F.col(lang_col).cast("string")).distinct().limit(MAX_LANGS + 1).collect()]
-    if len(names) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages in {lang_col!r}")
-    found = counts.toPandas()  # at most MAX_LANGS * BUCKETS rows
+    found = counts.toPandas()  # at most BUCKETS rows per language
     langs = sorted(found["lang"].unique().tolist())
-    table = np.full((BUCKETS, len(langs)), SMOOTH)
-    if langs:
-        place = {name: i for i, name in enumerate(langs)}
-        table[found["bucket"].to_numpy(), found["lang"].map(place).to_numpy()] += found["n"].to_numpy()
-    return Model(langs, np.log(table / table.sum(axis=0, keepdims=True)) if langs else table)
+    place = {name: i for i, name in enumerate(langs)}
+    lang = found["lang"].map(place).to_numpy(dtype=np.int64)
+    bucket, n = found["bucket"].to_numpy(dtype=np.int64), found["n"].to_numpy(dtype=np.float64) + SMOOTH
+    unseen = np.bincount(lang, minlength=len(langs))
+    total = np.bincount(lang, weights=n, minlength=len(langs)) + SMOOTH * (BUCKETS - unseen)
+    order = np.lexsort((lang, bucket))
+    start = np.zeros(BUCKETS + 1, np.int64)
+    np.cumsum(np.bincount(bucket, minlength=BUCKETS), out=start[1:])
+    return Model(langs, np.log(SMOOTH / total) if langs else np.zeros(0), start, lang[order],
+                 np.log(n / total[lang])[order])
 
 
 def proportions(p: np.ndarray, counts: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, float]:
@@ -145,17 +158,17 @@ def infer(log_p: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def predict(docs: DataFrame, model: Model, keep: dict[str, Column], text_col: str = "text") -> DataFrame:
     """Kept columns with lang_pred, score (its proportion) and langs (the
     chosen set, comma-joined)."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.log_p.astype(np.float64)))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def one(text: bytes | None) -> tuple[str, float, str]:
-        langs, log_p = shared.value
+        langs = shared.value.langs
         words = "" if text is None else text.decode("utf-8", "replace")
         if not langs or not _LETTER.search(words):
             return "und", 0.0, ""
         at, counts = trigram_counts(words)
         if not len(at):
             return "und", 0.0, ""
-        share = infer(log_p[at], counts)
+        share = infer(shared.value.log_p(at), counts)
         k = int(np.argmax(share))
         return langs[k], float(share[k]), ",".join(langs[j] for j in np.flatnonzero(share > 0))
 

@@ -261,8 +261,11 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     roots = components(links(distinct.select("fp"), distinct.count(), k))
     named = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("group"))
-    ids = named.groupBy("group").agg(F.min("low").alias("component_id")).select(
-        F.col("group").alias("_g"), "component_id")
+    # Both saved, so that the join has two plain exchanges and a group of many
+    # fingerprints can be split.
+    named = saved(named)
+    ids = saved(named.groupBy("group").agg(F.min("low").alias("component_id")).select(
+        F.col("group").alias("_g"), "component_id"))
     groups = saved(named.join(ids, F.col("group") == F.col("_g"))
                    .select(F.col("fp").alias("_fp"), "group", "component_id"))
     return rows.join(groups, F.col("fp") == F.col("_fp")).drop("_fp")

@@ -57,8 +57,8 @@ ALPHA = 0.05
 #: Word bytes: digits, letters (lower-cased) and everything beyond ASCII.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or 48 <= c <= 57 or c > 127 else 32
                    for c in range(256))
-#: Evidence beyond this counts as this much.
-CAP = 6.0
+#: Steps of the scaled evidence in which the calibration counts rows.
+DIGITS = 2
 #: Steps of a weight in the histogram of ordinary text.
 STEP = 0.05
 
@@ -215,7 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                   lam, const, 0.0, 0.0)
     # Evidence of the sample, in steps: few rows whatever the sample's size.
     found = evidence(rows, model, {"y": F.col("_y")}, "_body")
-    bins = (found.groupBy("y", F.round(F.least(F.col("evidence"), F.lit(CAP)), 1).alias("e"))
+    bins = (found.groupBy("y", F.round(scaled(F.col("evidence")), DIGITS).alias("e"))
             .agg(F.count(F.lit(1)).alias("n")).toPandas())
     model.intercept, model.slope = logistic_1d(
         bins["e"].to_numpy(dtype=float), bins["y"].to_numpy(dtype=float),
@@ -243,8 +243,14 @@ def evidence(docs: DataFrame, model: Model, keep: dict[str, Column], text_col: s
                      "n_passages int, first_word long, last_word long, evidence double")
 
 
+def scaled(found: Column) -> Column:
+    """The evidence as the calibration takes it: its logarithm, so that more
+    evidence always scores higher and the largest do not rule the fit."""
+    return F.log1p(found)
+
+
 def probability(model: Model, found: Column) -> Column:
-    z = F.lit(model.intercept) + F.lit(model.slope) * F.least(found, F.lit(CAP))
+    z = F.lit(model.intercept) + F.lit(model.slope) * scaled(found)
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
