@@ -22,8 +22,8 @@ moved into place when complete: a task that runs again after its executor is
 lost writes the same shard.  Files go through Arrow's file systems, to the
 shared folder.
 
-Words are encoded once per task: this kind of tokenizer drops white space, so
-a text's ids are those of its blank-separated words in turn, and a word met
+Words are encoded once per worker: this kind of tokenizer drops white space,
+so a text's ids are those of its blank-separated words in turn, and a word met
 before is a look-up.  Tokenizers of another kind get whole texts.
 
 Edge cases.  Null text is the empty text: the end id alone.  Null ids come
@@ -34,6 +34,7 @@ table has no shards.  Further columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import re
@@ -48,10 +49,13 @@ from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.llm.token_cache import file_digest
 from quarry.session import shared_dir
 
 #: Words a task remembers, and the longest of them (bytes).
 WORDS, WORD_BYTES = 500_000, 64
+# Fixed value: the splitter's pieces of a text.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Ids read at once when a file is not memory-mapped or a document is long.
 BLOCK = 1 << 20
 
@@ -68,15 +72,49 @@ def id_type(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
+def byte_letters() -> str:
+    """The letters that byte-level vocabularies write for the 256 bytes: a
+    byte that is a visible Latin-1 sign stands for itself, the others take the
+    code points from 256 on."""
+    visible = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    others = iter(range(256, 512))
+    return "".join(chr(b if b in visible else next(others)) for b in range(256))
+
+
 class WordIds(dict):
-    """Flat ids of words; a new word goes through the library."""
+    """Flat ids of blank-separated words.  A word of Latin letters, then signs,
+    is two pieces for the splitter (``PLAIN``), which go to the model as they
+    are; any other word goes through the whole library.  Pieces met before are
+    look-ups."""
+
+    #: Letters that are one code point each in every normal form, in either
+    #: case, then signs without the apostrophe, which starts pieces of its own.
+    PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
 
-    def __init__(self, encode: Callable[[str], list[int]], dtype: str):
+    def __init__(self, tokenizer, dtype: str):
         super().__init__()
-        self.encode, self.dtype = encode, dtype
+        self.encode = lambda w: tokenizer.encode(w, add_special_tokens=False).ids
+        self.model, self.dtype, self.pieces = tokenizer.model, dtype, {}
+        self.letters = dict(zip(map(chr, range(256)), byte_letters(), strict=True))
+        self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+
+    def piece(self, text: str) -> bytes:
+        ids = self.pieces.get(text)
+        if ids is None:
+            letters = text if text.isascii() else "".join(
+                map(self.letters.__getitem__, text.encode().decode("latin-1")))
+            ids = np.array([t.id for t in self.model.tokenize(letters)], dtype=self.dtype).tobytes()
+            if len(text) <= WORD_BYTES:
+                self.pieces[text] = ids
+        return ids
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = np.array(self.encode(word.decode("utf-8", "replace")), dtype=self.dtype).tobytes()
+        text = word.decode("utf-8", "replace")
+        m = self.PLAIN.fullmatch(text)
+        if m is None or any(s in text for s in self.special):
+            ids = np.array(self.encode(text), dtype=self.dtype).tobytes()
+        else:
+            ids = b"".join(self.piece(p) for p in (m[1].lower(), m[2]) if p)
         if len(word) <= WORD_BYTES:
             self[word] = ids
         return ids
@@ -84,39 +122,39 @@ class WordIds(dict):
     def flat(self, text: bytes) -> bytes:
         if len(self) > WORDS:
             self.clear()
+        if len(self.pieces) > WORDS:
+            self.pieces.clear()
         return b"".join(map(self.__getitem__, text.split()))
 
 
-def load_flat_encoder(name: str, dtype: str) -> Callable[[bytes], bytes]:
-    """From UTF-8 text to flat ids, with a tokenizer file ``addFile`` shipped."""
+@functools.lru_cache(maxsize=1)
+def load_flat_encoder(name: str, version: str, dtype: str) -> Callable[[bytes], bytes]:
+    """From UTF-8 text to flat ids, with a tokenizer file ``addFile`` shipped
+    (``version`` is its digest).  A worker process keeps it between tasks."""
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(SparkFiles.get(name))
     tokenizer.no_truncation()
     tokenizer.no_padding()
-
-    def encode(text: str) -> list[int]:
-        return tokenizer.encode(text, add_special_tokens=False).ids
-
     if drops_blanks(tokenizer.to_str()):
-        return WordIds(encode, dtype).flat
-    return lambda text: np.array(encode(text.decode("utf-8", "replace")), dtype=dtype).tobytes()
+        return WordIds(tokenizer, dtype).flat
+    return lambda text: np.array(tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids,
+                                 dtype=dtype).tobytes()
 
 
 def drops_blanks(tokenizer_json: str) -> bool:
     """Whether no token can depend on the blanks around a word: white space
-    becomes one space, the splitter's pieces hold none and what is between them
-    is removed, and no added token reaches over blanks."""
+    becomes one space, letters small, the pieces are ``PIECES``, what is between
+    them is removed, and no added token reaches over blanks."""
     t = json.loads(tokenizer_json)
     steps = (t.get("normalizer") or {}).get("normalizers") or []
     splits = (t.get("pre_tokenizer") or {}).get("pretokenizers") or []
     one_space = any(s["type"] == "Replace" and s["pattern"].get("Regex") == "\\s+" and s["content"] == " "
                     for s in steps)
-    known = all(s["type"] in ("NFC", "Replace", "Lowercase") for s in steps)
-    # Words, digits, and signs that are no white space: alternatives without blanks.
-    pieces = (splits and splits[0]["type"] == "Split" and splits[0]["behavior"] == "Removed"
-              and splits[0]["invert"] and splits[0]["pattern"].get("Regex", "").endswith("[^\\s\\p{L}\\p{N}]+")
-              and not re.search(r"\\s|\s|\.|\(", splits[0]["pattern"]["Regex"][:-len("[^\\s\\p{L}\\p{N}]+")])
-              and all(s["type"] == "ByteLevel" and not s["add_prefix_space"] for s in splits[1:]))
+    known = [s["type"] for s in steps] == ["NFC", "Replace", "Lowercase"]
+    pieces = (len(splits) == 2 and splits[0]["type"] == "Split" and splits[0]["behavior"] == "Removed"
+              and splits[0]["invert"] and splits[0]["pattern"].get("Regex") == PIECES
+              and splits[1]["type"] == "ByteLevel" and not splits[1]["add_prefix_space"]
+              and not splits[1]["use_regex"])
     apart = not any(a["lstrip"] or a["rstrip"] or a["single_word"] or a["normalized"] or " " in a["content"]
                     for a in t.get("added_tokens") or [])
     return bool(one_space and known and pieces and apart and not t.get("post_processor"))
@@ -133,7 +171,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: i
     dtype = id_type(max(Tokenizer.from_file(tokenizer_path).get_vocab_size(with_added_tokens=True),
                         (end_id or 0) + 1))
     spark.sparkContext.addFile(tokenizer_path)
-    name = os.path.basename(tokenizer_path)
+    name, version = os.path.basename(tokenizer_path), file_digest(tokenizer_path)
     end = b"" if end_id is None else np.array([end_id], dtype=dtype).tobytes()
     width = np.dtype(dtype).itemsize
     narrow = docs.select(F.col(id_col).isNull().alias("no_id"), F.col(id_col).cast("long").alias("id"),
@@ -147,7 +185,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: i
         shard, attempt = task.partitionId(), task.taskAttemptId()
         where, base = file_system(path)
         temp = f"{base}/_attempt-{shard:06d}-{attempt}"
-        encode = load_flat_encoder(name, dtype)
+        encode = load_flat_encoder(name, version, dtype)
         out, counts, ids, nulls = None, [], [], 0
         try:
             for b in batches:
