@@ -9,20 +9,21 @@ states of all text positions one word further at a time, with two array
 look-ups per word.  Accepting states are counted with ``bincount`` and the
 tasks' counts are added up.
 
-Where candidates come from: the pass that counts one level also counts, within
-each task, the words that follow its accepted phrases.  A task keeps back what
-it met fewer than ``report`` times, where ``report`` is such that all tasks
-together keep back at most ``min_count / SLACK`` places of a phrase; what falls
-short of ``min_count`` even with these is no candidate.  So nothing frequent is
-lost and few others are walked.  The tries then count the candidates in full.
+Where candidates come from: the pass that counts one level also counts the
+words that follow its accepted phrases, as (phrase number, 64-bit hash of the
+word) pairs of integers.  Pairs met at least ``min_count`` times, with the
+frequent words of that hash and with a frequent phrase behind the first word,
+are the next candidates.  Equal hashes can only add to a pair's count, so
+nothing frequent is lost; the tries then count the candidates exactly.
 
 Scale.  Frequent phrases are tables, never whole on the driver.  A trie holds
 at most ``TRIE`` phrases: that many are collected, built and broadcast at once,
 and more candidates mean more tries and passes (dealt by hash), not larger ones.
-Texts are read anew by every pass and never shuffled; what travels is one row
-per counted phrase and task.  A word or phrase in a third of all texts is one
-row per task.  A task's memory follows its batch of texts, one trie and the
-phrases it reports, written out whenever ``HELD`` have gathered.
+Texts are read anew by every pass and never shuffled; what travels is a row of
+integers per distinct pair and task, so it grows no faster than the texts.  A
+word or phrase in a third of all texts is one row per task.  A task's memory
+follows its batch of texts, one trie and the pairs it holds, which are written
+out whenever there are more than ``HELD``.
 
 Scores are exact (decimals of 38 digits hold the products for up to 10**15
 words).  Edge cases.  Null text has no words; a null language is ``und``, as
@@ -35,10 +36,14 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -50,15 +55,12 @@ MAX_WORDS = 5
 TOP = 2000
 #: Phrases of one trie.
 TRIE = 200_000
-#: Counted words or phrases a task holds before it writes them out.
-HELD = 500_000
+#: Counted words or pairs a task holds before it writes them out.
+HELD = 2_000_000
 #: Bytes of text walked at once (a longer text is walked alone).
 SLICE_BYTES = 1 << 22
 #: Slots in which a place for a node with several children is sought.
 WINDOW = 8192
-#: Places that tasks may leave unreported altogether: min_count over this.
-SLACK = 3
-
 BREAK = b"."
 #: Lower-cases A-Z and makes every end of a piece the same byte.
 _TABLE = bytes(46 if c in b".,;:!?\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -186,49 +188,55 @@ def build_trie(langs: list[str], phrases: list[bytes]) -> Trie:
     return Trie(codes, digits, roots, base_at, check, slot[node][by], by, depth)
 
 
+def word_hash(word: bytes) -> int:
+    """XXH64 with seed 42 as a signed integer: Spark's ``xxhash64``."""
+    h = xxhash.xxh64_intdigest(word, 42)
+    return h - 2**64 if h >= 2**63 else h
+
+
 class Followers:
-    """What follows accepted phrases in a task: words are numbered as they
-    come, (state, word) pairs counted as integers."""
+    """Counts of (state, following word) pairs of a task, as integers.  Words
+    have the trie's codes; ``others``, where there are more tries than this
+    one, numbers the remaining words as they come."""
 
-    def __init__(self, trie: Trie):
-        self.trie = trie
+    def __init__(self, trie: Trie, others: bool):
+        self.known, self.others = list(trie.codes), others
         self.clear()
 
     def clear(self) -> None:
-        self.numbers: dict[bytes, int] = {BREAK: 0}
-        self.codes = np.full(1, -1, dtype=np.int64)  # the trie's code of each number
+        self.numbers: dict[bytes, int] = {}
         self.keys, self.counts, self.pending = np.zeros(0, np.int64), np.zeros(0, np.int64), []
 
-    def number(self, words: list[bytes]) -> np.ndarray:
-        known = self.numbers
-        out = np.fromiter((known.setdefault(w, len(known)) for w in words), dtype=np.int64, count=len(words))
-        new = list(known)[len(self.codes):] if len(known) > len(self.codes) else []
-        self.codes = np.concatenate([self.codes, np.array([self.trie.codes.get(w, -1) for w in new], np.int64)])
-        return out
-
-    def add(self, state: np.ndarray, word: np.ndarray) -> None:
-        keep = word > 0  # no piece's end
-        self.pending.append(np.unique((state[keep] << 32) | word[keep], return_counts=True))
-        if sum(len(k) for k, _ in self.pending) > max(HELD, len(self.keys)):
+    def add(self, state: np.ndarray, after: np.ndarray, codes: np.ndarray, words: list[bytes]) -> None:
+        """Pairs of these states and the words in the places ``after``."""
+        code = codes[after]
+        if self.others:
+            numbers, first = self.numbers, len(self.known)
+            new = np.flatnonzero(code < 0)
+            code[new] = [-1 if w == BREAK else first + numbers.setdefault(w, len(numbers))
+                         for w in map(words.__getitem__, after[new].tolist())]
+        keep = code >= 0
+        self.pending.append(np.unique((state[keep] << 32) | code[keep], return_counts=True))
+        if sum(len(k) for k, _ in self.pending) > max(HELD // 4, len(self.keys)):
             self.merge()
 
     def merge(self) -> None:
         keys = np.concatenate([self.keys, *(k for k, _ in self.pending)])
         counts = np.concatenate([self.counts, *(c for _, c in self.pending)])
-        self.keys, back = np.unique(keys, return_inverse=True)
-        self.counts = np.bincount(back.reshape(-1), weights=counts, minlength=len(self.keys)).astype(np.int64)
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+        self.keys, self.counts = keys[first], np.add.reduceat(counts, first) if len(first) else counts
         self.pending = []
 
     def full(self) -> bool:
-        return len(self.keys) > 4 * HELD or len(self.numbers) > HELD
+        return len(self.keys) > HELD or len(self.numbers) > HELD
 
-    def report(self, least: int) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-        """(state, word, count) of the pairs met ``least`` times or more."""
+    def report(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(state, hash of the word, count) of all pairs."""
         self.merge()
-        keep = self.counts >= least
-        words = list(self.numbers)
-        return (self.keys[keep] >> 32, [words[i] for i in (self.keys[keep] & (2**32 - 1)).tolist()],
-                self.counts[keep])
+        words = np.array([word_hash(w) for w in (*self.known, *self.numbers)], dtype=np.int64)
+        return self.keys >> 32, words[self.keys & (2**32 - 1)], self.counts
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -244,7 +252,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
         for lang, text in text_slices(batches):
             held.setdefault(lang, Counter()).update(words_and_breaks(text))
-            if sum(map(len, held.values())) > HELD:
+            if sum(map(len, held.values())) > HELD // 4:
                 yield from rows()
         yield from rows()
 
@@ -258,52 +266,69 @@ def _phrase_rows(langs: list, phrases: list, counts) -> pa.RecordBatch:
         names=["lang", "phrase", "f"])
 
 
-def trie_pass(texts: DataFrame, langs: list[str], phrases: list[bytes], count: bool, report: int) -> DataFrame:
-    """(kind, lang, phrase, f): kind 0, the trie's phrases with a task's count
-    of each (if ``count``); kind 1, one word longer phrases that a task met at
-    least ``report`` times (0: none are asked for).  A task that holds too many
-    reports what it has in full and goes on."""
+PASS = "kind int, phrase int, word long, f long"
+
+
+def trie_pass(texts: DataFrame, langs: list[str], phrases: list[bytes], count: bool, report: bool,
+              others: bool) -> tuple[DataFrame, Broadcast]:
+    """Rows ``PASS`` and the broadcast (trie, phrases, langs).  Kind 0: a
+    task's count of each phrase (by number), if ``count``; kind 1: of each pair
+    of a phrase and the hash of a following word, if ``report``.  ``others``
+    says that following words may be missing in this trie."""
     shared = texts.sparkSession.sparkContext.broadcast((build_trie(langs, phrases), phrases, langs))
 
+    def rows(kind: int, phrase: np.ndarray, word: np.ndarray, f: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for lo in range(0, len(f), 1 << 16):
+            at = slice(lo, lo + (1 << 16))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(f[at]), kind, np.int32)), pa.array(phrase[at].astype(np.int32)),
+                 pa.array(word[at]), pa.array(f[at])], names=["kind", "phrase", "word", "f"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, phrases, langs = shared.value
+        trie = shared.value[0]
         counts = np.zeros(len(trie.check), dtype=np.int64)
-        follow = Followers(trie)
-        of = np.zeros(len(trie.check), dtype=np.int64)
-        of[trie.accepts] = trie.phrase
-
-        def rows(kind: int, langs: list, phrases: list, f) -> pa.RecordBatch:
-            b = _phrase_rows(langs, phrases, f)
-            return pa.RecordBatch.from_arrays([pa.array(np.full(b.num_rows, kind, np.int32)), *b.columns],
-                                              names=["kind", "lang", "phrase", "f"])
-
-        def reports(least: int) -> Iterator[pa.RecordBatch]:
-            state, words, f = follow.report(least)
-            for lo in range(0, len(words), HELD):
-                which = of[state[lo:lo + HELD]].tolist()
-                yield rows(1, [langs[i] for i in which],
-                           [phrases[i] + b" " + w for i, w in zip(which, words[lo:lo + HELD], strict=True)],
-                           f[lo:lo + HELD])
+        follow = Followers(trie, others)
+        number = np.zeros(len(trie.check), dtype=np.int64)
+        number[trie.accepts] = trie.phrase
+
+        def reports() -> Iterator[pa.RecordBatch]:
+            state, word, f = follow.report()
+            yield from rows(1, number[state], word, f)
             follow.clear()
 
         for lang, text in text_slices(batches):
-            number = follow.number(words_and_breaks(text))
-            at, state = trie.walk(lang, follow.codes[number])
+            if lang not in trie.roots:
+                continue
+            words = words_and_breaks(text)
+            codes = np.fromiter(map(trie.codes.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+            at, state = trie.walk(lang, codes)
             counts += np.bincount(state, minlength=len(counts))
             if report:
-                inside = at + trie.depth < len(number)
-                follow.add(state[inside], number[at[inside] + trie.depth])
-            if follow.full():
-                yield from reports(1) if report else ()
-                follow.clear()
+                inside = at + trie.depth < len(words)
+                follow.add(state[inside], at[inside] + trie.depth, codes, words)
+                if follow.full():
+                    yield from reports()
         if count:
             hit = np.flatnonzero(counts[trie.accepts])
-            which = trie.phrase[hit].tolist()
-            yield rows(0, [langs[i] for i in which], [phrases[i] for i in which], counts[trie.accepts[hit]])
+            yield from rows(0, trie.phrase[hit], np.zeros(len(hit), np.int64), counts[trie.accepts[hit]])
         if report:
-            yield from reports(report)
+            yield from reports()
+
+    return texts.mapInArrow(run, PASS), shared
+
+
+def named(rows: DataFrame, shared: Broadcast) -> DataFrame:
+    """``PASS`` rows with the language and phrase instead of its number."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, phrases, langs = shared.value
+        for b in batches:
+            which = b.column(1).to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([langs[i] for i in which], pa.string()),
+                 pa.array([phrases[i] for i in which], pa.binary()), b.column(2), b.column(3)],
+                names=["kind", "lang", "phrase", "word", "f"])
 
-    return texts.mapInArrow(run, "kind int, lang string, phrase binary, f long")
+    return rows.mapInArrow(run, "kind int, lang string, phrase binary, word long, f long")
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
@@ -313,14 +338,11 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     included; (lang, n), all word occurrences)."""
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                         F.col(text_col).cast("binary").alias("text"))
-    blocks = max(1, texts.rdd.getNumPartitions())
-    texts = texts.coalesce(blocks)  # as many tasks at most, whatever is re-planned
-    report = 1 + min_count // SLACK // blocks
     singles = saved(word_counts(texts))
     totals = saved(singles.groupBy("lang").agg(F.sum("f").alias("n")))
     level = singles.where(F.col("f") >= min_count)
+    hashed = level.select(F.col("lang").alias("_l"), F.col("phrase").alias("_next"), F.xxhash64("phrase").alias("_h"))
     levels = [level.withColumn("words", F.lit(1))]
-    passes = None  # of the level's tries
     candidates = level.select("lang", "phrase")
     for words in range(1, max_words + 1):
         n = candidates.count()
@@ -330,34 +352,33 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
         own = candidates.withColumn("trie", F.pmod(F.xxhash64("lang", "phrase"), F.lit(tries)))
         if tries > 1:
             own = saved(own)
-        passes = None
+        passes = []
         for t in range(tries):
             part = own.where(F.col("trie") == t).select("lang", "phrase").toArrow()
             if not part.num_rows:
                 continue
-            one = trie_pass(texts, part.column("lang").to_pylist(), part.column("phrase").to_pylist(),
-                            words > 1, report if words < max_words else 0)
-            # Written once: the counts and the reports are read apart.
-            one = saved(one.groupBy("kind", "lang", "phrase").agg(F.sum("f").alias("f")))
-            passes = one if passes is None else passes.unionByName(one)
+            rows, shared = trie_pass(texts, part.column("lang").to_pylist(), part.column("phrase").to_pylist(),
+                                     words > 1, words < max_words, tries > 1)
+            summed = (rows.groupBy("kind", "phrase", "word").agg(F.sum("f").alias("f"))
+                      .where(F.col("f") >= min_count))
+            # Written once: the counts and the pairs are read apart.
+            passes.append(saved(named(summed, shared)))
+        found = reduce(DataFrame.unionByName, passes)
         if words > 1:
-            level = passes.where((F.col("kind") == 0) & (F.col("f") >= min_count)).select("lang", "phrase", "f")
+            level = found.where("kind = 0").select("lang", "phrase", "f")
             levels.append(level.withColumn("words", F.lit(words)))
         if words == max_words:
             break
-        # Reports that the unreported rest may still bring to min_count.
-        possible = (passes.where((F.col("kind") == 1) & (F.col("f") + blocks * (report - 1) >= min_count))
-                    .select("lang", "phrase"))
+        longer = (found.where("kind = 1")
+                  .join(hashed, (F.col("lang") == F.col("_l")) & (F.col("word") == F.col("_h")))
+                  .select("lang", F.concat("phrase", F.lit(b" "), "_next").alias("phrase")))
         w = F.split(F.col("phrase").cast("string"), " ", -1)
-        head, tail = (F.concat_ws(" ", F.slice(w, at, words)).cast("binary") for at in (1, 2))
         known = level.select(F.col("lang").alias("_l"), F.col("phrase").alias("_p"))
-        for part in (head, tail):
-            possible = possible.join(known, (F.col("lang") == F.col("_l")) & (part == F.col("_p")), "left_semi")
-        candidates = saved(possible)
-    out = levels[0]
-    for x in levels[1:]:
-        out = out.unionByName(x)
-    return saved(out), totals
+        for at in (1, 2):
+            part = F.concat_ws(" ", F.slice(w, at, words)).cast("binary")
+            longer = longer.join(known, (F.col("lang") == F.col("_l")) & (part == F.col("_p")), "left_semi")
+        candidates = saved(longer)
+    return saved(reduce(DataFrame.unionByName, levels)), totals
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",

@@ -111,7 +111,7 @@ def library_rows(rows, end_id=1):
 AWKWARD = ["", None, "plain words here", "a <|endoftext|> b", "<|startoftext|>", "x<|endoftext|>y", "tab\tand\x0bmore",
            "nbsp between words", "don't we'll it's 'S", "\x1c\x1d split\x85me", "é ́e  é",
            "123 4 5,6.7", "İstanbul ΣΑΣ σς", "日本語 テスト", "😀😀 !?", " " * 50, "w" * 5000, "\n\n lines \r\n",
-           "a\u0000b", "'s 't 're", "ﬁ ﬀ ①"]
+           "a\u0000b", "CAFÉ, Ñandú! ÀÖØßÿ... Ð÷× ab_c <|a|> a|b. ^x` {z} ~~ [q] \\ é's É'LL 'é x² ½", "'s 't 're", "ﬁ ﬀ ①"]
 
 
 def test_token_files_equal_the_library(spark):
@@ -225,11 +225,9 @@ def test_phrases_against_brute_force(spark, min_count, trie_size, top):
     assert sorted(map(tuple, got)) == sorted(brute_phrases(rows, min_count, top))
 
 
-def test_phrases_when_tasks_report_early(spark, monkeypatch):
-    monkeypatch.setattr(phrase_tries, "HELD", 50)
-    monkeypatch.setattr(phrase_tries, "SLICE_BYTES", 500)
+def test_pairs_that_tasks_report_early(monkeypatch):
+    monkeypatch.setattr(phrase_tries, "HELD", 8)
     rows = phrase_rows(2)
-    # Tasks in this process: the settings reach the code that Spark ships.
     batches = [(lang or "und", (text or "").encode()) for lang, text in rows]
     want = collections.Counter()
     for lang, text in batches:
@@ -238,24 +236,33 @@ def test_phrases_when_tasks_report_early(spark, monkeypatch):
             if phrase_tries.BREAK not in (a, b) and a == b"w1":
                 want[lang, a + b" " + b] += 1
     trie = phrase_tries.build_trie(["en", "fr", "und"], [b"w1"] * 3)
-    follow, got = phrase_tries.Followers(trie), collections.Counter()
-
-    def drain():
-        state, words, f = follow.report(1)
-        of = dict(zip(trie.accepts.tolist(), trie.phrase.tolist(), strict=True))
-        for s, w, n in zip(state.tolist(), words, f.tolist(), strict=True):
-            got[["en", "fr", "und"][of[s]], b"w1 " + w] += n
-        follow.clear()
-
-    for lang, text in batches:
-        number = follow.number(phrase_tries.words_and_breaks(text))
-        at, state = trie.walk(lang, follow.codes[number])
-        inside = at + 1 < len(number)
-        follow.add(state[inside], number[at[inside] + 1])
-        if len(follow.numbers) > 5:
-            drain()
-    drain()
-    assert got == want
+    hashes = {phrase_tries.word_hash(w): w for _, t in batches for w in phrase_tries.words_and_breaks(t)}
+    for others in (True, False):
+        follow, got = phrase_tries.Followers(trie, others), collections.Counter()
+
+        def drain(follow, got):
+            state, words, f = follow.report()
+            of = dict(zip(trie.accepts.tolist(), trie.phrase.tolist(), strict=True))
+            for s, h, n in zip(state.tolist(), words.tolist(), f.tolist(), strict=True):
+                got[["en", "fr", "und"][of[s]], b"w1 " + hashes[h]] += n
+            follow.clear()
+
+        for lang, text in batches:
+            words = phrase_tries.words_and_breaks(text)
+            codes = np.array([trie.codes.get(w, -1) for w in words], dtype=np.int64)
+            at, state = trie.walk(lang, codes)
+            inside = at + 1 < len(words)
+            follow.add(state[inside], at[inside] + 1, codes, words)
+            if follow.full():
+                drain(follow, got)
+        drain(follow, got)
+        assert got == (want if others else {k: n for k, n in want.items() if k[1] == b"w1 w1"})
+
+
+def test_word_hash_is_sparks(spark):
+    words = ["", "a", "été", "x" * 100]
+    got = spark.createDataFrame([(w,) for w in words], "w string").select(F.xxhash64(F.col("w").cast("binary")))
+    assert [r[0] for r in got.collect()] == [phrase_tries.word_hash(w.encode()) for w in words]
 
 
 @pytest.mark.parametrize("n,vocabulary", [(1, 1), (300, 20), (3000, 700), (2000, 70_000)])
