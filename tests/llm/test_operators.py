@@ -523,3 +523,164 @@ def test_every_removed_line_stays_somewhere(spark):
 def test_window_hash_is_md5_of_the_lines():
     assert line_windows.line_windows("a\n\n b \nc") == [
         (hashlib.md5(b"3\na\nb\nc").digest(), 0, 3)]
+
+
+# --- occurrences of benchmark items ------------------------------------------
+
+TWICE = ("Tom walks along the quiet river with his old dog and counts the boats that pass by the mill before "
+         "the evening comes when Tom returns home slowly over the wooden bridge and sits down to read his book again")
+
+
+def test_slots_agree_over_the_whole_occurrence(spark):
+    rng = random.Random(31)
+    half = TWICE.replace("Tom", "Bob", 1).replace("Tom", "Carl")
+    mixed = half.replace("the mill before", "the mill some hours long before")
+    w = TWICE.split()
+    far = " ".join(w[:21]) + " " + data.prose(rng, 3000) + " " + " ".join(w[21:])
+    inserted = TWICE.replace("Tom", "Bob").replace("the mill before", "the mill some hours long before")
+    titled = TWICE.replace("Tom", "Mr. O'Neil")
+    double = TWICE.replace("Tom", "Anna Maria")
+    two = TWICE.replace("Tom", "Bob") + ". " + TWICE.replace("Tom", "Carl")
+    texts = [mixed, far, inserted, titled, double, two, half, TWICE + " " + data.prose(rng, 9)]
+    found = hits(spark, texts, (TWICE,))
+    assert {d: (r.kind, r.changed_slots) for (d, _), r in found.items()} == {
+        2: ("reparameterised", 1), 3: ("reparameterised", 1), 4: ("reparameterised", 1),
+        5: ("reparameterised", 1), 7: ("verbatim", 0),
+        6: ("verbatim", 0)}  # its slots differ, but 31 of its 37 word windows are the item's
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sampled_from([*template_decontam.COMMON, *template_decontam.UNITS, "mr", "tom", "x", "abc"]),
+       st.sampled_from([str, str.title, str.upper, str.capitalize, str.swapcase]))
+def test_ascii_words_have_the_kind_of_their_pieces(word, case):
+    word = case(word)
+    words = template_decontam.Words()
+    n = words[word.encode()]
+    _, first, count, kind, _ = words.arrays()
+    assert count[n] == 1
+    assert (kind[first[n]], words.piece_text[first[n]]) == template_decontam.pieces_of(word)[0]
+
+
+def test_short_items_are_matched_whole(spark):
+    rng = random.Random(32)
+    items = ("What is 345 + 678?", "two words", "Paris", None, "...", "one two three four five")
+    noise = data.prose(rng, 30)
+    texts = [f"{noise} What is 345 + 678? {noise}", f"{noise} what is 346 + 678 {noise}", f"{noise}. Two words! {noise}",
+             f"{noise} two words {noise}", "see Paris today", "Paris", "Where?\nParis\nyes", "One two three four five."]
+    found = hits(spark, texts, items)
+    assert {k: r.kind for k, r in found.items()} == {
+        (0, 0): "verbatim", (2, 1): "verbatim", (5, 2): "verbatim", (6, 2): "verbatim", (7, 5): "verbatim"}
+
+
+def brute_hits(texts, items):
+    """Every pair, by all alignments of item and text: at each place of the
+    document the longest run of one diagonal that keeps the slots consistent."""
+    out = set()
+    for d, t in enumerate(texts):
+        for k, item in enumerate(items):
+            for plain in (True, False):
+                if plain:
+                    clean = lambda x: re.sub("[^a-z0-9]+", " ", x.lower()).split()
+                    w, v = clean(t), clean(item)
+                    wv = vv = None
+                else:
+                    w, v = template_decontam.template_words(t), template_decontam.template_words(item)
+                    wv, vv = template_decontam.slot_values(t), template_decontam.slot_values(item)
+                ok = [i for i in range(len(v) - 4) if plain or sum(x is not None for x in vv[i:i + 5]) <= 2]
+                for shift in range(-len(v), len(w)):
+                    hit = [i for i in ok if 0 <= i + shift <= len(w) - 5 and w[i + shift:i + shift + 5] == v[i:i + 5]]
+                    slots = {}
+                    for i in hit:
+                        for j in range(i, i + 5):
+                            if not plain and vv[j] is not None:
+                                slots.setdefault((v[j], vv[j]), set()).add(wv[j + shift])
+                    if ok and len(hit) >= 0.8 * len(ok) and all(len(x) == 1 for x in slots.values()):
+                        out.add((d, k))
+    return out
+
+
+def test_items_with_names_and_numbers_against_brute_force(spark):
+    rng = random.Random(33)
+    names, other = ["Tom", "Anna Maria", "Boris", "Eva"], ["Zoe", "Karl Otto", "Ulla", "Ben"]
+
+    def item():
+        w = data.prose(rng, rng.randint(10, 30)).split()
+        for _ in range(rng.randint(1, 5)):
+            w.insert(rng.randrange(1, len(w)), rng.choice([*names, "12", "7 kg", "$5"]))
+        return " ".join(w)
+
+    items = [item() for _ in range(10)]
+    texts = []
+    for i in range(60):
+        text = data.prose(rng, 25)
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            part = rng.choice(items)
+            if rng.random() < 0.6:
+                for a, b in zip(names, other):
+                    part = part.replace(a, b)
+                part = part.replace("12", "90")
+            if rng.random() < 0.3:
+                w = part.split()
+                w[rng.randrange(len(w))] = "Xaver"
+                part = " ".join(w)
+            text += f" {part} {data.prose(rng, 6)}"
+        texts.append(text)
+    assert set(hits(spark, texts, items)) == brute_hits(texts, items)
+
+
+# --- no caps -------------------------------------------------------------------
+
+def test_vectors_of_every_length_are_answered(spark):
+    rng = np.random.default_rng(12)
+    rows = [(i, rng.normal(size=(8, 5, 5, 2)[i % 4]).tolist()) for i in range(1, 1301)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in cross_polytope.nearest(df, lambda i: i % 20 == 0, k=5).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    by = dict(rows)
+    queries = [i for i in by if i % 20 == 0]
+    assert sorted(got) == sorted(queries)
+    hit = total = 0
+    for q in queries:
+        own = sorted(((-float(np.dot(by[q], v)), i) for i, v in rows if i != q and len(v) == len(by[q])))[:5]
+        found = [i for _, i, _ in sorted(got[q])]
+        assert len(found) == 5 and all(len(by[i]) == len(by[q]) for i in found)
+        hit += len(set(found) & {i for _, i in own})
+        total += 5
+    assert hit >= 0.9 * total
+
+
+def test_more_languages_than_two_hundred_and_fifty_six(spark):
+    rng = random.Random(14)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    own = [["".join(rng.choice(letters) for _ in range(5)) for _ in range(6)] for _ in range(300)]
+    rows = [(2 * i + k, " ".join(rng.choice(own[i]) for _ in range(40)), f"l{i:03d}") for i in range(300) for k in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_mixture.fit(docs, docs["doc_id"] % 2 == 0)
+    assert len(model.langs) == 300
+    out = language_mixture.predict(docs, model, {"doc_id": docs["doc_id"]}).collect()
+    lang = {r[0]: r[2] for r in rows}
+    assert sum(r.lang_pred == lang[r.doc_id] for r in out) >= 0.99 * len(out)
+
+
+def test_sparse_language_model_equals_the_dense_table(spark):
+    docs = spark.createDataFrame([(0, "abc abd", "x"), (1, "zzz abc", "y"), (2, "", "z")],
+                                 "doc_id long, text string, lang string")
+    model = language_mixture.fit(docs, docs["doc_id"] >= 0)
+    dense = np.full((language_mixture.BUCKETS, len(model.langs)), language_mixture.SMOOTH)
+    for text, lang in (("abc abd", "x"), ("zzz abc", "y"), ("", "z")):
+        if lang in model.langs:
+            at, n = language_mixture.trigram_counts(text)
+            dense[at, model.langs.index(lang)] += n
+    want = np.log(dense / dense.sum(axis=0, keepdims=True))
+    assert np.allclose(model.log_p(np.arange(language_mixture.BUCKETS)), want, rtol=1e-12)
+
+
+def test_more_evidence_always_scores_higher(spark):
+    model = toxic_segments.Model(np.zeros(0, np.int64), np.zeros(0), 1.0, 1.0, -3.0, 2.0)
+    e = [0.0, 1.0, 6.0, 7.0, 20.0, 100.0, 300.0]
+    rows = spark.createDataFrame([(x,) for x in e], "e double")
+    rows = rows.select(toxic_segments.probability(model, rows["e"]))
+    got = [r[0] for r in rows.collect()]
+    assert all(a < b for a, b in zip(got, got[1:]))
+
