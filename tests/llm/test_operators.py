@@ -1,6 +1,7 @@
 """The operators against brute force, exact rules and planted cases."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -475,6 +476,50 @@ def test_targets_and_copies(spark):
     assert {r.doc_id: r["count"] for r in mixed} == {r.doc_id: r.copies for r in got if r.copies}
 
 
+def test_mix_many_sources(spark):
+    """More sources than one task should order: targets as by resharing."""
+    n = 100_000
+    df = spark.range(n).selectExpr("id doc_id", "repeat('w ', cast(id % 7 as int)) text",
+                                   "concat('host', id % 50021) source")
+    got = systematic_mix.mix_counts(df).select("source", "source_size", "target").distinct().collect()
+    sizes = {}
+    for i in range(n):
+        sizes[f"host{i % 50021}"] = sizes.get(f"host{i % 50021}", 0) + i % 7
+    want = plain_targets(sizes)
+    assert len(got) == 50021
+    assert all(r.source_size == sizes[r.source] and r.target == pytest.approx(want[r.source]) for r in got)
+
+
+def test_mix_hot_null_ids_and_equal_rows(spark):
+    """A third of the rows without an id, another third equal in every column,
+    and rows that differ in a further column only: each is drawn by its rank,
+    and rows come back with their own columns."""
+    rng = random.Random(9)
+    rows = ([(None, data.prose(rng, 4), "s", k) for k in range(200)] + [(7, "one two three", "s", 0)] * 200
+            + [(8, "four five six", "t", k) for k in range(40)] + [(k, data.prose(rng, 9), "t", 0) for k in range(9, 99)])
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, copy long").withColumnRenamed("copy", "_n")
+    counts = systematic_mix.mix_counts(df).collect()
+    assert len(counts) == len(rows)
+    got = systematic_mix.mix_documents(df).collect()
+    by = {}
+    for r in counts:
+        by[(r.doc_id, r.source)] = by.get((r.doc_id, r.source), 0) + r.copies
+    mixed = {}
+    for r in got:
+        assert (r.doc_id, r.text, r.source, r["_n"]) in rows
+        mixed[(r.doc_id, r.source)] = mixed.get((r.doc_id, r.source), 0) + 1
+    assert mixed == {k: v for k, v in by.items() if v}
+    drawn = {}
+    for r in got:
+        if r.doc_id is None or r.doc_id == 8:
+            drawn[(r.doc_id, r["_n"])] = drawn.get((r.doc_id, r["_n"]), 0) + 1
+    rates = {r.source: r.target / r.source_size for r in counts}
+    for (i, k), c in drawn.items():
+        assert c <= math.ceil(rates["s" if i is None else "t"])
+    assert sorted((r.doc_id or 0, r.text, r.copy) for r in got) == sorted(
+        (r.doc_id or 0, r.text, r.copy) for r in systematic_mix.mix_documents(df.repartition(5)).collect())
+
+
 def test_mix_is_native(spark):
     from tests.conftest import plan_text
     df = docs_of(spark, ["a b", "c"]).selectExpr("*", "'s' source")
