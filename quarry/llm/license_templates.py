@@ -2,17 +2,21 @@
 
 A template is the normalised wording of a license notice with marked regions:
 ``<<beginOptional>>`` ... ``<<endOptional>>`` may be absent, and
-``<<var;match=a|b>>`` (one of these words) or ``<<var;max=n>>`` (one to n
+``<<var;match=a|b>>`` (one of these wordings) or ``<<var;max=n>>`` (one to n
 words) may be replaced.  Every template is compiled into a token automaton; a
 place is accepted if the automaton, started at one of the text's words, reaches
 its end, that is, if the mandatory wording stands there exactly, in order, and
 the rest fits the marked regions.
 
+``license_notices`` holds whole notices, conditions and disclaimers included (a
+text that changes one mandatory word of them is no such notice), and one-sentence
+statements that name a license; ``notices`` and the score tell them apart.
+
 Words are runs of digits, ASCII letters (lower-cased) and characters beyond
 ASCII.  Next to the templates the three base phrases are counted.
 
-Scale.  One pass over whole texts, no shuffle; the automata only start at the
-few words a template can begin with.
+Scale.  One pass over whole texts, no shuffle; an automaton only starts where a
+template can begin, in texts that hold all its mandatory words.
 
 Edge cases.  Null and empty texts have no words, no places (null positions),
 empty labels and score 0.  Repeated rows are scanned alike.  An empty table
@@ -21,6 +25,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,60 +33,43 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
 from quarry.llm.common import map_texts
+from quarry.llm.license_notices import NOTICES, STATEMENTS
 
 # The base phrases and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# Wording of public license notices, marked up.
-TEMPLATES = (
-    ("apache-2.0", "licensed under the apache license <<beginOptional>> version <<endOptional>> 2 0"),
-    ("apache-2.0", "licensed under the apache software license <<beginOptional>> version <<endOptional>> 2 0"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are "
-            "permitted provided that the following conditions are met"),
-    ("cc-by-4.0", "licensed under <<beginOptional>> a <<endOptional>> <<beginOptional>> creative commons "
-                  "<<endOptional>> <<var;match=cc|attribution>> <<beginOptional>> by <<endOptional>> 4 0"),
-    ("cc-by-nc-4.0", "licensed under <<beginOptional>> a <<endOptional>> cc by nc 4 0"),
-    ("cc-by-nc-4.0", "creative commons attribution noncommercial 4 0 <<beginOptional>> international <<endOptional>>"),
-    ("cc-by-sa-4.0", "licensed under <<beginOptional>> a <<endOptional>> cc by sa 4 0"),
-    ("gpl-2.0", "licensed under the <<beginOptional>> terms of the <<endOptional>> gnu general public "
-                "license <<beginOptional>> as published by the free software foundation "
-                "<<beginOptional>> either <<endOptional>> <<endOptional>> <<var;match=version|v>> 2"),
-    ("gpl-3.0", "licensed under the <<beginOptional>> terms of the <<endOptional>> gnu general public "
-                "license <<beginOptional>> as published by the free software foundation "
-                "<<beginOptional>> either <<endOptional>> <<endOptional>> <<var;match=version|v>> 3"),
-    ("isc", "permission to use copy modify and <<beginOptional>> or <<endOptional>> distribute this "
-            "software for any purpose with or without fee is hereby granted"),
-    ("mit", "<<var;match=released|licensed|distributed|available>> under the <<beginOptional>> terms "
-            "of the <<endOptional>> mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this "
-            "software and associated documentation files the software to deal in the software "
-            "without restriction"),
-    ("mpl-2.0", "subject to the terms of the mozilla public license <<var;match=v|version>> 2 0"),
-    ("reserved", "copyright <<beginOptional>> c <<endOptional>> <<var;max=8>> all rights reserved"),
-    ("spdx", "spdx license identifier <<var;max=1>>"),
-)
+#: What is looked for: (label, wording, whole notice or one-sentence statement).
+TEMPLATES = tuple((label, markup, whole) for whole, texts in ((True, NOTICES), (False, STATEMENTS))
+                  for label, markup in texts)
 
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or 48 <= c <= 57 or c > 127 else 32
                    for c in range(256))
-#: Score of a text with a base phrase but no accepted template.
-BASE_SCORE = 0.5
+#: Scores of a text with a whole notice, else with a statement, else with a base phrase.
+NOTICE_SCORE, STATEMENT_SCORE, BASE_SCORE = 1.0, 0.75, 0.5
+
+
+def words_of(text: bytes | None) -> list[bytes]:
+    return (text or b"").translate(WORD_BYTES).split()
 
 
 def parse(markup: str) -> list:
-    """Nested regions: a word, ("opt", items), ("one", words) or ("any", n)."""
+    """Nested regions: a word, ("opt", items), ("one", wordings) or ("any", n);
+    a wording is a list of words."""
     stack: list[list] = [[]]
-    for part in markup.split():
-        if part == "<<beginOptional>>":
+    for k, part in enumerate(re.split("<<(.*?)>>", markup, flags=re.S)):
+        if k % 2 == 0:
+            stack[-1].extend(words_of(part.encode()))
+        elif part == "beginOptional":
             stack.append([])
-        elif part == "<<endOptional>>":
+        elif part == "endOptional" and len(stack) > 1:
             inner = stack.pop()
             stack[-1].append(("opt", inner))
-        elif part.startswith("<<var;match="):
-            stack[-1].append(("one", part[len("<<var;match="):-2].split("|")))
-        elif part.startswith("<<var;max="):
-            stack[-1].append(("any", int(part[len("<<var;max="):-2])))
+        elif part.startswith("var;match="):
+            stack[-1].append(("one", [words_of(x.encode()) for x in part[len("var;match="):].split("|")]))
+        elif part.startswith("var;max="):
+            stack[-1].append(("any", int(part[len("var;max="):])))
         else:
-            stack[-1].append(part)
+            raise ValueError(f"unknown or unbalanced region {part!r}")
     if len(stack) != 1:
         raise ValueError("unbalanced optional region")
     return stack[0]
@@ -111,12 +99,13 @@ class Automaton:
     def _add(self, items: list, at: set[int]) -> set[int]:
         """Append the items after the states ``at``; the states they end in."""
         for item in items:
-            if isinstance(item, str) or item[0] == "one":
+            if isinstance(item, bytes):
                 new = self._state()
                 for s in at:
-                    for w in [item] if isinstance(item, str) else item[1]:
-                        self.words[s].setdefault(w.encode(), set()).add(new)
+                    self.words[s].setdefault(item, set()).add(new)
                 at = {new}
+            elif item[0] == "one":
+                at = set().union(*(self._add(wording, at) for wording in item[1]))
             elif item[0] == "opt":
                 at = at | self._add(item[1], at)
             else:
@@ -144,18 +133,24 @@ class Automaton:
         return False
 
 
-def automata(templates=TEMPLATES) -> dict[bytes, list[tuple[str, Automaton]]]:
-    """Automata by the words they can start with."""
-    found: dict[bytes, list[tuple[str, Automaton]]] = {}
-    for label, markup in templates:
-        m = Automaton.of(parse(markup))
-        for w in m.words[0]:
-            found.setdefault(w, []).append((label, m))
-    return found
+@dataclass
+class Template:
+    label: str
+    whole: bool
+    automaton: Automaton
+    must: frozenset[bytes]  # words no accepted place lacks
 
+    @classmethod
+    def of(cls, label: str, markup: str, whole: bool) -> Template:
+        items = parse(markup)
+        m = Automaton.of(items)
+        if m.wild[0] or 0 in m.final:
+            raise ValueError(f"{label}: a template starts with a word")
+        return cls(label, whole, m, frozenset(x for x in items if isinstance(x, bytes)))
 
-def words_of(text: bytes | None) -> list[bytes]:
-    return (text or b"").translate(WORD_BYTES).split()
+
+def compiled(templates=TEMPLATES) -> list[Template]:
+    return [Template.of(*t) for t in templates]
 
 
 def places(words: list[bytes], target: bytes) -> list[int]:
@@ -184,44 +179,45 @@ def base_places(words: list[bytes]) -> list[tuple[int, str]]:
     return out
 
 
-def scan(words: list[bytes], starts: dict[bytes, list[tuple[str, Automaton]]]) -> set[str]:
-    """Labels of the templates accepted anywhere."""
-    found: set[str] = set()
-    if starts.keys().isdisjoint(words):
-        return found
-    for w, machines in starts.items():
-        for at in places(words, w):
-            for label, m in machines:
-                if label not in found and m.accepts(words, at):
-                    found.add(label)
-    return found
+def scan(words: list[bytes], templates: list[Template]) -> tuple[set[str], set[str]]:
+    """Labels of the templates accepted anywhere: all, and of whole notices."""
+    found: set[tuple[str, bool]] = set()
+    have = set(words)
+    for t in templates:
+        if (t.label, t.whole) not in found and t.must <= have and any(
+                t.automaton.accepts(words, at) for w in t.automaton.words[0] for at in places(words, w)):
+            found.add((t.label, t.whole))
+    return {x for x, _ in found}, {x for x, whole in found if whole}
 
 
 def scan_licenses(docs: DataFrame, keep: dict[str, Column], text_col: str = "text",
                   templates=TEMPLATES) -> DataFrame:
     """Kept columns with n_words, n_base, first_word, last_word, base_labels,
-    labels, templates (labels the automata gave) and score."""
-    held: dict[str, dict] = {}
+    labels, templates (labels the automata gave), notices (those of whole
+    notices) and score."""
+    held: dict[str, list[Template]] = {}
 
     def run(texts: list) -> dict:
         if "m" not in held:
-            held["m"] = automata(templates)
+            held["m"] = compiled(templates)
         out = []
         for t in texts:
             words = words_of(t)
             base = base_places(words)
-            own = scan(words, held["m"])
+            own, notices = scan(words, held["m"])
             at = [s for s, _ in base]
             base_labels = {x for _, x in base}
             out.append((len(words), len(base), min(at, default=None), max(at, default=None),
                         ",".join(sorted(base_labels)), ",".join(sorted(base_labels | own)),
-                        ",".join(sorted(own)), 1.0 if own else BASE_SCORE if base else 0.0))
+                        ",".join(sorted(own)), ",".join(sorted(notices)),
+                        NOTICE_SCORE if notices else STATEMENT_SCORE if own else BASE_SCORE if base else 0.0))
         cols = list(zip(*out, strict=True))
         return {"n_words": np.array(cols[0], np.int64), "n_base": np.array(cols[1], np.int64),
                 "first_word": pa.array(cols[2], pa.int64()), "last_word": pa.array(cols[3], pa.int64()),
                 "base_labels": pa.array(cols[4], pa.string()), "labels": pa.array(cols[5], pa.string()),
-                "templates": pa.array(cols[6], pa.string()), "score": np.array(cols[7], np.float64)}
+                "templates": pa.array(cols[6], pa.string()), "notices": pa.array(cols[7], pa.string()),
+                "score": np.array(cols[8], np.float64)}
 
     return map_texts(docs, text_col, keep, run,
                      "n_words long, n_base long, first_word long, last_word long, "
-                     "base_labels string, labels string, templates string, score double")
+                     "base_labels string, labels string, templates string, notices string, score double")

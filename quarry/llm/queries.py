@@ -3,6 +3,7 @@ that SQL can express.  Each query applies one operator to its whole table."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import public_tokenizers
@@ -13,6 +14,7 @@ from quarry.llm import (
     cross_polytope,
     gam_pairs,
     language_mixture,
+    license_notices,
     license_templates,
     line_windows,
     phrase_tries,
@@ -127,27 +129,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_line_windows, op11_vector_codes, op12_token_files, op13_phrase_tries)}
 
 
-def _license_regex(items: list) -> str:
+def _license_regex(markup: str) -> str:
     """A template as a regular expression over " word word ... " text."""
-    out = ""
-    for item in items:
-        if isinstance(item, str):
-            out += f"{item} "
-        elif item[0] == "opt":
-            out += f"(?:{_license_regex(item[1])})?"
-        elif item[0] == "one":
-            out += f"(?:{'|'.join(item[1])}) "
-        else:
-            out += f"(?:[^ ]+ ){{1,{item[1]}}}"
-    return out
+    def piece(m: re.Match) -> str:
+        mark = m[0]
+        if mark == "<<beginOptional>>":
+            return "(?:"
+        if mark == "<<endOptional>>":
+            return ")?"
+        if mark.startswith("<<var;max="):
+            return f"(?:[^ ]+ ){{1,{mark[10:-2]}}}"
+        if mark.startswith("<<var;match="):
+            return "(?:" + "|".join(re.sub("[^a-z0-9]+", " ", f" {x.lower()} ").lstrip()
+                                    for x in mark[12:-2].split("|")) + ")"
+        return mark.lower() + " "
+    return "".join(piece(m) for m in re.finditer("(?s)<<.*?>>|[A-Za-z0-9]+", markup))
 
 
 def _license_sql() -> str:
-    by_label: dict[str, list[str]] = {}
-    for label, markup in license_templates.TEMPLATES:
-        by_label.setdefault(label, []).append(_license_regex(license_templates.parse(markup)))
-    own = ", ".join(f"CASE WHEN regexp_matches(norm, ' (?:{'|'.join(rs)})') THEN '{label}' END"
-                    for label, rs in sorted(by_label.items()))
+    def cases(templates: list[tuple[str, str]]) -> str:
+        by_label: dict[str, list[str]] = {}
+        for label, markup in templates:
+            by_label.setdefault(label, []).append(_license_regex(markup))
+        return ", ".join(f"CASE WHEN regexp_matches(norm, ' (?:{'|'.join(rs)})') THEN '{label}' END"
+                         for label, rs in sorted(by_label.items()))
+    whole, stated = cases(list(license_notices.NOTICES)), cases(list(license_notices.STATEMENTS))
     starts, labels = [], []
     for phrase, label in license_templates.BASE.items():
         words = phrase.split()
@@ -163,14 +169,16 @@ normed AS (SELECT *, ' ' || array_to_string(w, ' ') || ' ' AS norm FROM words),
 found AS (
   SELECT doc_id, w, flatten([{', '.join(starts)}]) AS places,
     list_sort(list_filter([{', '.join(labels)}], lambda x: x IS NOT NULL)) AS base,
-    list_sort(list_filter([{own}], lambda x: x IS NOT NULL)) AS own FROM normed)
+    list_sort(list_filter([{whole}], lambda x: x IS NOT NULL)) AS whole,
+    list_sort(list_filter([{stated}], lambda x: x IS NOT NULL)) AS stated FROM normed),
+united AS (SELECT *, list_sort(list_distinct(list_concat(whole, stated))) AS own FROM found)
 SELECT doc_id, len(w)::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_min(places)::BIGINT AS first_word,
   list_max(places)::BIGINT AS last_word, array_to_string(base, ',') AS base_labels,
   array_to_string(list_sort(list_distinct(list_concat(base, own))), ',') AS labels,
-  array_to_string(own, ',') AS templates,
-  CASE WHEN len(own) > 0 THEN 1.0::DOUBLE WHEN len(places) > 0 THEN {license_templates.BASE_SCORE}::DOUBLE
-       ELSE 0.0::DOUBLE END AS score
-FROM found"""
+  array_to_string(own, ',') AS templates, array_to_string(whole, ',') AS notices,
+  CASE WHEN len(whole) > 0 THEN 1.0::DOUBLE WHEN len(own) > 0 THEN 0.75::DOUBLE
+       WHEN len(places) > 0 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS score
+FROM united"""
 
 
 _MIX_SQL = r"""

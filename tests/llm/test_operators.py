@@ -17,6 +17,7 @@ from quarry.llm import (
     language_mixture,
     license_templates,
     line_windows,
+    queries,
     simhash_gray,
     systematic_mix,
     template_decontam,
@@ -113,27 +114,72 @@ def test_decontamination_against_brute_force(spark):
 
 def scan(text):
     words = license_templates.words_of(text.encode())
-    return license_templates.scan(words, license_templates.automata()), license_templates.base_places(words)
+    return license_templates.scan(words, license_templates.compiled()), license_templates.base_places(words)
 
 
 def test_license_regions():
-    assert scan("x Licensed under the Apache License, Version 2.0. y") == ({"apache-2.0"}, [(4, "apache")])
-    assert scan("licensed under the Apache License 2.0")[0] == {"apache-2.0"}  # optional word absent
-    assert scan("licensed under an Apache License, Version 2.0")[0] == set()  # mandatory word changed
-    assert scan("Distributed under the terms of the MIT License")[0] == {"mit"}
-    assert scan("Copyright (c) 2020 A B C, all rights reserved")[0] == {"reserved"}
-    assert scan("copyright all rights reserved")[0] == set()  # a replaceable region has a word
-    assert scan("copyright a b c d e f g h i all rights reserved")[0] == set()  # nine are too many
+    def labels(text):
+        return scan(text)[0][0]
+
+    assert scan("x Licensed under the Apache License, Version 2.0. y") == (({"apache-2.0"}, set()), [(4, "apache")])
+    assert labels("licensed under the Apache License 2.0") == {"apache-2.0"}  # optional word absent
+    assert labels("licensed under an Apache License, Version 2.0") == set()  # mandatory word changed
+    assert labels("Distributed under the terms of the MIT License") == {"mit"}
+    assert labels("# SPDX-License-Identifier: BSD-3-Clause") == {"bsd-3-clause"}
+    assert labels("spdx license identifier unknown") == set()
     assert scan("MIT License, GNU General Public License")[1] == [(0, "mit"), (3, "gpl")]
-    assert scan("") == (set(), [])
+    assert scan("") == ((set(), set()), [])
+    for broken in ("a <<beginOptional>> b", "a <<endOptional>>", "a <<var;other=2>>"):
+        with pytest.raises(ValueError):
+            license_templates.parse(broken)
+    with pytest.raises(ValueError):
+        license_templates.Template.of("x", "<<var;max=2>> a", True)
+
+
+def filled(markup, holder="The Example Authors and Contributors", optional=True):
+    """A notice's text with one holder's name and the first of its wordings."""
+    if not optional:
+        while "<<begin" in markup:
+            markup = re.sub(r"(?s)<<beginOptional>>(?:(?!<<beginOptional>>).)*?<<endOptional>>", "", markup, count=1)
+    markup = re.sub(r"<<beginOptional>>|<<endOptional>>", "", markup)
+    markup = re.sub(r"<<var;max=\d+>>", holder, markup)
+    return re.sub(r"(?s)<<var;match=(.*?)(?:\|.*?)?>>", r"\1", markup)
+
+
+@pytest.mark.parametrize("label,markup", license_templates.NOTICES)
+def test_whole_notices(label, markup):
+    for text in (filled(markup), filled(markup, "Jo", optional=False), filled(markup).upper(),
+                 filled(markup).replace(",", " --\n * ")):
+        assert scan("Copyright 2020\n" + text + "\nend")[0][1] == {label}
+    # every mandatory word changed, left out or doubled in its turn
+    words = filled(markup).split()
+    (single,) = [t for t in license_templates.compiled() if t.whole and t.label == label]
+    for at in range(0, len(words), 7):
+        for other in ([], ["cow"], ["you", "must", "send", "a", "cow", words[at]]):
+            changed = " ".join(words[:at] + other + words[at + 1:])
+            got = label in scan(changed)[0][1]
+            assert got == bool(re.search(" " + queries._license_regex(markup), " " + " ".join(
+                w.decode() for w in license_templates.words_of(changed.encode())) + " "))
+    assert not single.automaton.accepts(license_templates.words_of(" ".join(words[:-1]).encode()), 0)
+
+
+def test_altered_conditions_are_refused():
+    bsd = dict(license_templates.NOTICES)["bsd-3-clause"]
+    text = filled(bsd)
+    assert scan(text)[0] == ({"bsd-3-clause"}, {"bsd-3-clause"})
+    opening = text[:text.index("Redistributions of source")]
+    assert scan(opening + "you must send the author a cow")[0] == (set(), set())
+    assert scan(text.replace("must reproduce", "need not reproduce"))[0] == (set(), set())
+    assert scan(text.replace("The Example Authors", "x " * 30))[0] == (set(), set())  # no name of 30 words
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.sampled_from("a b c d".split()), max_size=9))
 def test_automaton_equals_regular_expression(words):
-    markup = "a <<beginOptional>> b <<beginOptional>> c <<endOptional>> <<endOptional>> <<var;max=2>> <<var;match=c|d>>"
+    markup = ("a <<beginOptional>> b <<beginOptional>> c <<endOptional>> <<endOptional>> <<var;max=2>> "
+              "<<var;match=c|d d>>")
     m = license_templates.Automaton.of(license_templates.parse(markup))
-    pattern = re.compile(r"a (?:b (?:c )?)?(?:\S+ ){1,2}(?:c|d) ")
+    pattern = re.compile(r"a (?:b (?:c )?)?(?:\S+ ){1,2}(?:c |d d )")
     got = any(m.accepts([w.encode() for w in words], i) for i in range(len(words)))
     assert got == any(pattern.match(" ".join(words[i:]) + " ") for i in range(len(words)))
 
