@@ -74,12 +74,29 @@ def labelled_sample(labels: DataFrame, id_col: str, label_col: str, parts: int,
                     held: int, max_rows: int) -> DataFrame:
     """At most ``max_rows`` labelled rows (``_id``, ``_y``) of the training
     folds, the same ones on every run (smallest id hashes).  The bound is what
-    makes broadcasting the sample safe."""
+    makes broadcasting the sample safe.
+
+    Rows above a threshold of the hash, chosen from the number of rows, are
+    left out before anything is sorted; it is raised until it lets enough rows
+    through.  So a sort meets little more than ``max_rows`` rows, however many
+    tasks read the labels.  Repeated rows meet as counts and each comes as
+    often as it stands in ``labels``."""
     y = F.col(label_col).cast("int")
-    return (labels.where(y.isin(0, 1) & F.col(id_col).isNotNull())
+    hashed = F.xxhash64("_id")
+    rows = (labels.where(y.isin(0, 1) & F.col(id_col).isNotNull())
             .where(fold(id_col, parts) != held)
-            .select(F.col(id_col).alias("_id"), y.alias("_y"))
-            .orderBy(F.xxhash64("_id"), "_id", "_y").limit(max_rows))
+            .select(F.col(id_col).alias("_id"), y.alias("_y")))
+    share = 1.5 * max_rows / max(1, rows.count())
+    while share < 1:
+        near = rows.where(hashed <= F.lit(int(share * 2**64) - 2**63))
+        if near.count() >= max_rows:
+            rows = near
+            break
+        share *= 2
+    copies = F.sequence(F.lit(1), F.least(F.count(F.lit(1)), F.lit(max_rows)))
+    return (rows.groupBy("_id", "_y").agg(copies.alias("_copies"))
+            .select("_id", "_y", F.explode("_copies"))
+            .orderBy(hashed, "_id", "_y").limit(max_rows).select("_id", "_y"))
 
 
 def logistic_1d(x: np.ndarray, y: np.ndarray, weight: np.ndarray,

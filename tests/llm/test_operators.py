@@ -10,6 +10,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from quarry.llm import (
     cross_polytope,
@@ -24,6 +25,7 @@ from quarry.llm import (
     token_cache,
     toxic_segments,
 )
+from quarry.llm.common import labelled_sample
 from tests.llm import data
 
 
@@ -775,3 +777,17 @@ def test_more_evidence_always_scores_higher(spark):
     got = [r[0] for r in rows.collect()]
     assert all(a < b for a, b in zip(got, got[1:]))
 
+
+
+@pytest.mark.parametrize("max_rows", [1, 7, 50, 400, 5000])
+@pytest.mark.parametrize("hot", [3, 11])
+def test_labelled_sample_is_the_smallest_hashes(spark, max_rows, hot):
+    """The rows of a sort of all labels, with one id in a third of them."""
+    rows = [(i, i % 2) for i in range(1200)] + [(hot, 1)] * 600 + [(None, 1)] * 9 + [(5, None), (6, 7)]
+    labels = spark.createDataFrame(rows, "doc_id long, toxic int").repartition(7)
+    got = labelled_sample(labels, "doc_id", "toxic", 5, 0, max_rows)
+    whole = (labels.where("doc_id IS NOT NULL AND toxic IN (0, 1) AND crc32(string(doc_id)) % 5 != 0")
+             .orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(max_rows))
+    assert got.columns == ["_id", "_y"]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole.collect()))
+    assert labelled_sample(labels.limit(0), "doc_id", "toxic", 5, 0, max_rows).count() == 0
