@@ -10,17 +10,18 @@ look-ups per word.  Accepting states are counted with ``bincount`` and the
 tasks' counts are added up.
 
 Where candidates come from: the pass that counts one level also counts the
-words that follow its accepted phrases, as (phrase number, 64-bit hash of the
-word) pairs of integers.  Pairs met at least ``min_count`` times, with the
-frequent words of that hash and with a frequent phrase behind the first word,
-are the next candidates.  Equal hashes can only add to a pair's count, so
-nothing frequent is lost; the tries then count the candidates exactly.
+words that follow its accepted phrases, as pairs of the phrase's number and a
+32-bit hash of the word, packed into one integer.  Pairs met at least
+``min_count`` times, with the frequent words of that hash and with a frequent
+phrase behind the first word, are the next candidates.  Equal hashes can only
+add to a pair's count or add candidates, so nothing frequent is lost; the tries
+then count the candidates exactly.
 
 Scale.  Frequent phrases are tables, never whole on the driver.  A trie holds
 at most ``TRIE`` phrases: that many are collected, built and broadcast at once,
 and more candidates mean more tries and passes (dealt by hash), not larger ones.
 Texts are read anew by every pass and never shuffled; what travels is a row of
-integers per distinct pair and task, so it grows no faster than the texts.  A
+two integers per distinct pair and task, so it grows no faster than the texts.  A
 word or phrase in a third of all texts is one row per task.  A task's memory
 follows its batch of texts, one trie and the pairs it holds, which are written
 out whenever there are more than ``HELD``.
@@ -62,6 +63,8 @@ SLICE_BYTES = 1 << 22
 #: Slots in which a place for a node with several children is sought.
 WINDOW = 8192
 BREAK = b"."
+#: The low 32 bits of an integer.
+HALF = 0xFFFFFFFF
 #: Lower-cases A-Z and makes every end of a piece the same byte.
 _TABLE = bytes(46 if c in b".,;:!?\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -236,7 +239,7 @@ class Followers:
         """(state, hash of the word, count) of all pairs."""
         self.merge()
         words = np.array([word_hash(w) for w in (*self.known, *self.numbers)], dtype=np.int64)
-        return self.keys >> 32, words[self.keys & (2**32 - 1)], self.counts
+        return self.keys >> 32, words[self.keys & HALF], self.counts
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -266,23 +269,23 @@ def _phrase_rows(langs: list, phrases: list, counts) -> pa.RecordBatch:
         names=["lang", "phrase", "f"])
 
 
-PASS = "kind int, phrase int, word long, f long"
+#: A pair's key is its phrase's number above its word's hash; the key of a
+#: phrase's own count is -1 less its number.
+PASS = "key long, f long"
 
 
 def trie_pass(texts: DataFrame, langs: list[str], phrases: list[bytes], count: bool, report: bool,
               others: bool) -> tuple[DataFrame, Broadcast]:
-    """Rows ``PASS`` and the broadcast (trie, phrases, langs).  Kind 0: a
-    task's count of each phrase (by number), if ``count``; kind 1: of each pair
-    of a phrase and the hash of a following word, if ``report``.  ``others``
-    says that following words may be missing in this trie."""
+    """Rows ``PASS`` and the broadcast (trie, phrases, langs): a task's count
+    of each phrase, if ``count``, and of each pair of a phrase and the hash of
+    a following word, if ``report``.  ``others`` says that following words may
+    be missing in this trie."""
     shared = texts.sparkSession.sparkContext.broadcast((build_trie(langs, phrases), phrases, langs))
 
-    def rows(kind: int, phrase: np.ndarray, word: np.ndarray, f: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def rows(key: np.ndarray, f: np.ndarray) -> Iterator[pa.RecordBatch]:
         for lo in range(0, len(f), 1 << 16):
             at = slice(lo, lo + (1 << 16))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(f[at]), kind, np.int32)), pa.array(phrase[at].astype(np.int32)),
-                 pa.array(word[at]), pa.array(f[at])], names=["kind", "phrase", "word", "f"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[at]), pa.array(f[at])], names=["key", "f"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = shared.value[0]
@@ -293,7 +296,7 @@ def trie_pass(texts: DataFrame, langs: list[str], phrases: list[bytes], count: b
 
         def reports() -> Iterator[pa.RecordBatch]:
             state, word, f = follow.report()
-            yield from rows(1, number[state], word, f)
+            yield from rows((number[state] << 32) | (word & HALF), f)
             follow.clear()
 
         for lang, text in text_slices(batches):
@@ -310,7 +313,7 @@ def trie_pass(texts: DataFrame, langs: list[str], phrases: list[bytes], count: b
                     yield from reports()
         if count:
             hit = np.flatnonzero(counts[trie.accepts])
-            yield from rows(0, trie.phrase[hit], np.zeros(len(hit), np.int64), counts[trie.accepts[hit]])
+            yield from rows(-1 - trie.phrase[hit].astype(np.int64), counts[trie.accepts[hit]])
         if report:
             yield from reports()
 
@@ -318,17 +321,20 @@ def trie_pass(texts: DataFrame, langs: list[str], phrases: list[bytes], count: b
 
 
 def named(rows: DataFrame, shared: Broadcast) -> DataFrame:
-    """``PASS`` rows with the language and phrase instead of its number."""
+    """``PASS`` rows with language and phrase; ``word`` is the low half
+    of the following word's hash, null where the phrase itself is counted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, phrases, langs = shared.value
         for b in batches:
-            which = b.column(1).to_pylist()
+            key = b.column(0).to_numpy()
+            which = np.where(key < 0, -1 - key, key >> 32).tolist()
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([langs[i] for i in which], pa.string()),
-                 pa.array([phrases[i] for i in which], pa.binary()), b.column(2), b.column(3)],
-                names=["kind", "lang", "phrase", "word", "f"])
+                [pa.array([langs[i] for i in which], pa.string()),
+                 pa.array([phrases[i] for i in which], pa.binary()),
+                 pa.array(key & HALF, mask=key < 0), b.column(1)],
+                names=["lang", "phrase", "word", "f"])
 
-    return rows.mapInArrow(run, "kind int, lang string, phrase binary, word long, f long")
+    return rows.mapInArrow(run, "lang string, phrase binary, word long, f long")
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
@@ -341,7 +347,7 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     singles = saved(word_counts(texts))
     totals = saved(singles.groupBy("lang").agg(F.sum("f").alias("n")))
     level = singles.where(F.col("f") >= min_count)
-    hashed = level.select(F.col("lang").alias("_l"), F.col("phrase").alias("_next"), F.xxhash64("phrase").alias("_h"))
+    hashed = level.select(F.col("lang").alias("_l"), F.col("phrase").alias("_next"), F.xxhash64("phrase").bitwiseAND(HALF).alias("_h"))
     levels = [level.withColumn("words", F.lit(1))]
     candidates = level.select("lang", "phrase")
     for words in range(1, max_words + 1):
@@ -359,17 +365,16 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
                 continue
             rows, shared = trie_pass(texts, part.column("lang").to_pylist(), part.column("phrase").to_pylist(),
                                      words > 1, words < max_words, tries > 1)
-            summed = (rows.groupBy("kind", "phrase", "word").agg(F.sum("f").alias("f"))
-                      .where(F.col("f") >= min_count))
+            summed = rows.groupBy("key").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)
             # Written once: the counts and the pairs are read apart.
             passes.append(saved(named(summed, shared)))
         found = reduce(DataFrame.unionByName, passes)
         if words > 1:
-            level = found.where("kind = 0").select("lang", "phrase", "f")
+            level = found.where("word IS NULL").select("lang", "phrase", "f")
             levels.append(level.withColumn("words", F.lit(words)))
         if words == max_words:
             break
-        longer = (found.where("kind = 1")
+        longer = (found.where("word IS NOT NULL")
                   .join(hashed, (F.col("lang") == F.col("_l")) & (F.col("word") == F.col("_h")))
                   .select("lang", F.concat("phrase", F.lit(b" "), "_next").alias("phrase")))
         w = F.split(F.col("phrase").cast("string"), " ", -1)
