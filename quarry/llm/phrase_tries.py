@@ -3,10 +3,10 @@
 Texts are cut into pieces and words; phrases are counted per language, within
 pieces.  Level by level, candidates of one more word come only from phrases
 whose parts without the last and without the first word are frequent
-themselves (Apriori).  The candidates become double-array tries, which are
+themselves (Apriori).  The candidates become tries of sorted edges, which are
 broadcast; a task holds its texts as one array of word codes and moves the
-states of all text positions one word further at a time, with two array
-look-ups per word.  Accepting states are counted with ``bincount`` and the
+states of all text positions one word further at a time, with one search among
+a level's edges per word.  Accepting states are counted with ``bincount`` and the
 tasks' counts are added up.
 
 Where candidates come from: the pass that counts one level also counts the
@@ -20,6 +20,7 @@ then count the candidates exactly.
 Scale.  Frequent phrases are tables, never whole on the driver.  A trie holds
 at most ``TRIE`` phrases: that many are collected, built and broadcast at once,
 and more candidates mean more tries and passes (dealt by hash), not larger ones.
+Building one is a sort per level, whatever the number of words.
 Texts are read anew by every pass and never shuffled; what travels is a row of
 two integers per distinct pair and task, so it grows no faster than the texts.  A
 word or phrase in a third of all texts is one row per task.  A task's memory
@@ -43,6 +44,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
@@ -55,13 +57,11 @@ MIN_COUNT = 100
 MAX_WORDS = 5
 TOP = 2000
 #: Phrases of one trie.
-TRIE = 200_000
+TRIE = 500_000
 #: Counted words or pairs a task holds before it writes them out.
 HELD = 2_000_000
 #: Bytes of text walked at once (a longer text is walked alone).
 SLICE_BYTES = 1 << 22
-#: Slots in which a place for a node with several children is sought.
-WINDOW = 8192
 BREAK = b"."
 #: The low 32 bits of an integer.
 HALF = 0xFFFFFFFF
@@ -95,16 +95,16 @@ def text_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]
 
 
 class Trie(NamedTuple):
-    """A double-array trie.  A word's code is read as ``digits`` digits of 8
-    bits; from state s the digit c leads to slot t = base[s] + c if
-    check[t] == s.  Slots are states; ``roots`` are the languages' first states
-    and ``phrase`` the number of the phrase accepted in each of ``accepts``."""
+    """A trie as its sorted edges.  ``check`` has an edge for each state: the
+    state it leaves in the upper, the word's code in the lower 32 bits; states
+    are numbered by their edges, behind the ``roots``, which are the languages'
+    first states.  Level d's edges begin at ``starts[d]``, and ``phrase`` is the
+    number of the phrase accepted in each of ``accepts``."""
 
     codes: dict[bytes, int]
-    digits: int
     roots: dict[str, int]
-    base: np.ndarray
     check: np.ndarray
+    starts: np.ndarray
     accepts: np.ndarray
     phrase: np.ndarray
     depth: int
@@ -112,83 +112,48 @@ class Trie(NamedTuple):
     def walk(self, lang: str, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position, state) of all positions where a phrase is accepted; the
         states of all positions move together, one level at a time."""
-        at = np.flatnonzero(codes >= 0)
-        state = np.full(len(at), self.roots.get(lang, -1), dtype=np.int64)
         if lang not in self.roots:
-            at, state = at[:0], state[:0]
-        for d in range(self.depth):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # A root's edges are one span: a table from code to state.
+        lo, hi = np.searchsorted(self.check, [self.roots[lang] << 32, self.roots[lang] + 1 << 32])
+        first = np.full(len(self.codes) + 1, -1, dtype=np.int64)  # the last is code -1's
+        first[self.check[lo:hi] & HALF] = len(self.roots) + np.arange(lo, hi)
+        state = first[codes]
+        at = np.flatnonzero(state >= 0)
+        state = state[at]
+        for d in range(1, self.depth):
             inside = at + d < len(codes)
             at, state = at[inside], state[inside]
             code = codes[at + d]
             known = code >= 0
-            at, state, code = at[known], state[known], code[known]
-            for shift in range(8 * (self.digits - 1), -8, -8):
-                slot = self.base[state] + ((code >> shift) & 255)
-                alive = (slot >= 0) & (slot < len(self.check))
-                alive[alive] = self.check[slot[alive]] == state[alive]
-                at, state, code = at[alive], slot[alive], code[alive]
+            at, key = at[known], (state[known] << 32) | code[known]
+            edges = self.check[self.starts[d]:self.starts[d + 1]]
+            place = np.searchsorted(edges, key)
+            place[place == len(edges)] = 0
+            alive = edges[place] == key
+            at, state = at[alive], len(self.roots) + self.starts[d] + place[alive]
         return at, state
 
 
-def build_trie(langs: list[str], phrases: list[bytes]) -> Trie:
-    """The trie of distinct (language, phrase) pairs of one length."""
-    split = [p.split(b" ") for p in phrases]
-    depth = len(split[0])
-    codes = {w: i for i, w in enumerate(sorted({w for ws in split for w in ws}))}
-    digits = max(1, -(-(len(codes) - 1).bit_length() // 8))
-    names = sorted(set(langs))
-    roots = {lang: i for i, lang in enumerate(names)}
-    words = np.array([[codes[w] for w in ws] for ws in split], dtype=np.int64)
-    node = np.array([roots[lang] for lang in langs], dtype=np.int64)
-    # Nodes of each level: distinct (parent, digit), numbered on.
-    parents, symbols, count = [], [], len(names)
+def build_trie(langs: list[str] | pa.Array, phrases: list[bytes] | pa.Array) -> Trie:
+    """The trie of distinct (language, phrase) pairs of one length: every level
+    is one sort of its edges."""
+    split = pc.split_pattern(pa.array(phrases, pa.binary()), pattern=b" ")
+    words = split.flatten().dictionary_encode()
+    depth = len(words) // len(split)
+    codes = {w: i for i, w in enumerate(words.dictionary.to_pylist())}
+    symbols = words.indices.to_numpy().astype(np.int64).reshape(-1, depth)
+    own = pa.array(langs, pa.string()).dictionary_encode()
+    roots = {lang: i for i, lang in enumerate(own.dictionary.to_pylist())}
+    node = own.indices.to_numpy().astype(np.int64)
+    levels, starts = [], [0]
     for d in range(depth):
-        for shift in range(8 * (digits - 1), -8, -8):
-            pairs, back = np.unique(node * 256 + ((words[:, d] >> shift) & 255), return_inverse=True)
-            parents.append(pairs >> 8)
-            symbols.append(pairs & 255)
-            node = count + back.reshape(-1)
-            count += len(pairs)
-    parent, symbol = np.concatenate(parents), np.concatenate(symbols)  # of node len(names) + i
-    order = np.lexsort((symbol, parent))
-    owners, first, sizes = np.unique(parent[order], return_index=True, return_counts=True)
-    base = np.zeros(count, dtype=np.int64)
-    used = np.zeros(2 * count + WINDOW, dtype=bool)
-    used[:len(names)] = True  # the roots' own slots
-    low = 0
-    several = np.flatnonzero(sizes > 1)
-    # Nodes with most children first; each goes to the first place that fits
-    # in a window behind the first free slot, else behind all others.
-    for k in several[np.argsort(-sizes[several], kind="stable")].tolist():
-        own = symbol[order[first[k]:first[k] + sizes[k]]]
-        if low + WINDOW + 256 > len(used):
-            used = np.concatenate([used, np.zeros(len(used), dtype=bool)])
-        low += int(used[low:].argmin())
-        free = low + np.flatnonzero(~used[low:low + WINDOW - 256])
-        for c in own[1:]:
-            free = free[~used[free + (c - own[0])]]
-        if len(free):
-            start = int(free[0])
-        else:
-            start = int(np.flatnonzero(used)[-1]) + 1
-            if start + WINDOW + 256 > len(used):
-                used = np.concatenate([used, np.zeros(len(used), dtype=bool)])
-        base[owners[k]] = start - own[0]
-        used[start - own[0] + own] = True
-    # Nodes with one child fit any free slot.
-    single = np.flatnonzero(sizes == 1)
-    free = np.flatnonzero(~used)
-    if len(free) < len(single):
-        free = np.concatenate([free, np.arange(len(used), len(used) + len(single))])
-    base[owners[single]] = free[:len(single)] - symbol[order[first[single]]]
-    slot = np.concatenate([np.arange(len(names)), base[parent] + symbol])
-    size = int(slot.max()) + 1
-    base[np.setdiff1d(np.arange(count), owners)] = size  # a leaf leads nowhere
-    base_at, check = np.zeros(size, dtype=np.int32), np.full(size, -1, dtype=np.int32)
-    base_at[slot] = base
-    check[slot[len(names):]] = slot[parent]
-    by = np.argsort(slot[node])
-    return Trie(codes, digits, roots, base_at, check, slot[node][by], by, depth)
+        edges, back = np.unique((node << 32) | symbols[:, d], return_inverse=True)
+        node = len(roots) + starts[-1] + back.reshape(-1)
+        levels.append(edges)
+        starts.append(starts[-1] + len(edges))
+    by = np.argsort(node)
+    return Trie(codes, roots, np.concatenate(levels), np.array(starts), node[by], by, depth)
 
 
 def word_hash(word: bytes) -> int:
@@ -274,8 +239,8 @@ def _phrase_rows(langs: list, phrases: list, counts) -> pa.RecordBatch:
 PASS = "key long, f long"
 
 
-def trie_pass(texts: DataFrame, langs: list[str], phrases: list[bytes], count: bool, report: bool,
-              others: bool) -> tuple[DataFrame, Broadcast]:
+def trie_pass(texts: DataFrame, langs: pa.Array, phrases: pa.Array, count: bool, report: bool, others: bool
+              ) -> tuple[DataFrame, Broadcast]:
     """Rows ``PASS`` and the broadcast (trie, phrases, langs): a task's count
     of each phrase, if ``count``, and of each pair of a phrase and the hash of
     a following word, if ``report``.  ``others`` says that following words may
@@ -289,9 +254,10 @@ def trie_pass(texts: DataFrame, langs: list[str], phrases: list[bytes], count: b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = shared.value[0]
-        counts = np.zeros(len(trie.check), dtype=np.int64)
+        size = len(trie.roots) + len(trie.check)
+        counts = np.zeros(size, dtype=np.int64)
         follow = Followers(trie, others)
-        number = np.zeros(len(trie.check), dtype=np.int64)
+        number = np.zeros(size, dtype=np.int64)
         number[trie.accepts] = trie.phrase
 
         def reports() -> Iterator[pa.RecordBatch]:
@@ -305,7 +271,7 @@ def trie_pass(texts: DataFrame, langs: list[str], phrases: list[bytes], count: b
             words = words_and_breaks(text)
             codes = np.fromiter(map(trie.codes.get, words, repeat(-1)), dtype=np.int64, count=len(words))
             at, state = trie.walk(lang, codes)
-            counts += np.bincount(state, minlength=len(counts))
+            counts += np.bincount(state, minlength=size)
             if report:
                 inside = at + trie.depth < len(words)
                 follow.add(state[inside], at[inside] + trie.depth, codes, words)
@@ -327,11 +293,9 @@ def named(rows: DataFrame, shared: Broadcast) -> DataFrame:
         _, phrases, langs = shared.value
         for b in batches:
             key = b.column(0).to_numpy()
-            which = np.where(key < 0, -1 - key, key >> 32).tolist()
+            which = pa.array(np.where(key < 0, -1 - key, key >> 32))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([langs[i] for i in which], pa.string()),
-                 pa.array([phrases[i] for i in which], pa.binary()),
-                 pa.array(key & HALF, mask=key < 0), b.column(1)],
+                [langs.take(which), phrases.take(which), pa.array(key & HALF, mask=key < 0), b.column(1)],
                 names=["lang", "phrase", "word", "f"])
 
     return rows.mapInArrow(run, "lang string, phrase binary, word long, f long")
@@ -363,7 +327,8 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
             part = own.where(F.col("trie") == t).select("lang", "phrase").toArrow()
             if not part.num_rows:
                 continue
-            rows, shared = trie_pass(texts, part.column("lang").to_pylist(), part.column("phrase").to_pylist(),
+            part = part.combine_chunks()
+            rows, shared = trie_pass(texts, part.column("lang").chunk(0), part.column("phrase").chunk(0),
                                      words > 1, words < max_words, tries > 1)
             summed = rows.groupBy("key").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)
             # Written once: the counts and the pairs are read apart.

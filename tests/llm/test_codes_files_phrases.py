@@ -284,6 +284,13 @@ def test_trie_accepts_exactly_its_phrases(n, vocabulary):
         assert got == want
 
 
+def test_a_trie_of_many_words_has_no_more_states_than_edges():
+    rng = random.Random(5)
+    phrases = sorted({b"w%d w%d" % (rng.randrange(70_000), rng.randrange(70_000)) for _ in range(50_000)})
+    trie = phrase_tries.build_trie(["en"] * len(phrases), phrases)
+    assert len(trie.check) <= 2 * len(phrases)
+
+
 def test_phrase_count_beyond_64_bits(spark):
     """1000 * a * n of 10**12 words leaves 64 bits; the decimals hold it."""
     row = spark.range(1).select(F.expr(
