@@ -9,7 +9,7 @@ inside whole-stage codegen.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -107,8 +107,9 @@ def hash_split(df: DataFrame, weights: Sequence[float], key: Column) -> list[Dat
 
 # --- kernel expansion -------------------------------------------------------
 
-def kernel_terms(x: Column) -> list[Column]:
-    return [x * F.lit(KERNEL_SCALE), x * x, x * x * x]
+def kernel_terms(x, number: Callable = F.lit) -> list:
+    """Of a column, or with ``number=float`` of an array of numbers."""
+    return [x * number(KERNEL_SCALE), x * x, x * x * x]
 
 
 def kernel_expand(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (),

@@ -1,16 +1,20 @@
 """Classifier factories with the reference's settings, prediction and the
-two-tree majority vote.  Training is Spark ML's own distributed code; the
-library only fixes parameters and adds the few scoring rules that differ.
+two-tree majority vote.  Training is Spark ML's own distributed code, but for
+the SVM's gradient steps; the library fixes parameters and adds the few scoring
+rules that differ.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable, Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
-from pyspark.mllib.classification import SVMWithSGD
-from pyspark.mllib.linalg import Vectors
-from pyspark.mllib.regression import LabeledPoint
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,8 +62,8 @@ class SvmSgd:
     a step moves the weights by less than a thousandth.  Full batches make it
     deterministic.
 
-    Spark's own trainer runs the steps in the JVM (one tree aggregate each,
-    over rows it caches); the rows are handed to it once.
+    Rows are packed once into blocks of numbers (:func:`number_blocks`), which
+    are cached; a step is one job with one small row of sums a task.
     """
 
     def __init__(self, iterations: int = SVM_ITERATIONS, reg: float = SVM_REG, step: float = SVM_STEP,
@@ -72,10 +76,109 @@ class SvmSgd:
         return self
 
     def fit(self, df: DataFrame) -> SvmSgdModel:
-        points = df.select(F.col("label").cast("double"), vector_to_array(self.features_col)).rdd.map(
-            lambda r: LabeledPoint(r[0], Vectors.dense(r[1])))
-        model = SVMWithSGD.train(points, miniBatchFraction=1.0, regType="l2", intercept=False, **self.settings)
-        return SvmSgdModel([float(w) for w in model.weights], self.features_col)
+        points = number_blocks(df.select("label", vector_to_array(self.features_col))).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            weights, = self.fit_blocks(points, [label_and_features])
+        finally:
+            points.unpersist()
+        return SvmSgdModel(weights, self.features_col)
+
+    def fit_blocks(self, points: RDD, views: Sequence[Callable]) -> list[list[float]]:
+        """Weights of several models on the same blocks, each step one job for
+        all: ``views`` give a block's signs (1, -1, or 0 for a row that is not
+        the model's) and features for each."""
+        found = block_stats(points, views)
+        for n, other, _, _ in found:
+            if not n:
+                raise ValueError("no rows to train on")
+            if other:
+                raise ValueError("labels must be 0 and 1")
+        weights = [np.zeros(len(lo)) for _, _, lo, _ in found]
+        left = list(range(len(views)))
+        for it in range(1, self.settings["iterations"] + 1):
+            sums = points.map(hinge_sums([(views[k], weights[k]) for k in left])).reduce(add_each)
+            step = self.settings["step"] / math.sqrt(it)
+            for k, g in zip(list(left), sums, strict=True):
+                w = weights[k] * (1.0 - step * self.settings["regParam"]) - step * g / found[k][0]
+                moved, weights[k] = np.linalg.norm(w - weights[k]), w
+                if it > 1 and moved < self.settings["convergenceTol"] * max(np.linalg.norm(w), 1.0):
+                    left.remove(k)
+            if not left:
+                break
+        return [[float(v) for v in w] for w in weights]
+
+
+def number_blocks(df: DataFrame) -> RDD:
+    """Rows of a label and features (number columns, or one array) as arrays
+    of doubles, a line per column and a batch of rows each.  Nulls and NaN are
+    errors.  Blocks of few partitions are dealt to all cores."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            cols = [(c.flatten() if pa.types.is_list(c.type) else c).to_numpy(zero_copy_only=False)
+                    .astype(float).reshape(b.num_rows, -1).T for c in b.columns]
+            block = np.concatenate(cols)
+            if np.isnan(block).any():
+                raise ValueError("null or NaN among labels or features")
+            yield pa.RecordBatch.from_arrays([pa.array([block.tobytes()]), pa.array([b.num_rows])], names=["block", "n"])
+
+    blocks = df.mapInArrow(run, "block binary, n long").rdd.map(lambda r: np.frombuffer(r[0]).reshape(-1, r[1]))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return blocks.repartition(cores) if blocks.getNumPartitions() < cores else blocks
+
+
+def label_and_features(block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The view of all rows; NaN is the sign of a label that is not 0 or 1."""
+    y = block[0]
+    return np.where((y == 0.0) | (y == 1.0), 2.0 * y - 1.0, np.nan), block[1:]
+
+
+def block_stats(points: RDD, views: Sequence[Callable]) -> list[tuple]:
+    """(rows, rows with an unknown label, minima, maxima) per view."""
+    def one(block: np.ndarray) -> list[tuple]:
+        out = []
+        for view in views:
+            sign, x = view(block)
+            x = x[:, sign != 0.0]
+            out.append((x.shape[1], int(np.isnan(sign).sum()), x.min(axis=1, initial=np.inf),
+                        x.max(axis=1, initial=-np.inf)))
+        return out
+
+    def both(a: list[tuple], b: list[tuple]) -> list[tuple]:
+        return [(n + m, c + d, np.minimum(lo, le), np.maximum(hi, he))
+                for (n, c, lo, hi), (m, d, le, he) in zip(a, b, strict=True)]
+
+    if points.isEmpty():
+        raise ValueError("no rows to train on")
+    return points.map(one).reduce(both)
+
+
+def hinge_sums(models: Sequence[tuple[Callable, np.ndarray]]) -> Callable:
+    """The hinge loss's gradients, summed over a block, of (view, weights)."""
+    def run(block: np.ndarray) -> list[np.ndarray]:
+        out = []
+        for view, w in models:
+            sign, x = view(block)
+            # einsum starts no threads beside the other tasks, as matrix products do.
+            pull = np.where(sign * np.einsum("p,pn->n", w, x) < 1.0, -sign, 0.0)
+            out.append(np.einsum("pn,n->p", x, pull))
+        return out
+
+    return run
+
+
+def add_each(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
+    return [x + y for x, y in zip(a, b, strict=True)]
+
+
+def _quoted(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
+def margin_sql(weights: Sequence[float], cols: Sequence[str]) -> str:
+    """The inner product of weights and columns."""
+    return " + ".join(f"({float(v)!r}D) * {_quoted(c)}" for v, c in zip(weights, cols, strict=True))
 
 
 class SvmSgdModel:

@@ -15,7 +15,10 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
+import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +27,8 @@ from pyspark.sql import types as T
 from quarry.operators import metrics as M
 from quarry.operators import models as ML
 from quarry.operators.cleaning import ROW, _q
-from quarry.operators.features import (assemble, class_pair_subset, kernel_expand, min_max_expr,
-                                       min_max_normalize, min_max_stats, relabel_pair,
-                                       split_column)
+from quarry.operators.features import (assemble, class_pair_subset, kernel_expand, kernel_terms,
+                                       min_max_expr, min_max_normalize, relabel_pair, split_column)
 from quarry.session import complete, ensure_checkpoint_dir, shared_dir
 from quarry.sources.results import result_rows
 
@@ -226,51 +228,104 @@ PAIR_SCHEMA = T.StructType([
     T.StructField("incorrect", T.LongType()), T.StructField("auc", T.DoubleType())])
 
 
-def svm_split(data: DataFrame, feats: Sequence[str], seed: int = PAIR_SPLIT_SEED
+def svm_sides(data: DataFrame, feats: Sequence[str], seed: int = PAIR_SPLIT_SEED
               ) -> tuple[DataFrame, DataFrame]:
-    """Both sides of a 60/40 split by row id, scaled by the training side's
-    min and max."""
-    sided = data.select(ROW, "label", *feats).withColumn("__side", trial_side(seed))
-    train = sided.filter(F.col("__side") == "train")
-    stats = min_max_stats(train, feats)
-    return tuple(assemble(min_max_normalize(side.select("label", *feats), feats, stats), feats)
-                 for side in (train, sided.filter(F.col("__side") == "test")))
-
-
-def svm_holdout(name: str, data: DataFrame, feats: Sequence[str],
-                seed: int = PAIR_SPLIT_SEED) -> tuple:
-    """Split 60/40, train the linear SVM, score raw margins on the test
-    side: ``(name, train_rows, test_rows, correct, incorrect, auc)``."""
-    train, test = svm_split(data, feats, seed)
-    model = ML.svm_sgd().fit(train)
-    scored = ML.svm_margin(model, test).select("score", "label").persist()
+    """``(label, *feats)`` of both sides of a 60/40 split by row id."""
+    sided = data.select(ROW, "label", *[_q(c) for c in feats]).withColumn("__side", trial_side(seed))
+    return tuple(sided.filter(F.col("__side") == side).drop(ROW, "__side") for side in ("train", "test"))
+
+
+def _scaled(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """(x - min) / (max - min); a constant column gives 0.0."""
+    span = hi - lo
+    out = x - lo[:, None]
+    out /= np.where(span == 0.0, 1.0, span)[:, None]
+    out[span == 0.0] = 0.0
+    return out
+
+
+def pair_view(keep: tuple[float, float], pos: float, expand: bool, ends: tuple | None = None) -> Callable:
+    """The view of a class pair in blocks of a label and features: signs of the
+    pair's rows and features, kernel-expanded if ``expand`` and scaled by
+    ``ends``, (minima, maxima)."""
+    neg = keep[0] if keep[1] == pos else keep[1]
+
+    def view(block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sign = (block[0] == pos).astype(float) - (block[0] == neg)
+        x = block[1:]
+        if expand:
+            x = np.stack(kernel_terms(x, float), axis=1).reshape(-1, len(sign))
+        return sign, x if ends is None else _scaled(x, *ends)
+
+    return view
+
+
+class PairFit(NamedTuple):
+    """A pair test's model: its rows, min and max per column, and weights."""
+
+    name: str
+    keep: tuple[float, float]
+    pos: float
+    expand: bool
+    train_rows: int
+    ends: tuple
+    weights: list[float]
+
+
+def fit_pairs(train: DataFrame, tests: Sequence[tuple]) -> list[PairFit]:
+    """The SVMs of ``tests``, (name, classes kept, class mapped to 1.0,
+    kernel-expanded), on the training side ``(label, *features)``.  Its rows
+    are packed and cached once for all tests, and a step is one job for all."""
+    points = ML.number_blocks(train).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        stats = ML.block_stats(points, [pair_view(*t[1:]) for t in tests])
+        ends = [(lo, hi) for _, _, lo, hi in stats]
+        weights = ML.svm_sgd().fit_blocks(points, [pair_view(*t[1:], e) for t, e in zip(tests, ends, strict=True)])
+    finally:
+        points.unpersist()
+    return [PairFit(*t, n, e, w) for t, (n, *_), e, w in zip(tests, stats, ends, weights, strict=True)]
+
+
+def pair_scored(test: DataFrame, feats: Sequence[str], fit: PairFit) -> DataFrame:
+    """``(score, label)``: raw margins of the pair's rows on the test side."""
+    rows = relabel_pair(class_pair_subset(test, fit.keep), fit.pos)
+    if fit.expand:
+        rows = kernel_expand(rows, feats, keep=("label",))
+    cols = [c for c in rows.columns if c != "label"]
+    stats = {c: (float(lo), float(hi)) for c, lo, hi in zip(cols, *fit.ends, strict=True)}
+    return min_max_normalize(rows, cols, stats).select(
+        F.expr(ML.margin_sql(fit.weights, cols)).alias("score"), "label")
+
+
+def pair_result(test: DataFrame, feats: Sequence[str], fit: PairFit) -> tuple:
+    """``(name, train_rows, test_rows, correct, incorrect, auc)``."""
+    scored = pair_scored(test, feats, fit).persist()
     try:
         ci = M.correct_incorrect(scored, M.margin_correct("score", "label")).first()
         auc = M.auc_roc(scored, "score", "label").first()["auc"]
-        n_train = train.count()
     finally:
         scored.unpersist()
-    return (name, int(n_train), int(ci["correct"] + ci["incorrect"]), int(ci["correct"]),
+    return (fit.name, fit.train_rows, int(ci["correct"] + ci["incorrect"]), int(ci["correct"]),
             int(ci["incorrect"]), auc)
 
 
-def pair_frames(data: DataFrame, feats: Sequence[str], expand: bool = True
-                ) -> list[tuple[str, DataFrame, list[str]]]:
-    """(name, rows, features) of the three class-pair tests, plus the
-    kernel-expanded pair 1/2."""
-    out = [(name, relabel_pair(class_pair_subset(data, keep), pos), list(feats)) for name, keep, pos in PAIR_TESTS]
-    if expand:
-        pair12 = relabel_pair(class_pair_subset(data, (1.0, 2.0)), 1.0)
-        exp = kernel_expand(pair12, feats, keep=(ROW, "label"))
-        out.append((EXPANDED_TEST, exp, [c for c in exp.columns if c not in ("label", ROW)]))
-    return out
+def pair_tests(expand: bool = True) -> list[tuple]:
+    """The three class-pair tests, plus the kernel-expanded pair 1/2."""
+    return [(*t, False) for t in PAIR_TESTS] + ([(EXPANDED_TEST, (1.0, 2.0), 1.0, True)] if expand else [])
 
 
 def pairwise_svm(spark: SparkSession, data: DataFrame, feats: Sequence[str],
                  expand: bool = True, parallelism: int = 4) -> DataFrame:
-    """Hits and AUC of the pair tests of :func:`pair_frames`."""
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(lambda j: svm_holdout(*j), pair_frames(data, feats, expand)))
+    """Hits and AUC of the pair tests of :func:`pair_tests`."""
+    train, test = svm_sides(data, feats)
+    fits = fit_pairs(train, pair_tests(expand))
+    test = test.persist()  # split once for all pairs
+    try:
+        test.count()
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            rows = list(pool.map(lambda f: pair_result(test, feats, f), fits))
+    finally:
+        test.unpersist()
     return result_rows(spark, rows, PAIR_SCHEMA)
 
 
@@ -278,16 +333,14 @@ WEIGHTS_SCHEMA = T.StructType([T.StructField("pair", T.StringType()), T.StructFi
                                T.StructField("weight", T.DoubleType())])
 
 
-def pairwise_svm_weights(spark: SparkSession, data: DataFrame, feats: Sequence[str], expand: bool = True,
-                         parallelism: int = 4) -> DataFrame:
+def pairwise_svm_weights(spark: SparkSession, data: DataFrame, feats: Sequence[str],
+                         expand: bool = True) -> DataFrame:
     """``(pair, feature, weight)`` of the pair tests' models."""
-    def fit(job: tuple[str, DataFrame, list[str]]) -> list[tuple]:
-        name, frame, own = job
-        return [(name, c, w) for c, w in zip(own, ML.svm_sgd().fit(svm_split(frame, own)[0]).weights, strict=True)]
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        parts = list(pool.map(fit, pair_frames(data, feats, expand)))
-    return result_rows(spark, [r for part in parts for r in part], WEIGHTS_SCHEMA)
+    rows = []
+    for f in fit_pairs(svm_sides(data, feats)[0], pair_tests(expand)):
+        cols = [f"k{i}" for i in range(len(f.weights))] if f.expand else feats
+        rows += [(f.name, c, w) for c, w in zip(cols, f.weights, strict=True)]
+    return result_rows(spark, rows, WEIGHTS_SCHEMA)
 
 
 # --- single holdout of a multiclass tree -----------------------------------

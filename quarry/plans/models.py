@@ -208,7 +208,8 @@ def _binary_holdout(spark: SparkSession, sf_dir: str, name: str, make: Callable,
                     scaled: bool) -> DataFrame:
     """One 60/40 holdout (trial 1's split) of one model on the cleaned table."""
     train, test = _binary_split(spark, sf_dir, scaled)
-    train = train.persist()
+    if make is not ML.svm_sgd:  # which caches its own blocks
+        train = train.persist()
     try:
         model = make().fit(train)
     finally:
@@ -359,10 +360,10 @@ SELECT y AS label, round(score, 6) + 0.0 AS score,
   (score < 0 AND y = 0) OR (score > 0 AND y = 1) AS correct FROM svm_scored""")
 def q_linear_svm_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw SVM margins of the test rows of class pair 0/2 (2 -> 1)."""
-    data = FE.relabel_pair(FE.class_pair_subset(flags(spark, sf_dir), (0.0, 2.0)), 2.0)
-    data = data.withColumn(ROW, FE.row_key(LINE_KEYS))
-    train, test = TR.svm_split(data, FLAG_FEATURES)
-    scored = ML.svm_margin(ML.svm_sgd().fit(train), test)
+    data = flags(spark, sf_dir).withColumn(ROW, FE.row_key(LINE_KEYS))
+    train, test = TR.svm_sides(data.filter(F.col("label").isin(0.0, 2.0)), FLAG_FEATURES)
+    fit, = TR.fit_pairs(train, [("[Labels 0 and 2]", (0.0, 2.0), 2.0, False)])
+    scored = TR.pair_scored(test, FLAG_FEATURES, fit)
     return scored.select("label", F.round("score", 6).alias("score"),
                          M.margin_correct("score", "label").alias("correct"))
 

@@ -175,6 +175,42 @@ def test_svm_by_gradient_descent(spark):
         assert r.prediction == float(r.score > 0)
 
 
+def test_pair_tests_share_their_steps_and_match_plain_descent(spark):
+    """All four models come from one cached copy of the rows; each equals
+    gradient descent on its own scaled rows."""
+    rng = np.random.default_rng(3)
+    rows = [(float(k % 3), *map(float, rng.random(2) * [5.0, 900.0] + k % 3)) for k in range(300)]
+    df = spark.createDataFrame(rows, "label double, a double, b double").repartition(3)
+    cached = len(spark.sparkContext._jsc.getPersistentRDDs())
+    fits = TR.fit_pairs(df, TR.pair_tests())
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == cached
+    data = np.array(rows)
+    for f in fits:
+        own = data[np.isin(data[:, 0], f.keep)]
+        x = own[:, 1:]
+        if f.expand:
+            x = np.concatenate([np.stack([c / math.sqrt(3.0), c * c, c ** 3], axis=1) for c in x.T], axis=1)
+        x = (x - x.min(axis=0)) / (x.max(axis=0) - x.min(axis=0))
+        s = np.where(own[:, 0] == f.pos, 1.0, -1.0)
+        w = np.zeros(x.shape[1])
+        for it in range(1, ML.SVM_ITERATIONS + 1):
+            step = ML.SVM_STEP / math.sqrt(it)
+            new = w * (1 - step * ML.SVM_REG) - step * (np.where(s * (x @ w) < 1, -s, 0.0) @ x) / len(x)
+            moved, w = np.linalg.norm(new - w), new
+            if it > 1 and moved < ML.SVM_TOLERANCE * max(np.linalg.norm(w), 1.0):
+                break
+        assert f.train_rows == len(own)
+        assert f.weights == pytest.approx(w.tolist(), abs=1e-6)
+
+
+def test_svm_takes_only_labels_zero_and_one(spark):
+    df = FE.assemble(spark.createDataFrame([(0.0, 1.0), (2.0, 3.0)], "label double, a double"), ["a"])
+    with pytest.raises(ValueError, match="0 and 1"):
+        ML.svm_sgd().fit(df)
+    with pytest.raises(ValueError, match="no rows"):
+        ML.svm_sgd().fit(df.limit(0))
+
+
 # --- trees -----------------------------------------------------------------------
 
 def test_compiled_tree_equals_transform(spark):
