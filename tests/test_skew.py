@@ -82,3 +82,16 @@ def test_auc_ranges_do_not_collapse_on_a_hot_score(spark):
     from pyspark.sql import functions as F
     per = df.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
     assert M.score_ranges(per, 8).select("bk").distinct().count() >= 6
+
+
+def test_healthy_rows_are_not_moved_by_the_id_filter(spark):
+    """Only rows that are not healthy themselves meet the ids in the join."""
+    df = spark.createDataFrame([(i % 50, 1.0, None if i % 10 == 0 else 2.0, None if i % 10 == 0 else 3.0)
+                                for i in range(1000)] + [(None, None, None, None)], "id long, a double, b double, c double")
+    out = C.semi_join_healthy_ids(df, "id")
+    healthy = C.healthy_row(df)
+    ids = {r.id for r in df.filter(healthy).collect()}
+    want = [r for r in df.collect() if r.id in ids]
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, want))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union")
