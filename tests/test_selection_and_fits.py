@@ -340,3 +340,64 @@ def test_ledger_resumes_and_keeps_settings_apart(spark, monkeypatch):
     assert TR.settings_digest() != TR.settings_digest(normalize_mode="train")
     one, other = (((("SVM", lambda reg=reg: ML.SvmSgd(reg=reg)),)) for reg in (0.01, 0.5))
     assert TR.settings_digest(models=one) != TR.settings_digest(models=other)
+
+
+def _trial_rows(spark, n=300):
+    rows = spark.createDataFrame([(float((i * 7) % 10 > 4), float(i % 10), float(i % 7)) for i in range(n)],
+                                 "label double, a double, b double")
+    return TR.with_row_id(spark, rows)
+
+
+def test_svm_steps_of_all_trials_are_one_job(spark):
+    frame, feats = _trial_rows(spark), ["a", "b"]
+    sc = spark.sparkContext
+    sc.setJobGroup("trial-svms", "trial-svms")
+    try:
+        with TR.trial_table(frame, feats, [1, 2, 3, 4]) as shared:
+            jobs = len(sc.statusTracker().getJobIdsForGroup("trial-svms"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= ML.SVM_ITERATIONS + 20  # not that many a trial
+    assert {it for it, _ in shared.fitted} == {1, 2, 3, 4}
+    for it in (1, 2, 3, 4):
+        train = frame.filter(TR.trial_side(it) == "train")
+        lo_hi = {c: shared.stats[it]["train"][c] for c in feats}
+        assert lo_hi == FE.min_max_stats(train, feats)
+        alone = ML.svm_sgd().fit(FE.assemble(FE.min_max_normalize(train.drop(TR.ROW), feats, lo_hi), feats))
+        assert shared.fitted[it, "Support Vector Machine"].weights == pytest.approx(alone.weights, abs=1e-12)
+
+
+def test_trials_read_their_rows_once(spark, monkeypatch):
+    monkeypatch.setattr(TR, "RAW_MODELS", TR.RAW_MODELS[:1])
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(row):
+        read.add(1)
+        return row
+
+    rows = _trial_rows(spark)
+    frame = spark.createDataFrame(rows.rdd.map(seen), rows.schema)
+    monkeypatch.setattr(TR, "NORMALIZED_MODELS", ())
+    assert TR.repeated_holdout(spark, frame, 3).count() == 3
+    assert read.value == 300
+
+
+def test_sides_of_many_trials(spark):
+    frame = _trial_rows(spark, 200)
+    its = list(range(1, 2 * TR.SIDE_BITS + 3))
+    sided = TR.with_sides(frame, ["a"], its, 0.6)
+    n = [F.count_if(TR.on_train(k)) for k in range(len(its))]
+    want = [F.count_if(TR.trial_side(it) == "train") for it in its]
+    assert list(sided.agg(*n).first()) == list(frame.agg(*want).first())
+    block = ML.number_blocks(sided).collect()
+    got = [sum(TR.side_view(1, k, True)(b)[1].shape[1] for b in block) for k in range(len(its))]
+    assert got == list(sided.agg(*n).first())
+
+
+@pytest.mark.parametrize("share", [0.0, 1e-9, 0.3, 0.6, 1.0])
+def test_split_by_hex_digits_is_the_split_by_numbers(spark, share):
+    rows = spark.range(500).select(F.col("id").cast("string").alias("k"))
+    number = F.conv(F.substring(F.md5("k"), 1, 8), 16, 10).cast("bigint")
+    bound = FE.split_bounds((share, 1 - share))[0]
+    side = FE.split_column(F.col("k"), (share, 1 - share), ("a", "b"))
+    assert rows.filter((number < bound) != (side == "a")).count() == 0
