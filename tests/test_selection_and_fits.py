@@ -5,6 +5,7 @@ trial ledger."""
 import collections
 import math
 import random
+import threading
 
 import numpy as np
 import pytest
@@ -382,6 +383,62 @@ def test_trials_read_their_rows_once(spark, monkeypatch):
     assert read.value == 300
 
 
+class _Tree:
+    """A decision tree that calls ``seen`` with the rows it is to be fitted on."""
+
+    def __init__(self, seen):
+        self.seen, self.tree = seen, ML.decision_tree()
+
+    def setFeaturesCol(self, name):
+        self.tree.setFeaturesCol(name)
+        return self
+
+    def fit(self, df):
+        self.seen(df)
+        return self.tree.fit(df)
+
+
+def test_small_trials_are_one_task_and_overlap(spark, monkeypatch):
+    tasks, three = [], threading.Barrier(3)
+
+    def seen(df):
+        tasks.append(df.rdd.getNumPartitions())
+        three.wait(60)  # for the two other trials
+
+    monkeypatch.setattr(TR, "RAW_MODELS", (("Decision Tree", lambda: _Tree(seen)),))
+    monkeypatch.setattr(TR, "NORMALIZED_MODELS", ())
+    frame = _trial_rows(spark).repartition(7).localCheckpoint()
+    want = {(it, frame.filter(TR.trial_side(it) == "test").count()) for it in (1, 2, 3)}
+    got = TR.repeated_holdout(spark, frame, 3, concurrent_trials=1, rows_at_once=10_000).collect()
+    assert tasks == [1, 1, 1]
+    assert {(r.iteration, r.fp + r.tn + r.tp + r.fn) for r in got} == want
+    monkeypatch.setattr(TR, "ROWS_PER_TASK", 100)
+    tasks.clear()
+    TR.repeated_holdout(spark, frame, 3, concurrent_trials=3)
+    assert tasks == [2, 2, 2]
+
+
+@pytest.mark.parametrize("rows, asked, limit, want", [
+    (100, 2, 0, 2), (100, 2, 150, 2), (100, 1, 350, 3), (10**9, 2, 4_000_000, 2), (1, 2, 10**9, None)])
+def test_trials_at_once(spark, rows, asked, limit, want):
+    shared = TR.TrialTable(None, {}, {1: rows, 2: rows // 2}, {}, None)
+    assert TR.trials_at_once(spark, shared, asked, limit) == (want or max(2, spark.sparkContext.defaultParallelism))
+
+
+def test_svms_train_while_other_models_do(spark, monkeypatch):
+    other, fit_blocks, first = threading.Event(), ML.SvmSgd.fit_blocks, []
+
+    def waiting(self, *args):
+        first.append(other.wait(60))
+        return fit_blocks(self, *args)
+
+    monkeypatch.setattr(ML.SvmSgd, "fit_blocks", waiting)
+    monkeypatch.setattr(TR, "RAW_MODELS", (("Decision Tree", lambda: _Tree(lambda df: other.set())),))
+    monkeypatch.setattr(TR, "NORMALIZED_MODELS", TR.NORMALIZED_MODELS[-1:])
+    assert TR.repeated_holdout(spark, _trial_rows(spark), 2).count() == 4
+    assert first == [True]
+
+
 def test_sides_of_many_trials(spark):
     frame = _trial_rows(spark, 200)
     its = list(range(1, 2 * TR.SIDE_BITS + 3))
