@@ -19,6 +19,7 @@ from quarry.operators import moments as MO
 from quarry.operators import regression as RG
 from quarry.operators import selection as SE
 from quarry.operators import subspace as SU
+from quarry.operators import tree_fits as TF
 from quarry.operators import trees as TB
 from quarry.operators import trials as TR
 from quarry.session import clear_shared
@@ -458,3 +459,101 @@ def test_split_by_hex_digits_is_the_split_by_numbers(spark, share):
     bound = FE.split_bounds((share, 1 - share))[0]
     side = FE.split_column(F.col("k"), (share, 1 - share), ("a", "b"))
     assert rows.filter((number < bound) != (side == "a")).count() == 0
+
+
+# --- models of many trials fitted together ------------------------------------------------
+
+def _noisy_rows(spark, n=1500):
+    """Rows of few values per feature, so that Spark ML too takes every value as a split."""
+    rng = np.random.default_rng(21)
+    x = np.stack([rng.integers(0, 12, n), rng.integers(0, 30, n) * 7.5 + 900, rng.integers(-4, 5, n), np.full(n, 3)]).astype(float)
+    y = (x[0] * 10 + x[2] * x[1] / 300 + rng.normal(size=n) * 25 > 60).astype(float)
+    return TR.with_row_id(spark, spark.createDataFrame(np.c_[y, x.T].tolist(), "label double, a double, b double, c double, k double")
+                          .repartition(3))
+
+
+@pytest.fixture
+def few_steps(monkeypatch):
+    monkeypatch.setattr(ML, "GBT_ITERATIONS", 3)
+    monkeypatch.setattr(TR, "NORMALIZED_MODELS", TR.NORMALIZED_MODELS[:-1])  # the SVM has tests of its own
+
+
+def test_models_fitted_together_equal_those_of_spark_ml(spark, few_steps):
+    frame, feats = _noisy_rows(spark), ["a", "b", "c", "k"]
+    with TR.trial_table(frame, feats, [1, 2]) as shared:
+        for it in (1, 2):
+            train = shared.rows.filter(shared.on_train[it])
+            both = TR._with_feature_vectors(train, feats, shared.stats[it]["train"]).persist()
+            for name, make, col in TR._line_up():
+                if "Forest" in name:  # whose draws differ
+                    continue
+                want, got = make().setFeaturesCol(col).fit(both), shared.model(it, name, make, 4)
+                scored = ML.predict(got, ML.predict(want, both, "want"), "got", col)
+                if "Regression" in name:
+                    assert got.weights == pytest.approx(list(want.coefficients), abs=2e-3 * max(map(abs, got.weights)))
+                    assert got.weights[3] == 0.0  # of one value
+                else:
+                    assert scored.filter("want <> got").count() == 0, (it, name)
+            both.unpersist()
+
+
+def test_a_level_of_all_trees_is_one_job(spark, few_steps):
+    """Three boosted trees of depth five, forests and trees of eight trials:
+    fifteen levels, where each trial had jobs of its own."""
+    frame, feats, sc = _noisy_rows(spark), ["a", "b", "c", "k"], spark.sparkContext
+    sc.setJobGroup("all-trials", "all-trials")
+    try:
+        with TR.trial_table(frame, feats, range(1, 9)) as shared:
+            for it in range(1, 9):
+                assert shared.counts(it).sum() + shared.train_rows[it] == 1500
+            jobs = len(sc.statusTracker().getJobIdsForGroup("all-trials"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 75  # Newton steps, ranges and counts too
+
+
+def test_trees_do_not_depend_on_partitions_or_the_other_trials(spark, monkeypatch, few_steps):
+    frame, feats = _noisy_rows(spark, 700).persist(), ["a", "b", "c", "k"]
+    monkeypatch.setattr(TR, "NORMALIZED_MODELS", TR.NORMALIZED_MODELS[1:2])
+
+    def results(df, iterations):
+        with TR.trial_table(df, feats, iterations) as shared:
+            return [r for it in iterations for r in TR.run_trial(spark, df, feats, it, shared=shared)]
+
+    want = results(frame, [1, 2])
+    assert len(want) == 10
+    assert results(frame.repartition(2), [2]) == want[5:]
+    monkeypatch.setattr(TR, "TREE_ROWS_AT_ONCE", 1)  # a group a trial
+    assert results(frame, [1, 2]) == want
+
+
+def test_shared_counts_equal_the_predictions_of_each_row(spark, few_steps):
+    frame, feats = _noisy_rows(spark, 600), ["a", "b", "c", "k"]
+    with TR.trial_table(frame, feats, [5]) as shared:
+        got = TR.run_trial(spark, frame, feats, 5, shared=shared)
+        test = TR._own_predictions(shared, feats, 5, TR._line_up(), shared.stats[5], 2)
+        rows = TR.M.confusion_by_model(test, [(name, f"__p{i}") for i, (name, _, _) in enumerate(TR._line_up())]).collect()
+    assert [r[1:6] for r in got] == [(r.test, r.fp, r.tn, r.tp, r.fn) for r in rows]
+
+
+def test_ranges_of_many_values_hold_about_equally_many_rows(spark):
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.lognormal(3, 4, 30_000) * rng.choice([-1, 1], 30_000), np.full(3_000, 7.25)])
+    blocks = spark.sparkContext.parallelize([np.stack([x[k::5] * 0, x[k::5], np.arange(6600.0) % 9]) for k in range(5)], 3)
+    many, few = TF.value_ranges(blocks, 2)
+    assert list(few.high) == list(range(9)) and len(many.high) <= TF.RANGES
+    code = many.high.searchsorted(x)
+    assert np.all(x <= many.high[code]) and np.all(x > many.low[code])
+    n = np.bincount(code)
+    assert (n > 200).sum() == 1 and len(many.high) > TF.RANGES // 2
+    own = TF.cuts([many], n[None], 32)
+    shares = np.bincount(own.bin_of[0][code])
+    assert len(shares) >= 28 and shares[shares < 3000].max() < 1500
+
+
+def test_newton_steps_end_on_classes_a_line_separates(spark):
+    x = np.array([[-2.0, 1.0], [-1.0, 1.0], [1.0, 1.0], [2.0, 1.0]] * 20)
+    block = np.concatenate([(x[:, :1] > 0).astype(float), x, np.ones((80, 1))], axis=1).T
+    points = spark.sparkContext.parallelize([block], 1)
+    w, = ML.fit_logistic_blocks(points, [ML.SideView(2, 3, 0, True, None)], 100, 1e-6)
+    assert np.isfinite(w).all() and w[0] > 5 and w[1] == 0.0
